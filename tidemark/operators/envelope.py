@@ -45,8 +45,13 @@ def envelope(
     before: Column | None = None,
     after: Column | None = None,
     txid: Column | None = None,
+    bare: bool = False,
 ) -> Column:
-    """JSON text of one change event. ``before`` and ``after`` are struct columns, None for JSON null."""
+    """JSON text of one change event. ``before`` and ``after`` are struct columns, None for JSON null.
+
+    ``bare`` leaves out the schema block and the ``payload`` level, as records look on a topic whose converter
+    runs without schemas.
+    """
     table = F.lit(table) if isinstance(table, str) else table
     op = F.lit(op) if isinstance(op, str) else op
     null = F.lit(None).cast("string")
@@ -75,7 +80,8 @@ def envelope(
         op.alias("op"),
         ts_ms.alias("ts_ms"),
     )
-    return F.to_json(F.struct(schema.alias("schema"), payload.alias("payload")), {"ignoreNullFields": "false"})
+    whole = payload if bare else F.struct(schema.alias("schema"), payload.alias("payload"))
+    return F.to_json(whole, {"ignoreNullFields": "false"})
 
 
 def encode_envelope(df: DataFrame, **parts) -> DataFrame:

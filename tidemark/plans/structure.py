@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.selection import RUN_KEYS
 from tidemark.operators.structure import judge, quarantine_rows, stage_rows
-from tidemark.sources import bronze, fs, silver
+from tidemark.sources import bronze, silver
 from tidemark.sources.ledger import Ledger, utc_now_iso
 from tidemark.specs import EntitySpec
 
-# Input files are hashed into this many groups to find those holding a rejected event.
+# Input files are hashed into this many groups to name those holding a rejected event.
 FILE_GROUPS = 32768
 
 
@@ -44,55 +44,49 @@ def structure_events(
     strict_ops: bool = False,
     keep_rejected_json: bool = False,
     spread: bool = True,
-) -> None:
-    """Write the events of one table to stage and quarantine.
+) -> dict[str, StageCounts]:
+    """Write the events of one table to stage and quarantine; return the counts per run.
 
     ``events``: (ingest_ts, raw_json, run_id) and the file and row they come from. ``run_id`` names the output
     folders, so structuring the same run again replaces its rows.
 
-    The stage write parses everything once. On the way it observes a bitmap of the hash groups of files holding
-    a rejected event: 4 KB whatever the number of files. Without such a file that is all; otherwise a second
-    pass writes the quarantine and reads only files of those groups.
+    The stage write parses everything once. What it rejected shows in the row counts per input file, read from
+    footers on one side and from the narrow origin column on the other; both are facts of written files, exact
+    whatever tasks ran twice. If they agree that is all. Otherwise a second pass writes the quarantine and opens
+    only files that lost rows, told to it as at most FILE_GROUPS hash groups.
     """
     judged = judge(events, [spec], expected_table=spec.table, strict_ops=strict_ops)
-    seen = Observation()
-    bad = F.col("error").isNotNull()
-    # Tasks run again after a lost executor may be observed twice; neither value minds.
-    observed = judged.observe(
-        seen,
-        F.max(bad).alias("any_bad"),
-        F.bitmap_construct_agg(F.when(bad, F.coalesce(_file_group(), F.lit(0)))).alias("groups"),
-    )
-    stage = stage_rows(observed, spec, keep_raw_json=keep_raw_json, extra=["run_id"])
+    stage = stage_rows(judged, spec, keep_raw_json=keep_raw_json, extra=["run_id"])
     silver.write_stage(stage, silver_base, spread=spread)
-    found = seen.get
-    if not found["any_bad"]:
-        return
-    groups = [i for i in range(FILE_GROUPS) if found["groups"][i // 8] >> (i % 8) & 1]
-    again = events.where(F.col("src_file").isNull() | _file_group().isin(groups))
-    rejected = quarantine_rows(
-        judge(again, [spec], expected_table=spec.table, strict_ops=strict_ops),
-        keep_raw_json=keep_rejected_json,
-        extra=["run_id"],
+
+    read = events.groupBy("run_id", "src_file").agg(F.count("*").alias("n_in"))
+    run_ids = [r["run_id"] for r in read.select("run_id").distinct().collect()]
+    kept = silver.read_origin(events.sparkSession, silver_base, spec.table, run_ids)
+    kept = kept.groupBy("run_id", "src_file").agg(F.count("*").alias("n_out"))
+    same = read["run_id"].eqNullSafe(kept["run_id"]) & read["src_file"].eqNullSafe(kept["src_file"])
+    per_file = read.join(kept, same, "left").select(
+        read["run_id"], read["src_file"], "n_in", F.coalesce("n_out", F.lit(0)).alias("n_out")
     )
-    silver.write_quarantine(rejected.withColumn("target_table", F.lit(spec.table)), silver_base)
-
-
-def written_counts(spark: SparkSession, silver_base: str, table: str, run_ids: Sequence[str]) -> dict[str, StageCounts]:
-    """Stage and quarantine rows of the given runs, counted in what was written (file footers and JSON lines)."""
-    counts = {r: StageCounts() for r in run_ids}
-    base = silver_base.rstrip("/")
-    stage = [p for r in run_ids for p in fs.glob(spark, f"{base}/{silver.STAGE}/table={table}/event_date=*/run_id={r}")]
-    if stage:
-        rows = spark.read.schema("op string, run_id string").option("basePath", f"{base}/{silver.STAGE}").parquet(*stage)
-        for r in rows.groupBy("run_id").count().collect():
-            counts[r["run_id"]] += StageCounts(stage_rows=r["count"])
-    bad = [p for r in run_ids for p in fs.glob(spark, f"{base}/{silver.QUARANTINE}/table={table}/run_id={r}")]
-    if bad:
-        rows = spark.read.option("basePath", f"{base}/{silver.QUARANTINE}").text(bad)
-        for r in rows.groupBy("run_id").count().collect():
-            counts[r["run_id"]] += StageCounts(bad_rows=r["count"])
-    return counts
+    per_group = per_file.groupBy("run_id", _file_group().alias("group")).agg(
+        F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")
+    )
+    per_run = per_group.groupBy("run_id").agg(
+        F.sum("n_out").alias("stage_rows"),
+        F.sum(F.col("n_in") - F.col("n_out")).alias("bad_rows"),
+        F.collect_set(F.when(F.col("n_in") > F.col("n_out"), F.coalesce("group", F.lit(-1)))).alias("groups"),
+    )
+    found = per_run.collect()
+    groups = sorted({g for r in found for g in r["groups"]})
+    if groups:
+        # Events that do not come from files have no group.
+        again = events if -1 in groups else events.where(_file_group().isin(groups))
+        rejected = quarantine_rows(
+            judge(again, [spec], expected_table=spec.table, strict_ops=strict_ops),
+            keep_raw_json=keep_rejected_json,
+            extra=["run_id"],
+        )
+        silver.write_quarantine(rejected.withColumn("target_table", F.lit(spec.table)), silver_base)
+    return {r["run_id"]: StageCounts(r["stage_rows"], r["bad_rows"]) for r in found}
 
 
 def structure_file(
@@ -100,8 +94,7 @@ def structure_file(
 ) -> StageCounts:
     """Structure one event file (or folder) of one table."""
     events = bronze.read_events(spark, path).withColumn("run_id", F.lit(run_id))
-    structure_events(events, spec, silver_base, **options)
-    return written_counts(spark, silver_base, spec.table, [run_id])[run_id]
+    return structure_events(events, spec, silver_base, **options).get(run_id, StageCounts())
 
 
 def run_structure(
@@ -130,13 +123,11 @@ def run_structure(
         events = bronze.read_runs(spark, bronze_base, folders, bronze.COMPACTED).drop(
             "source", "table", "ingestion_date", "topic", "partition", "offset"
         )
-        structure_events(events, spec, silver_base, **options)
-        per_run = written_counts(spark, silver_base, spec.table, [r["run_id"] for r in runs])
-        done = [
-            (*[r[k] for k in RUN_KEYS], per_run[r["run_id"]].total, per_run[r["run_id"]].stage_rows,
-             per_run[r["run_id"]].bad_rows, utc_now_iso())
-            for r in runs
-        ]
+        per_run = structure_events(events, spec, silver_base, **options)
+        done = []
+        for r in runs:
+            n = per_run.get(r["run_id"], StageCounts())
+            done.append((*[r[k] for k in RUN_KEYS], n.total, n.stage_rows, n.bad_rows, utc_now_iso()))
         keys = ", ".join(f"`{k}` string" for k in RUN_KEYS)
         ledger.append_rows(
             "structured_runs",

@@ -78,6 +78,16 @@ def read_stage(
     return reader.parquet(*paths).select(*schema.names, "run_id")
 
 
+def read_origin(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> DataFrame:
+    """(run_id, src_file) of the stage rows of some runs; reads that one column of those runs' folders."""
+    root = f"{base.rstrip('/')}/{STAGE}"
+    paths = [p for r in run_ids for p in fs.glob(spark, f"{root}/table={table}/event_date=*/run_id={r}")]
+    if not paths:
+        return spark.createDataFrame([], "run_id string, src_file string")
+    reader = spark.read.schema("src_file string, run_id string").option("basePath", root)
+    return reader.parquet(*paths).select("run_id", "src_file")
+
+
 def import_stage(spark: SparkSession, paths: Sequence[str], spec: EntitySpec) -> DataFrame:
     """Stage files written by another tool, brought to the declared schema.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import iso_micros, unix_millis
 from tidemark.operators.envelope import envelope
-from tidemark.specs import EVENTS, USERS, ORDERS
+from tidemark.specs import EVENTS, ORDERS, USERS
 
 EVENTS_TOPIC = "source_db.public.events"
 
@@ -33,6 +33,8 @@ def events_changes(spark: SparkSession, sf_dir: str, *, permuted: bool = False)
         lsn = F.when(lsn % 11 != 0, (lsn * 7919) % 1000003)
     return table(spark, sf_dir, "events").select(
         "event_id",
+        "user_id",
+        "ts",
         op.alias("op"),
         unix_millis(F.col("ts")).alias("ts_ms"),
         lsn.alias("lsn"),
@@ -86,20 +88,17 @@ def dirty_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event feed as Kafka-shaped records: four partitions by user, offsets in event order from 0."""
-    from pyspark.sql import Window
-
-    feed = events_feed(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id"
+    """The event feed as Kafka-shaped records: four partitions by user, the event number as offset."""
+    op = F.col("op")
+    raw = envelope(
+        table=EVENTS.table, op=op, ts_ms=F.col("ts_ms"), lsn=F.col("lsn"), bare=True, **_sides(op, F.col("image"))
     )
-    part = F.pmod("user_id", F.lit(4)).cast("int")
-    offset = F.row_number().over(Window.partitionBy(part).orderBy("event_id")) - 1
-    return feed.select(
+    return events_changes(spark, sf_dir).select(
         F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
-        F.encode("raw_json", "UTF-8").alias("value"),
+        F.encode(raw, "UTF-8").alias("value"),
         F.lit(EVENTS_TOPIC).alias("topic"),
-        part.alias("partition"),
-        offset.cast("long").alias("offset"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
