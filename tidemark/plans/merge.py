@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.merge import is_removal, live, merge_current, merge_stats
 from tidemark.operators.selection import pending_dates
 from tidemark.sources import silver
-from tidemark.sources.ledger import Ledger, utc_now_iso
+from tidemark.sources.ledger import Ledger, merged_date, utc_now_iso
 from tidemark.specs import EntitySpec
 
 JOB_NAME = "merge_current"
@@ -24,8 +24,8 @@ class MergeResult:
     status: str
     version: str | None = None
     rows: int = 0
-    # (event_date, stage run or None, rows_in, rows_out, bad_rows)
-    dates: list[tuple] = field(default_factory=list)
+    # event_date, stage_run, rows_in, rows_out, bad_rows
+    dates: list[dict] = field(default_factory=list)
 
 
 def current_table(spark: SparkSession, silver_base: str, ledger: Ledger, spec: EntitySpec) -> DataFrame:
@@ -36,7 +36,10 @@ def current_table(spark: SparkSession, silver_base: str, ledger: Ledger, spec: E
 
 def stored_current(spark: SparkSession, silver_base: str, ledger: Ledger, spec: EntitySpec) -> DataFrame | None:
     """Rows of the live version, tombstones included; None before the first merge."""
-    version = ledger.live_version(JOB_NAME, spec.table)
+    return _read_version(spark, silver_base, spec, ledger.live_version(JOB_NAME, spec.table))
+
+
+def _read_version(spark: SparkSession, silver_base: str, spec: EntitySpec, version: dict | None) -> DataFrame | None:
     return None if version is None else silver.read_current(spark, silver_base, spec, version["version"], version["buckets"])
 
 
@@ -123,7 +126,7 @@ def apply_stage(
     """Fold a stage frame into the live version, write the next one, commit it."""
     before = ledger.live_version(JOB_NAME, spec.table)
     buckets = buckets or (before["buckets"] if before else DEFAULT_BUCKETS)
-    current = stored_current(spark, silver_base, ledger, spec)
+    current = _read_version(spark, silver_base, spec, before)
     if before and before["mode"] == "ordered" and mode == "replay":
         current = live(current)
     merged = merge_current(current, stage, spec.pk, mode, partitions=buckets)
@@ -144,7 +147,7 @@ def apply_stage(
     for d in dates if dates is not None else sorted(per_date):
         rows_in, rows_out, bad = per_date.get(d, (0, rows_out, 0))
         for stage_run in runs_of.get(d, [None]):
-            marks.append((d, stage_run, rows_in, rows_out, bad))
+            marks.append(merged_date(d, stage_run, rows_in, rows_out, bad))
     ledger.append(
         "merges",
         job_name=JOB_NAME,

@@ -40,6 +40,7 @@ def structure_events(
     spec: EntitySpec,
     silver_base: str,
     *,
+    run_ids: Sequence[str] | None = None,
     keep_raw_json: bool = False,
     strict_ops: bool = False,
     keep_rejected_json: bool = False,
@@ -56,28 +57,26 @@ def structure_events(
     only files that lost rows, told to it as at most FILE_GROUPS hash groups.
     """
     judged = judge(events, [spec], expected_table=spec.table, strict_ops=strict_ops)
+    read = events.groupBy("run_id", "src_file").agg(F.count("*").alias("n_in"))
+    if run_ids is None:
+        run_ids = [r["run_id"] for r in read.select("run_id").distinct().collect()]
+    silver.clear_run(events.sparkSession, silver_base, spec.table, run_ids)
     stage = stage_rows(judged, spec, keep_raw_json=keep_raw_json, extra=["run_id"])
     silver.write_stage(stage, silver_base, spread=spread)
 
-    read = events.groupBy("run_id", "src_file").agg(F.count("*").alias("n_in"))
-    run_ids = [r["run_id"] for r in read.select("run_id").distinct().collect()]
     kept = silver.read_origin(events.sparkSession, silver_base, spec.table, run_ids)
     kept = kept.groupBy("run_id", "src_file").agg(F.count("*").alias("n_out"))
     same = read["run_id"].eqNullSafe(kept["run_id"]) & read["src_file"].eqNullSafe(kept["src_file"])
     per_file = read.join(kept, same, "left").select(
         read["run_id"], read["src_file"], "n_in", F.coalesce("n_out", F.lit(0)).alias("n_out")
     )
-    per_group = per_file.groupBy("run_id", _file_group().alias("group")).agg(
-        F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")
-    )
-    per_run = per_group.groupBy("run_id").agg(
-        F.sum("n_out").alias("stage_rows"),
-        F.sum(F.col("n_in") - F.col("n_out")).alias("bad_rows"),
-        F.collect_set(F.when(F.col("n_in") > F.col("n_out"), F.coalesce("group", F.lit(-1)))).alias("groups"),
+    per_run = per_file.groupBy("run_id").agg(
+        F.sum("n_out").alias("stage_rows"), F.sum(F.col("n_in") - F.col("n_out")).alias("bad_rows")
     )
-    found = per_run.collect()
-    groups = sorted({g for r in found for g in r["groups"]})
-    if groups:
+    found = {r["run_id"]: StageCounts(r["stage_rows"], r["bad_rows"]) for r in per_run.collect()}
+    if any(n.bad_rows for n in found.values()):
+        short = per_file.where("n_in > n_out").select(F.coalesce(_file_group(), F.lit(-1)).alias("group")).distinct()
+        groups = [r["group"] for r in short.collect()]
         # Events that do not come from files have no group.
         again = events if -1 in groups else events.where(_file_group().isin(groups))
         rejected = quarantine_rows(
@@ -86,7 +85,7 @@ def structure_events(
             extra=["run_id"],
         )
         silver.write_quarantine(rejected.withColumn("target_table", F.lit(spec.table)), silver_base)
-    return {r["run_id"]: StageCounts(r["stage_rows"], r["bad_rows"]) for r in found}
+    return found
 
 
 def structure_file(
@@ -94,7 +93,7 @@ def structure_file(
 ) -> StageCounts:
     """Structure one event file (or folder) of one table."""
     events = bronze.read_events(spark, path).withColumn("run_id", F.lit(run_id))
-    return structure_events(events, spec, silver_base, **options).get(run_id, StageCounts())
+    return structure_events(events, spec, silver_base, run_ids=[run_id], **options).get(run_id, StageCounts())
 
 
 def run_structure(
@@ -123,7 +122,7 @@ def run_structure(
         events = bronze.read_runs(spark, bronze_base, folders, bronze.COMPACTED).drop(
             "source", "table", "ingestion_date", "topic", "partition", "offset"
         )
-        per_run = structure_events(events, spec, silver_base, **options)
+        per_run = structure_events(events, spec, silver_base, run_ids=[r["run_id"] for r in runs], **options)
         done = []
         for r in runs:
             n = per_run.get(r["run_id"], StageCounts())

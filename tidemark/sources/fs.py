@@ -37,3 +37,15 @@ def remove(spark: SparkSession, path: str) -> bool:
 def make_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.mkdirs(hadoop_path)
+
+
+def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Create a small file that readers see whole or not at all."""
+    hidden, fs = _path(spark, f"{folder}/_{name}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, _path(spark, f"{folder}/{name}")[0]):
+        raise OSError(f"could not commit {folder}/{name}")

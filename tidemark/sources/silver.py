@@ -78,6 +78,15 @@ def read_stage(
     return reader.parquet(*paths).select(*schema.names, "run_id")
 
 
+def clear_run(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> None:
+    """Remove what an earlier attempt wrote for some runs, so that dates it alone had do not linger."""
+    root = base.rstrip("/")
+    for run in run_ids:
+        for kind in (f"{STAGE}/table={table}/event_date=*", f"{QUARANTINE}/table={table}"):
+            for path in fs.glob(spark, f"{root}/{kind}/run_id={run}"):
+                fs.remove(spark, path)
+
+
 def read_origin(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> DataFrame:
     """(run_id, src_file) of the stage rows of some runs; reads that one column of those runs' folders."""
     root = f"{base.rstrip('/')}/{STAGE}"
