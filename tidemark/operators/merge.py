@@ -90,48 +90,55 @@ def merge_stats(
     stage: DataFrame,
     pk: str,
     mode: str = "replay",
+    *,
+    live_before: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Per event date: events after replay removal, and live keys after that date is applied.
 
     Reads only the key, order and delete columns. Distinct events are counted and reduced to the last one per
-    (date, key); the live keys follow from where a key's liveness changes from date to date.
+    (date, key); the live keys follow from where a key's liveness changes from date to date. Of the current
+    table only keys with new events take part: ``live_before`` is its number of live keys, counted when not
+    given, and ``partitions`` its bucket count, with which it is joined without a shuffle.
     """
     dated = mode == "replay"
     arrival = arrival_columns(stage)
-    row = F.struct(*[c for c in ("event_date", "lsn", "ts_ms") if c in stage.columns], *arrival)
-    narrow = stage.select(
-        "event_date",
-        F.col(pk).alias("_pk"),
-        "lsn",
-        "ts_ms",
-        "op",
-        F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(stage)).alias("live")).alias("_e"),
-    )
+    row = F.struct("event_date", "lsn", "ts_ms", *arrival)
+    event = F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(stage)).alias("live"))
+    narrow = stage.select("event_date", F.col(pk).alias("_pk"), "lsn", "ts_ms", "op", event.alias("_e"))
     distinct = narrow.groupBy("event_date", "_pk", "lsn", "ts_ms", "op").agg(F.max("_e").alias("_e"))
     per_key = distinct.groupBy("event_date", "_pk").agg(F.count("*").alias("n"), F.max("_e").alias("_e"))
-    if current is not None:
-        have = set(current.columns)
-        arrival_values = [(F.col(c) if c in have else F.lit(None).cast(stage.schema[c].dataType)).alias(c) for c in arrival]
-        row = F.struct(F.lit("").alias("event_date"), "lsn", "ts_ms", *arrival_values)
-        before = current.select(
-            F.lit("").alias("event_date"),
-            F.col(pk).alias("_pk"),
-            F.lit(0).cast("long").alias("n"),
-            F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(current)).alias("live")).alias("_e"),
-        )
-        per_key = before.unionByName(per_key)
+
+    if current is None:
+        steps, total = per_key.withColumn("_before", F.lit(None).cast(per_key.schema["_e"].dataType)), F.lit(0)
+    else:
+        if partitions is not None:
+            per_key = per_key.repartition(partitions, "_pk")
+        values = {"event_date": F.lit(""), "lsn": F.col("lsn"), "ts_ms": F.col("ts_ms")}
+        if dated:
+            # An empty date ranks below every event, whatever stands in the other columns.
+            values |= {c: F.lit(None).cast("long") for c in ("lsn", "ts_ms")}
+        for c in arrival:
+            kept = not dated and c in current.columns
+            values[c] = F.col(c) if kept else F.lit(None).cast(stage.schema[c].dataType)
+        row = F.struct(*[v.alias(c) for c, v in values.items()])
+        state = F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(current)).alias("live"))
+        steps = per_key.join(current.select(F.col(pk).alias("_pk"), state.alias("_before")), "_pk", "left")
+        total = F.lit(live_before) if live_before is not None else live(current).agg(F.count("*")).scalar()
+
     by_date = Window.partitionBy("_pk").orderBy("event_date")
-    alive = (F.col("_pk").isNotNull() & F.col("_last")["live"]).cast("long")
+    alive = F.col("_pk").isNotNull() & F.greatest("_last", "_before")["live"]
+    was = (F.col("_pk").isNotNull() & F.coalesce(F.col("_before")["live"], F.lit(False))).cast("long")
     steps = (
-        per_key.withColumn("_last", F.max("_e").over(by_date))
-        .withColumn("_live", alive)
-        .withColumn("_delta", F.col("_live") - F.lag("_live", 1, 0).over(by_date))
+        steps.withColumn("_last", F.max("_e").over(by_date))
+        .withColumn("_live", alive.cast("long"))
+        .withColumn("_delta", F.col("_live") - F.coalesce(F.lag("_live").over(by_date), was))
     )
     daily = steps.groupBy("event_date").agg(F.sum("n").alias("rows_in"), F.sum("_delta").alias("_delta"))
     # One row per date is left here, so the running total over all dates is a small window.
     return daily.select(
         "event_date",
         "rows_in",
-        F.sum("_delta").over(Window.orderBy("event_date")).alias("rows_out"),
+        (total + F.sum("_delta").over(Window.orderBy("event_date"))).cast("long").alias("rows_out"),
         F.lit(0).cast("long").alias("bad_rows"),
-    ).where("event_date <> ''")
+    )

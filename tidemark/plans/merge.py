@@ -137,10 +137,11 @@ def apply_stage(
     per_date: dict[str, tuple] = {}
     if stats:
         # One row per event date.
-        for r in merge_stats(current, stage, spec.pk, mode).orderBy("event_date").collect():
+        start = before["rows"] if before else 0
+        daily = merge_stats(current, stage, spec.pk, mode, live_before=start, partitions=buckets)
+        for r in daily.orderBy("event_date").collect():
             per_date[r["event_date"]] = (r["rows_in"], r["rows_out"], r["bad_rows"])
-    start = 0 if before is None else before["rows"]
-    rows_out, marks = start, []
+    rows_out, marks = before["rows"] if before else 0, []
     runs_of: dict[str, list] = {}
     for d, r in stage_runs or []:
         runs_of.setdefault(d, []).append(r)
