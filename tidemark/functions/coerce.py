@@ -1,4 +1,9 @@
-"""JSON value to column type. Input is what ``extract_type`` asked the JSON reader for."""
+"""JSON value to column type.
+
+The reader hands over every value as text, which is cheap but hides what the value was: ``"2"`` and ``2`` look
+alike. Most texts mean the same either way. For the few that do not, each rule here says when it is *in doubt*,
+and such an event is parsed once more as VARIANT, which keeps the types.
+"""
 
 from __future__ import annotations
 
@@ -11,20 +16,49 @@ from tidemark.specs import EntitySpec, FieldSpec
 TRUE_TEXTS = ("true", "t", "1", "yes")
 FALSE_TEXTS = ("false", "f", "0", "no")
 
-# What to extract for a kind. Booleans and decimals need the runtime JSON type, so they are taken as VARIANT.
-EXTRACT_TYPE = {
-    "int": "bigint",
-    "bool": "variant",
-    "string": "string",
-    "timestamptz": "string",
-    "decimal": "variant",
-    "double": "double",
-}
+_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+# Amounts are in doubt too often ("1.50" against 1.50), so they are read as VARIANT from the start.
+_EXTRACT = {"decimal": "variant", "double": "double"}
 
 
 def image_type(spec: EntitySpec) -> str:
-    """DDL of the struct holding a row image. Casting a JSON value to it gives null unless it is an object."""
-    return "struct<" + ", ".join(f"`{f.name}` {EXTRACT_TYPE[f.kind]}" for f in spec.fields) + ">"
+    """DDL of a row image; anything but a JSON object reads as null."""
+    return "struct<" + ", ".join(f"`{f.name}` {_EXTRACT.get(f.kind, 'string')}" for f in spec.fields) + ">"
+
+
+# What a text tells -----------------------------------------------------------------------------------------
+
+
+def _starts_with_any(text: Column, chars: str) -> Column:
+    return F.substring(text, 1, 1).isin(*chars)
+
+
+def string_in_doubt(text: Column) -> Column:
+    """The text may be a fraction, and a JSON number is spelled anew while a string stays as it is."""
+    return _starts_with_any(text, "-0123456789") & text.rlike(r"[.eE]") & text.rlike(_NUMBER)
+
+
+def name_in_doubt(text: Column) -> Column:
+    """The text may come from something else than a JSON string."""
+    return _starts_with_any(text, "-0123456789{[") | text.isin("true", "false")
+
+
+def int_in_doubt(text: Column) -> Column:
+    return text.isNotNull() & text.try_cast("bigint").isNull()
+
+
+def bool_in_doubt(text: Column) -> Column:
+    """Numbers count by value, but the same digits in a string are no boolean."""
+    return _starts_with_any(text, "-0123456789") & ~text.isin("0", "1") & text.rlike(_NUMBER)
+
+
+def text_as_bool(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(low.isin(*TRUE_TEXTS), F.lit(True)).when(low.isin(*FALSE_TEXTS), F.lit(False))
+
+
+# What a VARIANT tells ----------------------------------------------------------------------------------------
 
 
 def is_absent(value: Column) -> Column:
@@ -46,39 +80,62 @@ def to_int(value: Column) -> Column:
 
 def to_bool(value: Column) -> Column:
     """Booleans and numbers by value, strings only from the two lists, everything else null."""
-    text = F.lower(to_text(value))
-    from_text = F.when(text.isin(*TRUE_TEXTS), F.lit(True)).when(text.isin(*FALSE_TEXTS), F.lit(False))
-    return F.when(is_json_string(value), from_text).otherwise(F.try_variant_get(value, "$", "boolean"))
+    return F.when(is_json_string(value), text_as_bool(to_text(value))).otherwise(
+        F.try_variant_get(value, "$", "boolean")
+    )
 
 
 def to_decimal_text(value: Column) -> Column:
     """Text of a decimal. A whole JSON float keeps its ``.0``, which the VARIANT text drops."""
     text = to_text(value)
-    whole_float = F.schema_of_variant(value).startswith("DECIMAL") & ~text.contains(".")
+    whole_float = ~text.contains(".") & F.schema_of_variant(value).startswith("DECIMAL")
     return F.when(whole_float, F.concat(text, F.lit(".0"))).otherwise(text)
 
 
-def to_zoned_text(text: Column) -> Column:
+# Fields ------------------------------------------------------------------------------------------------------
+
+
+def _iso_only(text: Column) -> Column:
     """ISO timestamps are recognised by their ``T`` and kept as they are; anything else is null."""
     return F.when(text.contains("T"), text)
 
 
-def staged(field: FieldSpec, image: Column) -> Column:
-    """Stage value of a field of the extracted image."""
-    value = image[field.name]
-    if field.kind == "bool":
-        return to_bool(value)
-    if field.kind == "decimal":
-        return to_decimal_text(value)
-    if field.kind == "timestamptz":
-        return to_zoned_text(value)
-    return value
-
-
-def is_missing(field: FieldSpec, image: Column) -> Column:
-    """True when a required field has no usable value."""
-    value = image[field.name]
-    missing = is_absent(value) if field.kind == "decimal" else staged(field, image).isNull()
-    if field.empty_is_missing:
-        missing = missing | (staged(field, image) == "")
-    return missing
+_IN_DOUBT = {"int": int_in_doubt, "bool": bool_in_doubt, "string": string_in_doubt, "timestamptz": string_in_doubt}
+_FROM_TEXT = {
+    "int": lambda text: text.try_cast("bigint"),
+    "bool": text_as_bool,
+    "string": lambda text: text,
+    "timestamptz": _iso_only,
+    "decimal": to_decimal_text,
+    "double": lambda value: value,
+}
+_FROM_VARIANT = {"int": to_int, "bool": to_bool, "string": to_text, "timestamptz": lambda v: _iso_only(to_text(v))}
+
+
+def entity_in_doubt(spec: EntitySpec, image: Column) -> Column:
+    """Some value of the image needs its JSON type."""
+    doubts = [_IN_DOUBT[f.kind](image[f.name]) for f in spec.fields if f.kind in _IN_DOUBT]
+    doubt = F.lit(False)
+    for d in doubts:
+        doubt = doubt | F.coalesce(d, F.lit(False))
+    return doubt
+
+
+def staged_entity(spec: EntitySpec, image: Column, variant: Column) -> Column:
+    """Stage values of an image; null when there is no image. ``variant`` is the same image as VARIANT where the
+    event is in doubt, null otherwise."""
+
+    def value(f: FieldSpec) -> Column:
+        plain = _FROM_TEXT[f.kind](image[f.name])
+        if f.kind not in _FROM_VARIANT:
+            return plain
+        exact = _FROM_VARIANT[f.kind](F.try_variant_get(variant, f"$['{f.name}']", "variant"))
+        return F.when(variant.isNotNull(), exact).otherwise(plain)
+
+    return F.when(image.isNotNull(), F.struct(*[value(f).alias(f.name) for f in spec.fields]))
+
+
+def is_missing(field: FieldSpec, entity: Column) -> Column:
+    """True when a required field of a staged entity has no usable value."""
+    value = entity[field.name]
+    return (value.isNull() | (value == "")) if field.empty_is_missing else value.isNull()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, topics
+from tidemark.functions.times import now_micros_offset
 from tidemark.operators.columns import or_null, pin
 from tidemark.specs import EntitySpec
 
@@ -32,7 +35,7 @@ ENVELOPE_CODES = (
     "BEFORE_NULL_FOR_D",
 )
 
-# Closing element put behind the event text before parsing, see _document.
+# Closing element put behind a text that is parsed again, see open_envelope.
 _END = "~end of event~"
 
 
@@ -111,7 +114,7 @@ def wrap_kafka(df: DataFrame) -> DataFrame:
         F.unix_millis("timestamp").alias("timestamp_ms"),
         topics.utf8_text(F.col("key")).alias("key"),
     )
-    held = F.when(_is_strict(F.col("_doc")), F.col("_value")).otherwise(
+    held = F.when(F.col("_single"), F.col("_value")).otherwise(
         # The text as a JSON string: cut it out of {"s":"..."}.
         F.expr("""substring(to_json(struct(_value AS s)), 6, length(to_json(struct(_value AS s))) - 6)""")
     )
@@ -120,7 +123,7 @@ def wrap_kafka(df: DataFrame) -> DataFrame:
     )
     texts = df.withColumn("_value", value).where("_value is not null")
     return (
-        pin(texts, _doc=_document(F.col("_value")))
+        pin(texts, _single=_is_json(F.col("_value")))
         .select(
             topics.topic_source(F.col("topic")).alias("source"),
             topics.topic_table(F.col("topic")).alias("table"),
@@ -132,72 +135,113 @@ def wrap_kafka(df: DataFrame) -> DataFrame:
     )
 
 
-def _document(raw: Column) -> Column:
-    """Parse an event text strictly.
+def _is_json(text: Column) -> Column:
+    """The text is exactly one JSON value: as an array of its own it has one element, and nothing follows."""
+    alone = F.concat(F.lit("["), text, F.lit("]"))
+    return F.try_parse_json(text).isNotNull() & (F.coalesce(F.json_array_length(alone), F.lit(0)) == 1)
 
-    Spark's parser stops after the first JSON value and ignores what follows. As an element of an array with a
-    closing element behind it, trailing text either breaks the array or leaves the closing element out of
-    place, and both are detected.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')))
 
+# JSON as the standard has it: Spark's reader is more lenient by default.
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-def _is_strict(doc: Column) -> Column:
-    closed = F.try_variant_get(doc, "$[1]", "string") == _END
-    return doc.isNotNull() & F.coalesce(closed, F.lit(False)) & F.try_variant_get(doc, "$[2]", "variant").isNull()
 
+def open_envelope(df: DataFrame, spec: EntitySpec | None = None) -> DataFrame:
+    """Read ``raw_json`` once and add the envelope's parts and ``_late_error``, a code found on the way.
 
-def open_envelope(df: DataFrame, image_ddl: str = "variant") -> DataFrame:
-    """Parse ``raw_json`` once and keep the parts of the envelope.
+    Adds op, src_table, ts_ms, lsn, src_offset, ``_image`` (the row image the operation uses: the struct of
+    ``spec``, or VARIANT), ``_exact`` (the same image as VARIANT for events in doubt, else null) and flags.
 
-    Adds ``_root`` (null unless the event is a JSON object; its ``payload`` and ``source`` are null unless they
-    are objects), ``_strict`` (the text is exactly one JSON value) and ``_no_before`` / ``_no_after`` (image
-    missing or JSON null). ``image_ddl`` is the type ``before`` and ``after`` are read as.
+    The text is read as the first of two array elements: trailing text breaks the array or changes its size.
+    Objects that are missing or of another JSON type read as null, a repeated key keeps its last value, and what
+    the engine does not need is skipped. Events whose texts do not tell their JSON type, and events that are
+    about to be rejected, are parsed a second time as a whole; Spark evaluates that branch for no other row.
     """
-    root_ddl = (
-        "struct<payload struct<op variant, ts_ms bigint, "
-        f"before {image_ddl}, after {image_ddl}, source struct<`table` variant, lsn bigint>>, "
-        "kafka struct<offset bigint>>"
+    image_ddl = "variant" if spec is None else coerce.image_type(spec)
+    ddl = (
+        f"array<struct<payload struct<op string, ts_ms string, before {image_ddl}, after {image_ddl}, "
+        "source struct<`table` string, lsn string>>, kafka struct<`offset` string>>>"
+    )
+    text = F.concat(F.lit("["), F.col("raw_json"), F.lit(",{}]"))
+    read = df.withColumn("_events", F.from_json(text, ddl, _JSON_OPTIONS))
+    root = F.get("_events", 0)
+    payload = root["payload"]
+    op = payload["op"]
+    flat = pin(
+        read,
+        _op=op,
+        _table=payload["source"]["table"],
+        _ts=payload["ts_ms"],
+        _lsn=payload["source"]["lsn"],
+        src_offset=root["kafka"]["offset"].try_cast("bigint"),
+        _image=F.when(op.isin(*AFTER_OPS), payload["after"]).otherwise(payload["before"]),
+        _readable=F.coalesce(F.size("_events") == 2, F.lit(False)) & root.isNotNull(),
+        _has_payload=payload.isNotNull(),
+        _has_source=payload["source"].isNotNull(),
     )
-    doc = F.col("_doc")
-    return pin(
-        pin(df, _doc=_document(F.col("raw_json"))),
-        _strict=_is_strict(doc),
-        _root=F.try_variant_get(doc, "$[0]", root_ddl),
+    image = F.col("_image")
+    no_image = coerce.is_absent(image) if spec is None else image.isNull()
+    no_image = F.col("_has_source") & F.col("_op").isin("c", "u", "d") & no_image
+    doubts = [
+        ~F.col("_readable"),
+        coerce.name_in_doubt(F.col("_op")),
+        coerce.name_in_doubt(F.col("_table")),
+        coerce.int_in_doubt(F.col("_ts")),
+        coerce.int_in_doubt(F.col("_lsn")),
+        no_image,
+    ]
+    if spec is not None:
+        doubts.append(coerce.entity_in_doubt(spec, image))
+    doubt = F.lit(False)
+    for d in doubts:
+        doubt = doubt | F.coalesce(d, F.lit(False))
+    again = F.try_parse_json(F.concat(F.lit("["), F.col("raw_json"), F.lit(f',"{_END}"]')))
+    looked = pin(flat, _no_image=no_image, _doc=F.when(doubt, again))
+
+    doc, after = F.col("_doc"), F.col("_op").isin(*AFTER_OPS)
+
+    def at(path: str) -> Column:
+        return F.try_variant_get(doc, path, "variant")
+
+    def exact(path: str, convert, plain: Column) -> Column:
+        return F.when(doc.isNotNull(), convert(at(path))).otherwise(plain)
+
+    settled = pin(
+        looked,
+        op=exact("$[0].payload.op", _text_only, F.col("_op")),
+        src_table=exact("$[0].payload.source.table", _text_only, F.col("_table")),
+        ts_ms=exact("$[0].payload.ts_ms", coerce.to_int, F.col("_ts").try_cast("bigint")),
+        lsn=exact("$[0].payload.source.lsn", coerce.to_int, F.col("_lsn").try_cast("bigint")),
+        _exact=F.when(after, at("$[0].payload.after")).otherwise(at("$[0].payload.before")),
     )
+    single = F.coalesce(F.try_variant_get(doc, "$[1]", "string") == _END, F.lit(False)) & at("$[2]").isNull()
+    unreadable = F.when(single, "JSON_NOT_OBJECT").otherwise("JSON_PARSE")
+    missing = F.when(F.col("_op") == "d", "BEFORE_NULL_FOR_D").otherwise("AFTER_NULL_FOR_CU")
+    late = F.when(~F.col("_readable"), unreadable).when(
+        F.col("_no_image"), F.when(coerce.is_absent(F.col("_exact")), missing)
+    )
+    return settled.withColumn("_late_error", late)
 
 
-def _no_image(side: str) -> Column:
-    # The second look at the document only happens for events whose image is not an object.
-    path = f"$[0].payload.{side}"
-    return F.col(f"_root.payload.{side}").isNull() & coerce.is_absent(F.try_variant_get(F.col("_doc"), path, "variant"))
+def _text_only(value: Column) -> Column:
+    """Text of a JSON string, null for any other JSON type."""
+    return F.when(coerce.is_json_string(value), coerce.to_text(value))
 
 
-def envelope_error(image_ddl: str = "variant") -> Column:
+def envelope_error() -> Column:
     """Code of the first failed envelope check over the columns of :func:`open_envelope`, null if none."""
-    payload = F.col("_root.payload")
-    op = coerce.to_text(payload["op"])
-    if image_ddl == "variant":
-        no_before, no_after = coerce.is_absent(payload["before"]), coerce.is_absent(payload["after"])
-    else:
-        no_before, no_after = _no_image("before"), _no_image("after")
     return (
-        F.when(~F.col("_strict"), "JSON_PARSE")
-        .when(F.col("_root").isNull(), "JSON_NOT_OBJECT")
-        .when(payload.isNull(), "MISSING_PAYLOAD")
-        .when(~coerce.is_json_string(payload["op"]), "MISSING_OP")
-        .when(payload["source"].isNull(), "MISSING_SOURCE")
-        .when(~coerce.is_json_string(payload["source"]["table"]), "MISSING_SOURCE_TABLE")
-        .when(payload["ts_ms"].isNull(), "MISSING_TS_MS")
-        .when(op.isin("c", "u") & no_after, "AFTER_NULL_FOR_CU")
-        .when((op == "d") & no_before, "BEFORE_NULL_FOR_D")
+        F.when(~F.col("_readable"), F.col("_late_error"))
+        .when(~F.col("_has_payload"), "MISSING_PAYLOAD")
+        .when(F.col("op").isNull(), "MISSING_OP")
+        .when(~F.col("_has_source"), "MISSING_SOURCE")
+        .when(F.col("src_table").isNull(), "MISSING_SOURCE_TABLE")
+        .when(F.col("ts_ms").isNull(), "MISSING_TS_MS")
+        .otherwise(F.col("_late_error"))
     )
 
 
 def with_input_defaults(df: DataFrame) -> DataFrame:
     """Bronze rows with the stamps, texts and origin columns the stage operators expect."""
-    from tidemark.functions.times import now_micros_offset
-
     return df.select(
         *[c for c in df.columns if c not in ("ingest_ts", "raw_json", "src_file", "src_row")],
         F.coalesce(F.nullif(or_null(df, "ingest_ts", "string"), F.lit("")), now_micros_offset()).alias("ingest_ts"),
@@ -209,15 +253,14 @@ def with_input_defaults(df: DataFrame) -> DataFrame:
 
 def parse_envelope(df: DataFrame) -> DataFrame:
     """Add op, src_table, ts_ms, lsn, before, after (both VARIANT) and error to (ingest_ts, raw_json) rows."""
-    opened = open_envelope(with_input_defaults(df))
-    payload = F.col("_root.payload")
-    judged = pin(opened, error=envelope_error())
-    return judged.select(
-        *[c for c in opened.columns if not c.startswith("_")],
-        coerce.to_text(payload["op"]).alias("op"),
-        coerce.to_text(payload["source"]["table"]).alias("src_table"),
-        payload["ts_ms"].alias("ts_ms"),
-        payload["source"]["lsn"].alias("lsn"),
+    defaults = with_input_defaults(df)
+    payload = F.get("_events", 0)["payload"]
+    return pin(open_envelope(defaults), error=envelope_error()).select(
+        *defaults.columns,
+        "op",
+        "src_table",
+        "ts_ms",
+        "lsn",
         payload["before"].alias("before"),
         payload["after"].alias("after"),
         "error",

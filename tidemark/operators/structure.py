@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, times
 from tidemark.operators.columns import pin
-from tidemark.operators.envelope import AFTER_OPS, ENVELOPE_CODES, envelope_error, open_envelope, with_input_defaults
+from tidemark.operators.envelope import (
+    AFTER_OPS,
+    ENVELOPE_CODES,
+    envelope_error,
+    open_envelope,
+    with_input_defaults,
+)
 from tidemark.specs import CDC_FIELDS, EntitySpec, stage_schema
 
 
@@ -19,11 +25,11 @@ def _entity(spec: EntitySpec) -> str:
 
 def _entity_error(spec: EntitySpec) -> Column:
     """Code of the first unusable column of an entity, null if none."""
-    image = F.col(_entity(spec))
-    error = F.when(image.isNull(), "ROW_NULL")
+    entity = F.col(_entity(spec))
+    error = F.when(entity.isNull(), "ROW_NULL")
     for field in spec.fields:
         if field.required_code is not None:
-            error = error.when(coerce.is_missing(field, image), field.required_code)
+            error = error.when(coerce.is_missing(field, entity), field.required_code)
     return error
 
 
@@ -41,67 +47,66 @@ def judge(
     events of another table a TABLE_MISMATCH. ``strict_ops`` rejects operations other than c, u, r and d.
     """
     specs = list(specs)
+    tables = [s.table for s in specs]
     carried = [c for c in df.columns if c not in ("ingest_ts", "raw_json", "src_file", "src_row")]
     # One entity: the images are read straight into its columns. Several: they stay VARIANT until the table is known.
-    image_ddl = coerce.image_type(specs[0]) if len(specs) == 1 else "variant"
-    opened = open_envelope(with_input_defaults(df), image_ddl)
-
-    payload = F.col("_root.payload")
-    op = coerce.to_text(payload["op"])
-    read = pin(
-        opened,
-        op=op,
-        src_table=coerce.to_text(payload["source"]["table"]),
-        _envelope_error=envelope_error(image_ddl),
-        _image=F.when(op.isin(*AFTER_OPS), payload["after"]).otherwise(payload["before"]),
-    ).select(
-        *carried,
-        "ingest_ts",
-        "raw_json",
-        F.col("_root.kafka.offset").alias("src_offset"),
-        "src_file",
-        "src_row",
-        "op",
-        "src_table",
-        payload["ts_ms"].alias("ts_ms"),
-        payload["source"]["lsn"].alias("lsn"),
-        "_envelope_error",
-        "_image",
-    )
-    if len(specs) == 1:
-        typed = read.withColumnRenamed("_image", _entity(specs[0]))
+    single = specs[0] if len(specs) == 1 else None
+    opened = open_envelope(with_input_defaults(df), single)
+    if single is not None:
+        entities = {_entity(single): coerce.staged_entity(single, F.col("_image"), F.col("_exact"))}
     else:
-        entities = {
-            _entity(s): F.when(
-                F.col("src_table") == s.table, F.try_variant_get(F.col("_image"), "$", coerce.image_type(s))
+        of_table = {
+            f"{_entity(s)}_image": F.when(
+                F.col("src_table") == s.table, F.try_variant_get("_image", "$", coerce.image_type(s))
             )
             for s in specs
         }
-        typed = pin(read, **entities).drop("_image")
+        opened = pin(opened, **of_table)
+        entities = {
+            _entity(s): coerce.staged_entity(s, image := F.col(f"{_entity(s)}_image"), F.when(image.isNotNull(), F.col("_image")))
+            for s in specs
+        }
+    read = pin(opened, **entities)
 
-    error = F.when(F.col("_envelope_error").isNotNull(), F.col("_envelope_error"))
-    if expected_table is not None:
-        error = error.when(F.col("src_table") != expected_table, "TABLE_MISMATCH")
-    if strict_ops:
-        error = error.when(~F.col("op").isin(*AFTER_OPS, "d"), "UNSUPPORTED_OP")
-    error = error.when(~F.col("src_table").isin(*[s.table for s in specs]), "UNSUPPORTED_TABLE")
     per_entity = F.lit(None).cast("string")
     for s in specs:
         per_entity = F.when(F.col("src_table") == s.table, _entity_error(s)).otherwise(per_entity)
-    out_of_range = F.when(~times.in_date_range(F.col("ts_ms")), "TS_MS_RANGE")
-    judged = pin(typed, error=error.otherwise(F.coalesce(per_entity, out_of_range))).drop("_envelope_error")
-    return judged.withColumn("expected_table", F.lit(expected_table).cast("string"))
+    checks = [envelope_error()]
+    if expected_table is not None:
+        checks.append(F.when(F.col("src_table") != expected_table, "TABLE_MISMATCH"))
+    if strict_ops:
+        checks.append(F.when(~F.col("op").isin(*AFTER_OPS, "d"), "UNSUPPORTED_OP"))
+    checks += [
+        F.when(~F.col("src_table").isin(*tables), "UNSUPPORTED_TABLE"),
+        per_entity,
+        F.when(~times.in_date_range(F.col("ts_ms")), "TS_MS_RANGE"),
+    ]
+    return read.select(
+        *carried,
+        "ingest_ts",
+        "raw_json",
+        "src_offset",
+        "src_file",
+        "src_row",
+        "op",
+        "src_table",
+        "ts_ms",
+        "lsn",
+        *[_entity(s) for s in specs],
+        F.coalesce(*checks).alias("error"),
+        F.lit(expected_table).cast("string").alias("expected_table"),
+    )
 
 
 def stage_rows(judged: DataFrame, spec: EntitySpec, *, keep_raw_json: bool = False, extra: Sequence[str] = ()):
     """Typed stage rows of one entity. ``extra`` names carried input columns to append."""
-    image = F.col(_entity(spec))
+    entity = F.col(_entity(spec))
     cdc = {
         "table": F.col("src_table"),
         "event_date": times.event_date(F.col("ts_ms")),
         "is_delete": F.col("op") == "d",
     }
-    fields = {f.name: coerce.staged(f, image) for f in spec.fields}
+    fields = {f.name: entity[f.name] for f in spec.fields}
     schema = stage_schema(spec, keep_raw_json)
     good = judged.where(F.col("error").isNull() & (F.col("src_table") == spec.table))
     columns = [

@@ -12,6 +12,8 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value instead of rejecting the event.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A value of an unexpected JSON type makes that part null, not the whole event.
+    "spark.sql.json.enablePartialResults": "true",
     # event_date, run_id and batch stay strings when read from folder names.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
