@@ -17,7 +17,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        # Many tiny plans: compiling each costs more than running it. check.py runs the queries compiled.
+        .config("spark.sql.codegen.wholeStage", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

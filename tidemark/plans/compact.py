@@ -41,7 +41,9 @@ def compact(
     FAILED to rescue the complete batches of broken runs.
     """
     runs = bronze.discover_runs(spark, base)
-    finished = ledger.view("pipeline_runs").select("run_id", "status").union(bronze.marked_runs(spark, base))
+    # A marker file counts for runs of another writer only; of its own runs the ledger knows more.
+    known = ledger.view("pipeline_runs").select("run_id", "status")
+    finished = known.union(bronze.marked_runs(spark, base).join(known, "run_id", "left_anti"))
     todo = eligible_runs(runs, finished, ledger.view("compacted_runs"), only_date, statuses)
     # Folder names only: one row per run waiting for compaction.
     folders = [bronze.run_path(base, *[r[k] for k in RUN_KEYS]) for r in todo.select(*RUN_KEYS).collect()]

@@ -131,7 +131,7 @@ def apply_stage(
         current = live(current)
     merged = merge_current(current, stage, spec.pk, mode, partitions=buckets)
     silver.write_current(merged, silver_base, spec, run_id, buckets)
-    written = silver.read_current(spark, silver_base, spec, run_id, buckets)
+    written = silver.read_current(spark, silver_base, spec, run_id, buckets, merged.schema)
     counted = written.agg(F.count("*").alias("n"), F.count_if(is_removal(written)).alias("gone")).collect()[0]
 
     per_date: dict[str, tuple] = {}

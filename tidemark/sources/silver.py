@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.union import promote_union, require_columns
 from tidemark.sources import fs
@@ -172,7 +173,9 @@ def write_current(rows: DataFrame, base: str, spec: EntitySpec, version: str, bu
     return path
 
 
-def read_current(spark: SparkSession, base: str, spec: EntitySpec, version: str, buckets: int) -> DataFrame:
+def read_current(
+    spark: SparkSession, base: str, spec: EntitySpec, version: str, buckets: int, schema: StructType | None = None
+) -> DataFrame:
     """A version as a bucketed table: joins on the key with the same bucket count do not shuffle it.
 
     The catalog entry tells Spark about the buckets; the frame keeps the resolved files once it is dropped.
@@ -180,7 +183,7 @@ def read_current(spark: SparkSession, base: str, spec: EntitySpec, version: str,
     path, name = version_path(base, spec.table, version), _entry_name(spec.table)
     if not fs.glob(spark, f"{path}/part-*"):
         return spark.createDataFrame([], stage_schema(spec))
-    schema = spark.read.parquet(path).schema
+    schema = schema or spark.read.parquet(path).schema
     spark.sql(
         f"CREATE TABLE {name} ({_ddl(schema)}) USING parquet "
         f"CLUSTERED BY (`{spec.pk}`) SORTED BY (`{spec.pk}`) INTO {buckets} BUCKETS LOCATION '{path}'"

@@ -119,7 +119,11 @@ def close_run(
 
 
 def without_redelivery(stream: DataFrame, delay: str) -> DataFrame:
-    """Drop records delivered again within ``delay``; state is kept only that long."""
+    """Drop records delivered again within ``delay``; state is kept only that long.
+
+    Optional, since the merge removes replays. Records that trail the newest one by more than ``delay`` are
+    dropped by the watermark, so it has to be longer than any delay that occurs.
+    """
     keys = ["topic", "partition", "offset"]
     return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(keys)
 
