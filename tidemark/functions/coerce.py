@@ -7,6 +7,10 @@ and such an event is parsed once more as VARIANT, which keeps the types.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,14 +21,12 @@ TRUE_TEXTS = ("true", "t", "1", "yes")
 FALSE_TEXTS = ("false", "f", "0", "no")
 
 _NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
-
-# Amounts are in doubt too often ("1.50" against 1.50), so they are read as VARIANT from the start.
-_EXTRACT = {"decimal": "variant", "double": "double"}
+_FRACTION = r"^-?[0-9]+(\.[0-9]+([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)$"
 
 
 def image_type(spec: EntitySpec) -> str:
     """DDL of a row image; anything but a JSON object reads as null."""
-    return "struct<" + ", ".join(f"`{f.name}` {_EXTRACT.get(f.kind, 'string')}" for f in spec.fields) + ">"
+    return "struct<" + ", ".join(f"`{f.name}` {'double' if f.kind == 'double' else 'string'}" for f in spec.fields) + ">"
 
 
 # What a text tells -----------------------------------------------------------------------------------------
@@ -34,9 +36,13 @@ def _starts_with_any(text: Column, chars: str) -> Column:
     return F.substring(text, 1, 1).isin(*chars)
 
 
-def string_in_doubt(text: Column) -> Column:
-    """The text may be a fraction, and a JSON number is spelled anew while a string stays as it is."""
-    return _starts_with_any(text, "-0123456789") & text.rlike(r"[.eE]") & text.rlike(_NUMBER)
+def string_in_doubt(text: Column, name: str, raw: Column) -> Column:
+    """The text may be a fraction, and a JSON number is spelled anew while a string stays as it is.
+
+    It is none unless the event holds a number under that name somewhere; an escaped name could hide it.
+    """
+    number_somewhere = raw.rlike(f'"{re.escape(name)}"\\s*:\\s*[-0-9]') | raw.contains("\\u")
+    return _starts_with_any(text, "-0123456789") & text.rlike(_FRACTION) & number_somewhere
 
 
 def name_in_doubt(text: Column) -> Column:
@@ -100,25 +106,41 @@ def _iso_only(text: Column) -> Column:
     return F.when(text.contains("T"), text)
 
 
-_IN_DOUBT = {"int": int_in_doubt, "bool": bool_in_doubt, "string": string_in_doubt, "timestamptz": string_in_doubt}
+def _in_doubt(field: FieldSpec, text: Column, raw: Column) -> Column:
+    if field.kind == "int":
+        return int_in_doubt(text)
+    if field.kind == "bool":
+        return bool_in_doubt(text)
+    if field.kind == "double":
+        return F.lit(False)
+    return string_in_doubt(text, field.name, raw)
+
+
 _FROM_TEXT = {
     "int": lambda text: text.try_cast("bigint"),
     "bool": text_as_bool,
     "string": lambda text: text,
     "timestamptz": _iso_only,
-    "decimal": to_decimal_text,
+    "decimal": lambda text: text,
     "double": lambda value: value,
 }
-_FROM_VARIANT = {"int": to_int, "bool": to_bool, "string": to_text, "timestamptz": lambda v: _iso_only(to_text(v))}
+_FROM_VARIANT = {
+    "int": to_int,
+    "bool": to_bool,
+    "string": to_text,
+    "timestamptz": lambda value: _iso_only(to_text(value)),
+    "decimal": to_decimal_text,
+}
+
+
+def entity_in_doubt(spec: EntitySpec, image: Column, raw: Column) -> Column:
+    """Some value of the image needs its JSON type; ``raw`` is the text of the event."""
+    return any_of([_in_doubt(f, image[f.name], raw) for f in spec.fields])
 
 
-def entity_in_doubt(spec: EntitySpec, image: Column) -> Column:
-    """Some value of the image needs its JSON type."""
-    doubts = [_IN_DOUBT[f.kind](image[f.name]) for f in spec.fields if f.kind in _IN_DOUBT]
-    doubt = F.lit(False)
-    for d in doubts:
-        doubt = doubt | F.coalesce(d, F.lit(False))
-    return doubt
+def any_of(conditions: list[Column]) -> Column:
+    """At least one condition holds; a null condition does not."""
+    return reduce(or_, [F.coalesce(c, F.lit(False)) for c in conditions])
 
 
 def staged_entity(spec: EntitySpec, image: Column, variant: Column) -> Column:

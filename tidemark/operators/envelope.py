@@ -190,12 +190,9 @@ def open_envelope(df: DataFrame, spec: EntitySpec | None = None) -> DataFrame:
         no_image,
     ]
     if spec is not None:
-        doubts.append(coerce.entity_in_doubt(spec, image))
-    doubt = F.lit(False)
-    for d in doubts:
-        doubt = doubt | F.coalesce(d, F.lit(False))
+        doubts.append(coerce.entity_in_doubt(spec, image, F.col("raw_json")))
     again = F.try_parse_json(F.concat(F.lit("["), F.col("raw_json"), F.lit(f',"{_END}"]')))
-    looked = pin(flat, _no_image=no_image, _doc=F.when(doubt, again))
+    looked = pin(flat, _no_image=no_image, _doc=F.when(coerce.any_of(doubts), again))
 
     doc, after = F.col("_doc"), F.col("_op").isin(*AFTER_OPS)
 
