@@ -232,3 +232,20 @@ def test_encode_round_trip(spark):
     assert e["payload"]["transaction"] is None and e["payload"]["source"]["lsn"] is None
     row = structure.stage_rows(structure.judge(df, [USERS], expected_table="users"), USERS).first()
     assert (row["user_id"], row["email"], row["lsn"]) == (7, 'ä"b', None)
+
+
+def test_one_reading_per_event(spark):
+    """The text is read once, whatever is filtered on top; only the conditional second look is a parse of its own."""
+    judged = structure.judge(frame(spark, [event()]), [ORDERS], expected_table="orders")
+    for df in (structure.stage_rows(judged, ORDERS), structure.quarantine_rows(judged), structure.stage_summary(judged)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("parseJson(") <= 1
+
+
+def test_plain_events_need_no_second_look(spark):
+    """Usual events are settled by the first reading; text that only a JSON type can settle is not."""
+    usual = [event(), event(op="d"), event(lsn=None), event(image={**ORDER, "status": "v1.10"})]
+    unusual = [event(ts_ms="12.5"), event(image={**ORDER, "total_amount": 1.5}), event(image={**ORDER, "is_deleted": 2})]
+    opened = envelope.open_envelope(envelope.with_input_defaults(frame(spark, usual + unusual)), ORDERS)
+    looked = {r["row"]: r["again"] for r in opened.selectExpr("row", "_doc is not null again").collect()}
+    assert looked == {i: i >= len(usual) for i in range(len(usual) + len(unusual))}
