@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, token_counts
+from tidemark.llm import byte_bpe, decontamination, token_counts
 from tidemark.llm.common import table
 
 
@@ -14,12 +14,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
 }
 
