@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontamination, token_counts
+from tidemark.llm import byte_bpe, decontamination, quality_rules, token_counts
 from tidemark.llm.common import table
 
 
@@ -22,10 +22,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
