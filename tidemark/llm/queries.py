@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontamination, quality_rules, token_counts
+from tidemark.llm import byte_bpe, decontamination, language_id, quality_rules, token_counts
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
 
@@ -29,6 +33,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
 }
