@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontamination, language_id, quality_rules, token_counts
+from tidemark.llm import (
+    byte_bpe,
+    decontamination,
+    language_id,
+    quality_rules,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from tidemark.llm.common import table
 
 
@@ -26,6 +34,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents"))
 
@@ -35,7 +52,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_url_filter": op6_url_filter,
+    "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
