@@ -10,6 +10,7 @@ from tidemark.llm import (
     byte_bpe,
     decontamination,
     language_id,
+    pii,
     quality_rules,
     sharding,
     token_counts,
@@ -47,6 +48,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii": op9_pii,
 }
 
 ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
