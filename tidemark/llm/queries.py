@@ -10,6 +10,7 @@ from tidemark.llm import (
     byte_bpe,
     decontamination,
     language_id,
+    near_duplicates,
     pii,
     quality_rules,
     sharding,
@@ -35,6 +36,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.join(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_url_filter": op6_url_filter,
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
