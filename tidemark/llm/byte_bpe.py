@@ -27,7 +27,7 @@ from tidemark.llm.pieces import splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Entries of a worker's memory of neighbours and of encoded pieces.
-PAIR_MEMORY, PIECE_MEMORY = 1_000_000, 200_000
+PAIR_MEMORY, PIECE_MEMORY = 200_000, 100_000
 
 
 class ByteBpe:

@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.session import shared_dir
 
 # Bytes of one Arrow batch sent to a Python worker, whatever the length of the texts.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ summary of its frequent pre-tokens.
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -20,11 +21,12 @@ from tidemark.llm.pieces import splitter
 
 VOCABULARY = "byte_bpe_50k.json"
 # Entries of the broadcast table, of a task's summary while it runs and at its end, and of a worker's cache.
-TABLE_SIZE, SUMMARY_SIZE, SUMMARY_ROWS, CACHE_SIZE = 32_768, 100_000, 4_096, 200_000
+TABLE_SIZE, SUMMARY_SIZE, SUMMARY_ROWS, CACHE_SIZE = 32_768, 100_000, 4_096, 100_000
 # Longer pre-tokens stay out of the broadcast table, which bounds its bytes.
 TABLE_PIECE = 64
 
 
+@functools.lru_cache(maxsize=2)
 def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
