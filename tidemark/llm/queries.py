@@ -10,6 +10,7 @@ from tidemark.llm import (
     byte_bpe,
     decontamination,
     language_id,
+    lm_scoring,
     near_duplicates,
     pii,
     quality_rules,
@@ -57,6 +58,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
