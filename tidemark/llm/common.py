@@ -99,6 +99,12 @@ def per_text(
     return found.withColumnRenamed("key", key)
 
 
+def reference(key: str, text: str) -> F.Column:
+    """A name for the rows of one key and text, by which the text can be found again."""
+    whole = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    return F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("~"), whole)
+
+
 def word_table() -> bytes:
     """Byte table for words of digits, letters and bytes of other scripts: A-Z in lower case, the rest a space."""
     table = bytearray(range(256))

@@ -19,15 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import bound_batches, word_table, written
+from tidemark.llm.common import bound_batches, reference, word_table, written
 
 WINDOW = 10
 # Words of an index segment, UTF-8 bytes of a block of the benchmark, candidate positions looked at together.
 SEGMENT_WORDS, BLOCK_BYTES, CANDIDATES = 500_000, 8 << 20, 1_000_000
 WORD_BYTES = word_table()
-ARRAYS = (
-    "n_words array<int>, terms binary, counts binary, postings binary"
-)
+ARRAYS = "n_words array<int>, terms binary, counts binary, postings binary"
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -319,3 +317,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs without a match, with all their columns."""
+    named = docs.select(reference(key, text).alias("reference"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    texts = named.select("reference", F.col(f"row.`{text}`").cast("string").alias("text"))
+    hit = find(index(texts, "reference"), items, key="reference").where("n_hit > 0").select("reference")
+    clean = named.join(written(hit.distinct(), "contaminated"), "reference", "left_anti")
+    return clean.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import bound_batches, mix64, written
+from tidemark.llm.common import bound_batches, mix64, reference, written
 
 WORDS, SIMILARITY = 5, (4, 5)
 TREES, LONGEST, SHORTEST = 16, 6, 3
@@ -83,11 +83,6 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _reference(key: str, text: str) -> F.Column:
-    """A name for a row by which its text can be read again; rows without a key go by their text."""
-    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("~"), F.md5(F.col(text).cast("string").cast("binary"))))
-
-
 def features(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, reference, shingle set (16-byte digest, null without words), its size n, signature: written."""
     bound_batches(docs.sparkSession)
@@ -106,7 +101,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
             columns = [pa.array(digests, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(signed, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema.names)
 
-    source = docs.select(F.col(key).alias("key"), _reference(key, text).alias("reference"), F.col(text).cast("string"))
+    source = docs.select(F.col(key).alias("key"), reference(key, text).alias("reference"), F.col(text).cast("string"))
     return written(source.mapInArrow(run, schema), "features")
 
 
@@ -295,10 +290,10 @@ def _shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
                 [pa.array(names, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "shingles"]
             )
 
-    texts = docs.select(_reference(key, text).alias("reference"), F.col(text).cast("string").alias("text"))
-    made = texts.join(wanted.select("reference").distinct(), "reference", "left_semi").select("text").mapInArrow(run, "set binary, shingles binary")
-    # a reference can stand for several rows, of which some have other texts
-    return written(made.join(wanted.select("set"), "set", "left_semi").groupBy("set").agg(F.first("shingles").alias("shingles")), "shingles")
+    texts = docs.select(reference(key, text).alias("reference"), F.col(text).cast("string").alias("text"))
+    made = texts.join(wanted.select("reference"), "reference", "left_semi").select("text").mapInArrow(run, "set binary, shingles binary")
+    # repeated rows have the same reference
+    return written(made.groupBy("set").agg(F.first("shingles").alias("shingles")), "shingles")
 
 
 def _recall(bins: dict[int, int], depth: int) -> float:
@@ -331,23 +326,17 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
-    """Per row of docs: key, class_id, copy_id, n_links.
-
-    copy_id is the lowest key among rows with the same shingles, class_id that among all rows connected by links,
-    n_links the number of other rows with a similarity of 0.8 or more. Rows without any word are linked to none and
-    have their own key for both. Null keys are taken part in and are the lowest key only of classes that have no
-    other. Repeated rows are copies of each other.
-    """
+def classes(docs: DataFrame, key: str, text: str, target_recall: float) -> tuple[DataFrame, DataFrame]:
+    """The features of all rows; and of each shingle set: class_id, copy_id, n_links, and the reference that stays."""
     rows = features(docs, key, text)
     sets = rows.where(F.col("set").isNotNull()).groupBy("set").agg(
         F.min("key").alias("copy_id"),
         F.count(F.lit(1)).alias("copies"),
-        F.min("reference").alias("reference"),
+        F.min(F.struct(F.col("key").isNull(), "key", "reference")).alias("stays"),
         F.first("n").alias("n"),
         F.first("signature").alias("signature"),
     )
-    sets = written(sets, "sets")
+    sets = written(sets.withColumn("reference", F.col("stays.reference")), "sets")
     found, bins, before = None, {}, None
     for depth in range(LONGEST, SHORTEST - 1, -1):
         members = _units(sets, depth).join(sets.select("set", "n", "signature"), "set").select("unit", "tree", "side", "set", "n", "signature")
@@ -363,12 +352,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", target_recall
             break
     links = found.where("what = 'links'").groupBy("a").agg(F.sum("n").alias("linked"))
     roots = components(found.where("what = 'edge'").select("a", "b"))
-    named = sets.select("set", "copy_id", "copies").join(links, sets["set"] == links["a"], "left").drop("a")
+    named = sets.select("set", "copy_id", "copies", "stays").join(links, sets["set"] == links["a"], "left").drop("a")
     named = named.join(roots, named["set"] == roots["node"], "left").withColumn("root", F.coalesce("root", "set")).drop("node")
     named = written(named, "named")
-    classes = named.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    lowest = named.groupBy("root").agg(F.min("copy_id").alias("class_id"), F.min("stays").alias("first"))
     total = F.coalesce("linked", F.lit(0)) + F.col("copies") - 1
-    answer = written(named.join(classes, "root").select("set", "class_id", "copy_id", total.alias("n_links")), "classes")
+    stays = F.col("first.reference").alias("stays")
+    return rows, written(named.join(lowest, "root").select("set", "class_id", "copy_id", total.alias("n_links"), stays), "classes")
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
+    """Per row of docs: key, class_id, copy_id, n_links.
+
+    copy_id is the lowest key among rows with the same shingles, class_id that among all rows connected by links,
+    n_links the number of other rows with a similarity of 0.8 or more. Rows without any word are linked to none and
+    have their own key for both. Null keys are taken part in and are the lowest key only of classes that have no
+    other. Repeated rows are copies of each other. An empty table gives no row; other columns of docs aren't read.
+    """
+    rows, answer = classes(docs, key, text, target_recall)
     # a set may have much of the rows: its side is split by adaptive execution
     joined = rows.select("key", "set").join(answer, "set", "left")
     alone = F.col("set").isNull()
@@ -378,3 +379,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", target_recall
         F.when(alone, F.col("key")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
+    """The row of the lowest key of each class, with all its columns; rows without any word all stay.
+
+    Rows that repeat a key and text count as one row.
+    """
+    rows, answer = classes(docs, key, text, target_recall)
+    stay = rows.where(F.col("set").isNull()).select("reference").unionByName(answer.select(F.col("stays").alias("reference")))
+    stay = written(stay.distinct(), "staying")
+    named = docs.select(reference(key, text).alias("reference"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    one = named.join(stay, "reference", "left_semi").dropDuplicates(["reference"])
+    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
