@@ -66,22 +66,19 @@ def measure(column: pa.Array) -> list:
     return list(zip(*rows, strict=True))
 
 
-def measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of docs and the counts of BASE of each whole text; a null text has no words."""
+def measures(docs: DataFrame, carry: dict[str, str | F.Column], text: str = "text") -> DataFrame:
+    """The counts of BASE of each whole text, beside columns of docs under new names; a null text has no words."""
     bound_batches(docs.sparkSession)
-    names = [f"k{i}" for i in range(len(keep))]
-    kept = [T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, keep, strict=True)]
-    schema = T.StructType([*kept, *T.StructType.fromDDL(BASE).fields])
+    source = docs.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in carry.items()], F.col(text).cast("string"))
+    schema = T.StructType([*source.schema.fields[: len(carry)], *T.StructType.fromDDL(BASE).fields])
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                counts = [pa.array(c, pa.int64()) for c in measure(batch.column(len(names)))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *counts], schema.names)
+                counts = [pa.array(c, pa.int64()) for c in measure(batch.column(len(carry)))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *counts], schema.names)
 
-    source = docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep, strict=True)], F.col(text).cast("string"))
-    found = source.mapInArrow(run, schema)
-    return found.withColumnsRenamed(dict(zip(names, keep, strict=True)))
+    return source.mapInArrow(run, schema)
 
 
 def with_shares(counts: DataFrame) -> DataFrame:
@@ -133,49 +130,52 @@ def quartiles(sketches: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, and the lowest and highest value allowed of each measure.
+def thresholds(rows: DataFrame) -> DataFrame:
+    """_lang, _source, and the lowest and highest value allowed of each measure.
 
     Learned from the rows that passed the base rules; a language or source can be null, which is a value like others.
     """
-    fine = sketch(rows.where(~F.col("base_failed")).select(F.col(lang).alias("lang"), F.col(source).alias("source"), *MEASURES), ["lang", "source"])
-    fine = written(fine, "sketches")
-    levels = [["lang", "source"], ["lang"], []]
+    group = ["_lang", "_source"]
+    fine = written(sketch(rows.where(~F.col("base_failed")).select(*group, *MEASURES), group), "sketches")
+    levels = [group, group[:1], []]
     found = [quartiles(fine if i == 0 else merge(fine, g), g) for i, g in enumerate(levels)]
     named = [
         q.select(*g, "measure", F.struct("total", "q25", "q75").alias(f"level{i}")) for i, (g, q) in enumerate(zip(levels, found, strict=True))
     ]
     joined = named[0]
     for g, q in list(zip(levels, named, strict=True))[1:]:
-        q = q.withColumnsRenamed({c: f"_{c}" for c in [*g, "measure"]})
-        same = [joined[c].eqNullSafe(q[f"_{c}"]) for c in [*g, "measure"]]
-        joined = joined.join(q, reduce(lambda a, b: a & b, same)).drop(*[f"_{c}" for c in [*g, "measure"]])
+        q = q.withColumnsRenamed({c: f"of_{c}" for c in [*g, "measure"]})
+        same = [joined[c].eqNullSafe(q[f"of_{c}"]) for c in [*g, "measure"]]
+        joined = joined.join(q, reduce(lambda a, b: a & b, same)).drop(*[f"of_{c}" for c in [*g, "measure"]])
     use = F.when(F.col("level0.total") >= GROUP, F.col("level0")).when(F.col("level1.total") >= GROUP, F.col("level1"))
     joined = joined.withColumn("use", use.otherwise(F.col("level2")))
     least = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m][0]), list(MEASURES)[1:], F.when(F.col("measure") == list(MEASURES)[0], MEASURES[list(MEASURES)[0]][0]))
     reach = REACH * F.greatest(F.col("use.q75") - F.col("use.q25"), least)
-    fences = joined.select("lang", "source", "measure", (F.col("use.q25") - reach).alias("low"), (F.col("use.q75") + reach).alias("high"))
+    fences = joined.select(*group, "measure", (F.col("use.q25") - reach).alias("low"), (F.col("use.q75") + reach).alias("high"))
     aggregates = [
         F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{m}_{end}") for m in MEASURES for end in ("low", "high")
     ]
-    return fences.groupBy("lang", "source").agg(*aggregates)
+    return fences.groupBy(*group).agg(*aggregates)
 
 
-def judge(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", carry: list[str] | None = None
-) -> DataFrame:
-    """Per row of docs: the key, the counts of BASE, base_failed, the measures, kept.
+def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """Per row of docs: _key, _lang, _source, _row (a struct of all columns of docs), the counts of BASE, base_failed,
+    the measures, kept.
 
     kept is false if a base rule fails or a measure lies outside the fences of the row's language and source. Rows
     of a language and source that have no passing text have failed the base rules themselves. Repeated rows and null
-    keys, languages or sources give a row each. ``carry`` names further columns of docs to return.
+    keys, languages or sources give a row each, an empty table none.
     """
-    keep = list(dict.fromkeys([key, lang, source, *(carry or [])]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judge(docs, {"_key": key, "_lang": lang, "_source": source, "_row": whole}, text)
+
+
+def _judge(docs: DataFrame, carry: dict[str, str | F.Column], text: str) -> DataFrame:
     # the counts are read twice and need a pass over all texts, so they are written
-    rows = written(with_shares(measures(docs, keep, text)), "measures")
+    rows = written(with_shares(measures(docs, carry, text)), "measures")
     # written, so that Spark knows its size and broadcasts it only where that is small
-    limits = written(thresholds(rows, lang, source), "thresholds").withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    joined = rows.join(limits, rows[lang].eqNullSafe(limits["_lang"]) & rows[source].eqNullSafe(limits["_source"]), "left")
+    limits = written(thresholds(rows), "thresholds").withColumnsRenamed({"_lang": "of_lang", "_source": "of_source"})
+    joined = rows.join(limits, F.col("_lang").eqNullSafe(F.col("of_lang")) & F.col("_source").eqNullSafe(F.col("of_source")), "left")
     fits = [
         (F.col(m) <= F.col(f"{m}_high")) & ((F.col(m) >= F.col(f"{m}_low")) if low else F.lit(True))
         for m, (_, low) in MEASURES.items()
@@ -186,12 +186,12 @@ def judge(
 
 def rate(docs: DataFrame) -> DataFrame:
     """The counts and verdict of each document."""
-    return judge(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
-    )
+    rows = _judge(docs, {"_key": "doc_id", "_lang": "lang", "_source": "source"}, "text")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select(F.col("_key").alias("doc_id"), *counts)
 
 
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    verdict = judge(docs, key, text, carry=docs.columns)
-    return verdict.where("kept").select(*docs.columns)
+    good = judge(docs, key, text).where("kept")
+    return good.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
