@@ -46,7 +46,7 @@ def items(spark, texts):
         (None, " ".join(some[1].split()[5:25])),
         (7, "テキスト 😀"),
     ]
-    return spark.createDataFrame(rows, "item_id long, text string, n_hit long")
+    return spark.createDataFrame([(*r, 1) for r in rows], "item_id long, text string, n_hit long")
 
 
 @pytest.mark.parametrize("block", [decontamination.BLOCK_BYTES, 200])

@@ -320,6 +320,8 @@ def learn_weights(docs: DataFrame, shared: Broadcast, table: Broadcast, key: str
                 mixer.read(texts, learn=True)
                 n += len(texts)
         cells = mixer.weights.ravel().astype(np.float64)
+        if not n:
+            return
         yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(cells * n), pa.array(np.full(len(cells), n))], ["cell", "w", "n"])
 
     part = docs.where(crc_mod(key) == WEIGHING).select(F.col(text).cast("string"))

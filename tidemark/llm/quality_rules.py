@@ -70,13 +70,14 @@ def measures(docs: DataFrame, carry: dict[str, str | F.Column], text: str = "tex
     """The counts of BASE of each whole text, beside columns of docs under new names; a null text has no words."""
     bound_batches(docs.sparkSession)
     source = docs.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in carry.items()], F.col(text).cast("string"))
-    schema = T.StructType([*source.schema.fields[: len(carry)], *T.StructType.fromDDL(BASE).fields])
+    n = len(carry)
+    schema = T.StructType([*source.schema.fields[:n], *T.StructType.fromDDL(BASE).fields])
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                counts = [pa.array(c, pa.int64()) for c in measure(batch.column(len(carry)))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *counts], schema.names)
+                counts = [pa.array(c, pa.int64()) for c in measure(batch.column(n))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *counts], schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -149,7 +150,7 @@ def thresholds(rows: DataFrame) -> DataFrame:
         joined = joined.join(q, reduce(lambda a, b: a & b, same)).drop(*[f"of_{c}" for c in [*g, "measure"]])
     use = F.when(F.col("level0.total") >= GROUP, F.col("level0")).when(F.col("level1.total") >= GROUP, F.col("level1"))
     joined = joined.withColumn("use", use.otherwise(F.col("level2")))
-    least = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m][0]), list(MEASURES)[1:], F.when(F.col("measure") == list(MEASURES)[0], MEASURES[list(MEASURES)[0]][0]))
+    least = F.create_map(*[F.lit(x) for m, (least, _) in MEASURES.items() for x in (m, least)])[F.col("measure")]
     reach = REACH * F.greatest(F.col("use.q75") - F.col("use.q25"), least)
     fences = joined.select(*group, "measure", (F.col("use.q25") - reach).alias("low"), (F.col("use.q75") + reach).alias("high"))
     aggregates = [
