@@ -1,9 +1,13 @@
 """Ledger tables: latest row per key, run life cycle, tidying."""
 
+import datetime
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.sources import fs, ledger as ledger_module
-from tidemark.sources.ledger import Ledger
+from tidemark.sources.ledger import Ledger, merged_date
 
 
 def test_run_life_cycle(spark, base):
@@ -42,21 +46,38 @@ def test_silver_runs(spark, base):
         ledger.start_silver_run("s1", "job", "users")
     ledger.end_silver_run("s1", "SUCCESS", {"n": 1})
     row = ledger.view("silver_runs").first()
-    assert (row["job_name"], row["table_name"], row["status"], row["details"]) == ("job", "users", "SUCCESS", '{"n": 1}')
+    assert (row["job_name"], row["table_name"], row["status"], row["details"]) == ("job", "users", "SUCCESS", {"n": "1"})
+
+
+def commit(ledger, number, table, run, *dates, **facts):
+    return ledger.commit_merge(number, job_name="job", table_name=table, run_id=run, dates=[merged_date(*d) for d in dates], **facts)
 
 
 def test_processed_partitions(spark, base):
     ledger = Ledger(spark, base)
     assert ledger.processed_partitions("job", "users").count() == 0
-    ledger.mark_partition_processed("job", "users", "2024-01-01", "r1", 5, 4, 0)
-    ledger.mark_partition_processed("job", "users", "2024-01-02", "r2")
-    ledger.mark_partition_processed("job", "orders", "2024-01-01", "r3")
-    ledger.mark_partition_processed("job", "users", "2024-01-01", "r4", 9, 8, 0)
+    assert commit(ledger, 1, "users", "r1", ("2024-01-01", None, 5, 4))
+    assert commit(ledger, 2, "users", "r2", ("2024-01-02", None, 0, 0))
+    assert commit(ledger, 1, "orders", "r3", ("2024-01-01", None, 1, 1))
+    assert commit(ledger, 3, "users", "r4", ("2024-01-01", None, 9, 8))
     rows = ledger.processed_partitions("job", "users").orderBy("event_date").collect()
     assert [(r["event_date"], r["run_id"], r["rows_in"], r["rows_out"]) for r in rows] == [
         ("2024-01-01", "r4", 9, 8),
         ("2024-01-02", "r2", 0, 0),
     ]
+    assert ledger.has_merge("job", "users", "r2") and not ledger.has_merge("job", "users", "r3")
+
+
+def test_one_merge_per_number(spark, base):
+    ledger = Ledger(spark, base)
+    assert ledger.live_version("job", "users") is None and ledger.last_number("job", "users") == 0
+    assert commit(ledger, 1, "users", "a", version="a", rows=1)
+    assert not commit(ledger, 1, "users", "b", version="b", rows=2)
+    assert ledger.live_version("job", "users") == {"number": 1, "version": "a", "rows": 1, "mode": None, "buckets": None}
+    # a writer lost before it filled its file leaves the version before it live, and its number taken
+    fs.create_text(spark, ledger._merges("job", "users"), "commit-000000000002.json", "")
+    assert ledger.live_version("job", "users")["version"] == "a" and ledger.last_number("job", "users") == 2
+    assert ledger.processed_partitions("job", "users").count() == 0
 
 
 def test_tidy_keeps_the_view(spark, base, monkeypatch):
@@ -64,8 +85,38 @@ def test_tidy_keeps_the_view(spark, base, monkeypatch):
     ledger = Ledger(spark, base)
     for i in range(9):
         ledger.upsert_checkpoint("t", i % 2, i)
-    assert len(fs.glob(spark, f"{base}/cdc_checkpoints/part-*")) <= 4
+    # what a reader may have listed is still there
+    assert len(fs.glob(spark, f"{base}/cdc_checkpoints/part-*")) > 9
     assert (ledger.get_checkpoint("t", 0), ledger.get_checkpoint("t", 1)) == (8, 7)
+    monkeypatch.setattr(ledger_module, "GRACE_SECONDS", -1)
+    for i in range(9, 13):
+        ledger.upsert_checkpoint("t", i % 2, i)
+    assert len(fs.glob(spark, f"{base}/cdc_checkpoints/part-*")) <= 8
+    assert (ledger.get_checkpoint("t", 0), ledger.get_checkpoint("t", 1)) == (12, 11)
+
+
+def test_no_row_of_several_writers_is_lost(spark, base, monkeypatch):
+    monkeypatch.setattr(ledger_module, "MAX_FILES", 5)
+
+    def write(k):
+        ledger = Ledger(spark, base)
+        for i in range(6):
+            ledger.append_rows("cdc_checkpoints", spark.createDataFrame([(f"t{k}", i, i)], "topic string, partition int, last_committed_offset long").withColumn("updated_at", F.lit("x")))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    rows = Ledger(spark, base).view("cdc_checkpoints").collect()
+    assert {(r.topic, r.partition, r.last_committed_offset) for r in rows} == {(f"t{k}", i, i) for k in range(4) for i in range(6)}
+
+
+def test_stamps_are_utc(spark, base):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = Ledger(spark, base).now()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    gap = datetime.datetime.now(datetime.timezone.utc) - datetime.datetime.fromisoformat(stamp)
+    assert stamp.endswith("+00:00") and abs(gap.total_seconds()) < 60
 
 
 def test_unknown_column(spark, base):

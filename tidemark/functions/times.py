@@ -35,6 +35,11 @@ def now_seconds_z() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def now_seconds_offset() -> Column:
+    """Current UTC time with seconds and ``+00:00``, whatever the session's time zone: the stamp of ledger rows."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def now_micros_offset() -> Column:
     """Current UTC time with microseconds and ``+00:00``: the default when a bronze row has no stamp."""
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

@@ -98,8 +98,7 @@ def judge(
     )
 
 
-def stage_rows(judged: DataFrame, spec: EntitySpec, *, keep_raw_json: bool = False, extra: Sequence[str] = ()):
-    """Typed stage rows of one entity. ``extra`` names carried input columns to append."""
+def _stage_columns(judged: DataFrame, spec: EntitySpec, keep_raw_json: bool) -> list[Column]:
     entity = F.col(_entity(spec))
     cdc = {
         "table": F.col("src_table"),
@@ -107,27 +106,28 @@ def stage_rows(judged: DataFrame, spec: EntitySpec, *, keep_raw_json: bool = Fal
         "is_delete": F.col("op") == "d",
     }
     fields = {f.name: entity[f.name] for f in spec.fields}
-    schema = stage_schema(spec, keep_raw_json)
-    good = judged.where(F.col("error").isNull() & (F.col("src_table") == spec.table))
-    columns = [
+    return [
         (cdc.get(f.name, F.col(f.name)) if i < len(CDC_FIELDS) else fields.get(f.name, F.col(f.name))).alias(f.name)
-        for i, f in enumerate(schema.fields)
+        for i, f in enumerate(stage_schema(spec, keep_raw_json).fields)
     ]
-    return good.select(*columns, *extra)
 
 
-def quarantine_rows(judged: DataFrame, *, keep_raw_json: bool = False, extra: Sequence[str] = ()) -> DataFrame:
-    """Rejected events. Which columns are filled depends on how far an event got: envelope errors carry the raw
-    text, mismatches the two table names, entity errors the event's table, op, ts_ms and lsn."""
+def stage_rows(judged: DataFrame, spec: EntitySpec, *, keep_raw_json: bool = False, extra: Sequence[str] = ()):
+    """Typed stage rows of one entity. ``extra`` names carried input columns to append."""
+    good = judged.where(F.col("error").isNull() & (F.col("src_table") == spec.table))
+    return good.select(*_stage_columns(judged, spec, keep_raw_json), *extra)
+
+
+def _quarantine_columns(judged: DataFrame, keep_raw_json: bool) -> list[Column]:
     in_envelope = F.col("error").isin(*ENVELOPE_CODES)
     mismatch = F.col("error") == "TABLE_MISMATCH"
     typed = ~in_envelope & ~mismatch
     raw = F.col("raw_json") if keep_raw_json else F.when(in_envelope, F.col("raw_json"))
     row = F.col("row") if "row" in judged.columns else F.col("src_row")
-    return judged.where("error is not null").select(
+    return [
         row.alias("row"),
-        "error",
-        "ingest_ts",
+        F.col("error"),
+        F.col("ingest_ts"),
         raw.alias("raw_json"),
         F.when(mismatch, F.col("expected_table")).alias("expected_table"),
         F.when(mismatch, F.col("src_table")).alias("actual_table"),
@@ -135,7 +135,26 @@ def quarantine_rows(judged: DataFrame, *, keep_raw_json: bool = False, extra: Se
         F.when(typed, F.col("op")).alias("op"),
         F.when(typed, F.col("ts_ms")).alias("ts_ms"),
         F.when(typed, F.col("lsn")).alias("lsn"),
-        *extra,
+    ]
+
+
+def quarantine_rows(judged: DataFrame, *, keep_raw_json: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+    """Rejected events. Which columns are filled depends on how far an event got: envelope errors carry the raw
+    text, mismatches the two table names, entity errors the event's table, op, ts_ms and lsn."""
+    return judged.where("error is not null").select(*_quarantine_columns(judged, keep_raw_json), *extra)
+
+
+def split_rows(judged: DataFrame, spec: EntitySpec, keep_raw_json: bool, keep_rejected_json: bool) -> DataFrame:
+    """source, run_id, kind (stage or bad), and a struct of that kind's columns: every event once, in one pass."""
+    good = F.col("error").isNull() & (F.col("src_table") == spec.table)
+    stage = _stage_columns(judged, spec, keep_raw_json)
+    bad = _quarantine_columns(judged, keep_rejected_json)
+    return judged.where(good | F.col("error").isNotNull()).select(
+        "source",
+        "run_id",
+        F.when(good, F.struct(*stage)).alias("stage"),
+        F.when(~good, F.struct(*bad)).alias("bad"),
+        F.when(good, "stage").otherwise("bad").alias("kind"),
     )
 
 

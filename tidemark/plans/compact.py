@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import now_seconds_offset
 from tidemark.operators.selection import RUN_KEYS, compaction_stats, eligible_runs
+from tidemark.session import check
 from tidemark.sources import bronze, fs
-from tidemark.sources.ledger import Ledger, utc_now_iso
+from tidemark.sources.ledger import Ledger
 
 log = logging.getLogger(__name__)
 
@@ -40,47 +42,56 @@ def compact(
     the next attempt would not replace. ``prune`` removes the run folders after that. ``statuses`` may add
     FAILED to rescue the complete batches of broken runs.
     """
-    runs = bronze.discover_runs(spark, base)
+    check(spark)
+    runs = bronze.discover_runs(spark, base, only_date=only_date)
     # A marker file counts for runs of another writer only; of its own runs the ledger knows more.
     known = ledger.view("pipeline_runs").select("run_id", "status")
-    finished = known.union(bronze.marked_runs(spark, base).join(known, "run_id", "left_anti"))
+    finished = known.union(bronze.marked_runs(spark, base, only_date).join(known, "run_id", "left_anti"))
     todo = eligible_runs(runs, finished, ledger.view("compacted_runs"), only_date, statuses)
-    # Folder names only: one row per run waiting for compaction.
-    folders = [bronze.run_path(base, *[r[k] for k in RUN_KEYS]) for r in todo.select(*RUN_KEYS).collect()]
-    folders = [f for f in folders if fs.glob(spark, f"{f}/batch=*/part-*") or fs.glob(spark, f"{f}/*.parquet")]
-    if not folders:
-        return compaction_stats(spark.createDataFrame([], _empty_ddl()))
-    rows = bronze.read_runs(spark, base, folders)
-    columns = ["ingest_ts", "raw_json", "topic", "partition", "offset", *RUN_KEYS]
-    target = f"{base.rstrip('/')}/{bronze.COMPACTED}"
-    (
-        compact_rows(rows)
-        .select(*columns)
-        .write.partitionBy(*RUN_KEYS)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(target)
-    )
-    # Counting reads file footers and folder names, no column data.
-    before = compaction_stats(rows)
-    written = [f.replace(f"/{bronze.RUNS}/", f"/{bronze.COMPACTED}/") for f in folders]
-    after = bronze.read_runs(spark, base, written, bronze.COMPACTED).groupBy(*RUN_KEYS).agg(F.count("*").alias("_out"))
-    stats = before.join(after, RUN_KEYS, "left")
-    wrong = stats.where("rows <> coalesce(_out, 0)").limit(1).collect()
-    if wrong:
-        raise RuntimeError(f"compacted rows differ from the run's: {wrong[0].asDict()}")
-    ledger.append_rows("compacted_runs", before.withColumn("compacted_at", F.lit(utc_now_iso())))
-    done = ledger.view("compacted_runs").join(runs, RUN_KEYS, "left_semi")
+    # Folder and file names only: a row per run waiting for compaction.
+    waiting = [tuple(r[k] for k in RUN_KEYS) for r in todo.select(*RUN_KEYS).collect()]
+    parts = {run: bronze.run_parts(spark, bronze.run_path(base, *run)) for run in waiting}
+    paths = [p for found in parts.values() for p in found]
+    ddl = ", ".join(f"`{k}` string" for k in RUN_KEYS)
+    empty = spark.createDataFrame([], f"{ddl}, parts long, rows long")
+    if not waiting:
+        return empty
+    before = empty
+    if paths:
+        rows = bronze.read_runs(spark, base, paths)
+        columns = [c for c in rows.columns if c not in ("batch", "src_file", "src_row")]
+        target = f"{base.rstrip('/')}/{bronze.COMPACTED}"
+        (
+            compact_rows(rows)
+            .select(*[F.col(f"`{c}`") for c in columns])
+            .write.partitionBy(*RUN_KEYS)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(target)
+        )
+        # Counting reads file footers and folder names, no column data.
+        before = compaction_stats(rows)
+        written = [p for run in waiting if fs.exists(spark, p := bronze.run_path(base, *run, root=bronze.COMPACTED))]
+        after = empty.select(*RUN_KEYS, F.col("rows").alias("_out"))
+        if written:
+            kept = bronze.read_runs(spark, base, written, bronze.COMPACTED)
+            lost = set(columns) - set(kept.columns)
+            if lost:
+                raise RuntimeError(f"compacted files lack columns {sorted(lost)}")
+            after = kept.groupBy(*RUN_KEYS).agg(F.count("*").alias("_out"))
+        wrong = before.join(after, RUN_KEYS, "left").where("rows <> coalesce(_out, 0)").limit(1).collect()
+        if wrong:
+            raise RuntimeError(f"compacted rows differ from the run's: {wrong[0].asDict()}")
+    # A run without rows is done as well.
+    named = spark.createDataFrame(waiting, ddl)
+    none = named.join(before, RUN_KEYS, "left_anti").select(*RUN_KEYS, F.lit(0).alias("parts"), F.lit(0).alias("rows"))
+    ledger.append_rows("compacted_runs", before.unionByName(none).withColumn("compacted_at", now_seconds_offset()))
+    done = ledger.view("compacted_runs").join(named, RUN_KEYS, "left_semi").where("rows > 0")
     if prune:
-        for folder in folders:
+        for run in waiting:
+            folder = bronze.run_path(base, *run)
             try:
                 fs.remove(spark, folder)
             except Exception as error:  # noqa: BLE001 - the run is safe in its compacted form
                 log.warning("could not remove %s: %s", folder, error)
-    now = [tuple(fs.folder_values(f)[k] for k in RUN_KEYS) for f in folders]
-    ddl = ", ".join(f"`{k}` string" for k in RUN_KEYS)
-    return done.join(spark.createDataFrame(now, ddl), RUN_KEYS, "left_semi").select(*RUN_KEYS, "parts", "rows")
-
-
-def _empty_ddl() -> str:
-    return ", ".join(f"`{k}` string" for k in [*RUN_KEYS, "src_file"])
+    return done.select(*RUN_KEYS, "parts", "rows")

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.merge import is_removal, live, merge_current, merge_stats
 from tidemark.operators.selection import pending_dates
-from tidemark.sources import silver
-from tidemark.sources.ledger import Ledger, merged_date, utc_now_iso
+from tidemark.session import check
+from tidemark.sources import fs, silver
+from tidemark.sources.ledger import Ledger, merged_date
 from tidemark.specs import EntitySpec
 
 JOB_NAME = "merge_current"
 DEFAULT_BUCKETS = 64
+# Times a merge starts over because another one was committed before it.
+ATTEMPTS = 20
+NOTHING = "nothing_to_process"  # fixed: the status that callers compare with
 
 
 @dataclass(frozen=True)
@@ -46,7 +50,7 @@ def _read_version(spark: SparkSession, silver_base: str, spec: EntitySpec, versi
 def _pending(spark, silver_base, ledger, spec, mode, only_date, force) -> DataFrame:
     """(event_date, run_id) stage folders to apply. ``replay`` finishes a date for good; ``ordered`` looks at
     every stage run of a date, so events that arrive late are applied too."""
-    parts = silver.stage_partitions(spark, silver_base, spec.table)
+    parts = silver.stage_partitions(spark, silver_base, spec.table, only_date)
     processed = ledger.processed_partitions(JOB_NAME, spec.table)
     if mode == "replay" or only_date is not None or force:
         dates = pending_dates(parts, processed, only_date, force)
@@ -74,36 +78,41 @@ def run_merge(
     The new version is written first; one ledger row then makes it live together with the dates it covers. A
     crash before that row leaves the old version live and the dates pending.
     """
+    check(spark)
     run_id = run_id or uuid.uuid4().hex
     ledger.start_silver_run(run_id, JOB_NAME, spec.table)
     try:
-        pending = [
-            (r["event_date"], r["run_id"])
-            for r in _pending(spark, silver_base, ledger, spec, mode, only_date, force).collect()
-        ]
-        if not pending:
-            ledger.end_silver_run(run_id, "SUCCESS", {"message": "nothing_to_process"})
-            return MergeResult(run_id, "nothing_to_process")
-        dates = sorted({d for d, _ in pending})
-        if mode == "replay" or only_date is not None or force:
-            stage = silver.read_stage(spark, silver_base, spec, dates=dates)
-        else:
-            stage = silver.read_stage(spark, silver_base, spec, partitions=[p for p in pending if p[1] is not None])
-        result = apply_stage(
-            spark,
-            silver_base,
-            ledger,
-            spec,
-            stage.drop("run_id"),
-            run_id=run_id,
-            mode=mode,
-            buckets=buckets,
-            dates=dates,
-            stage_runs=None if mode == "replay" else pending,
-            stats=stats,
-        )
-        ledger.end_silver_run(run_id, "SUCCESS", {"version": result.version, "processed_dates": dates})
-        return result
+        for attempt in range(ATTEMPTS):
+            pending = [
+                (r["event_date"], r["run_id"])
+                for r in _pending(spark, silver_base, ledger, spec, mode, only_date, force).collect()
+            ]
+            if not pending:
+                ledger.end_silver_run(run_id, "SUCCESS", {"message": NOTHING})
+                return MergeResult(run_id, NOTHING)
+            dates = sorted({d for d, _ in pending})
+            if mode == "replay" or only_date is not None or force:
+                stage = silver.read_stage(spark, silver_base, spec, dates=dates)
+            else:
+                stage = silver.read_stage(spark, silver_base, spec, partitions=pending)
+            result = apply_stage(
+                spark,
+                silver_base,
+                ledger,
+                spec,
+                stage.drop("run_id"),
+                run_id=run_id,
+                version=f"{run_id}-{attempt}" if attempt else run_id,
+                mode=mode,
+                buckets=buckets,
+                dates=dates,
+                stage_runs=None if mode == "replay" else pending,
+                stats=stats,
+            )
+            if result is not None:
+                ledger.end_silver_run(run_id, "SUCCESS", {"version": result.version, "processed_dates": dates})
+                return result
+        raise RuntimeError(f"merge of {spec.table} was overtaken {ATTEMPTS} times")
     except Exception as error:
         ledger.end_silver_run(run_id, "FAILED", {"error": str(error)})
         raise
@@ -117,21 +126,28 @@ def apply_stage(
     stage: DataFrame,
     *,
     run_id: str,
+    version: str | None = None,
     mode: str = "replay",
     buckets: int | None = None,
     dates: list[str] | None = None,
     stage_runs: list[tuple] | None = None,
     stats: bool = True,
-) -> MergeResult:
-    """Fold a stage frame into the live version, write the next one, commit it."""
+) -> MergeResult | None:
+    """Fold a stage frame into the live version, write the next one, commit it.
+
+    None if another merge was committed meanwhile: what was written lacks its rows and is removed again.
+    """
+    check(spark)
+    version = version or run_id
+    number = ledger.last_number(JOB_NAME, spec.table) + 1
     before = ledger.live_version(JOB_NAME, spec.table)
     buckets = buckets or (before["buckets"] if before else DEFAULT_BUCKETS)
     current = _read_version(spark, silver_base, spec, before)
     if before and before["mode"] == "ordered" and mode == "replay":
         current = live(current)
     merged = merge_current(current, stage, spec.pk, mode, partitions=buckets)
-    silver.write_current(merged, silver_base, spec, run_id, buckets)
-    written = silver.read_current(spark, silver_base, spec, run_id, buckets, merged.schema)
+    silver.write_current(merged, silver_base, spec, version, buckets)
+    written = silver.read_current(spark, silver_base, spec, version, buckets, merged.schema)
     counted = written.agg(F.count("*").alias("n"), F.count_if(is_removal(written)).alias("gone")).collect()[0]
 
     per_date: dict[str, tuple] = {}
@@ -149,17 +165,19 @@ def apply_stage(
         rows_in, rows_out, bad = per_date.get(d, (0, rows_out, 0))
         for stage_run in runs_of.get(d, [None]):
             marks.append(merged_date(d, stage_run, rows_in, rows_out, bad))
-    ledger.append(
-        "merges",
+    committed = ledger.commit_merge(
+        number,
         job_name=JOB_NAME,
         table_name=spec.table,
         run_id=run_id,
         mode=mode,
-        version=run_id,
+        version=version,
         buckets=buckets,
         rows=counted["n"] - counted["gone"],
         tombstones=counted["gone"],
-        processed_at=utc_now_iso(),
         dates=marks,
     )
-    return MergeResult(run_id, "SUCCESS", run_id, counted["n"] - counted["gone"], marks)
+    if not committed:
+        fs.remove(spark, silver.version_path(silver_base, spec.table, version))
+        return None
+    return MergeResult(run_id, "SUCCESS", version, counted["n"] - counted["gone"], marks)

@@ -26,6 +26,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check(spark: SparkSession) -> None:
+    """Raise if a setting above is not in force: jobs would give other results."""
+    wrong = {k: spark.conf.get(k, None) for k, v in REQUIRED_CONF.items() if (spark.conf.get(k, None) or "").lower() != v.lower()}
+    if wrong:
+        raise RuntimeError(f"call tidemark.configure(spark) first; the session has {wrong}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for written intermediate tables.
 

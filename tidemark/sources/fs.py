@@ -5,8 +5,19 @@ Only names of folders pass through the driver, never data.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+# Characters that Spark escapes in the value of a partition folder; fixed, since both must name the same folders.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+
+
+def folder(name: str, value: str) -> str:
+    """``name=value`` as Spark writes it."""
+    return f"{name}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
 
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -24,9 +35,22 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (fs.globStatus(hadoop_path) or []))
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; empty when it is missing."""
+    hadoop_path, fs = _path(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written, by the clock of this machine."""
+    hadoop_path, fs = _path(spark, path)
+    return (spark._jvm.System.currentTimeMillis() - fs.getFileStatus(hadoop_path).getModificationTime()) / 1000
+
+
 def folder_values(path: str) -> dict[str, str]:
     """``.../a=1/b=2`` -> {"a": "1", "b": "2"}; the innermost value of a repeated name counts."""
-    return dict(part.split("=", 1) for part in path.rstrip("/").split("/") if "=" in part)
+    parts = (part.split("=", 1) for part in path.rstrip("/").split("/") if "=" in part)
+    return {name: unquote(value) for name, value in parts}
 
 
 def remove(spark: SparkSession, path: str) -> bool:
@@ -34,9 +58,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
     hadoop_path, fs = _path(spark, path)
-    fs.mkdirs(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
@@ -49,3 +78,22 @@ def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
         stream.close()
     if not fs.rename(hidden, _path(spark, f"{folder}/{name}")[0]):
         raise OSError(f"could not commit {folder}/{name}")
+
+
+def create_text(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Create a small file unless there is one of that name; False if there is.
+
+    Of several writers one succeeds. A reader may find the file still empty.
+    """
+    path, fs = _path(spark, f"{folder}/{name}")
+    try:
+        stream = fs.create(path, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or fs.exists(path):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    return True

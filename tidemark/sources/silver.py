@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,6 +14,8 @@ from tidemark.operators.union import promote_union, require_columns
 from tidemark.sources import fs
 from tidemark.specs import QUARANTINE_SCHEMA, EntitySpec, stage_schema
 
+# Columns that stage data must have besides the key; fixed.
+NEEDED = ("op", "ts_ms", "lsn", "is_delete")
 STAGE = "stage_events"
 QUARANTINE = "stage_events_quarantine"
 CURRENT = "current"
@@ -43,13 +46,13 @@ def write_stage(stage: DataFrame, base: str, *, spread: bool = True, max_records
     )
 
 
-def stage_partitions(spark: SparkSession, base: str, table: str) -> DataFrame:
+def stage_partitions(spark: SparkSession, base: str, table: str, only_date: str | None = None) -> DataFrame:
     """(event_date, run_id) of the stage folders, from folder names alone; empty when there is no stage."""
-    root = _table(base, STAGE, table)
-    found = [fs.folder_values(p) for p in fs.glob(spark, f"{root}/event_date=*/run_id=*")]
+    root, date = _table(base, STAGE, table), only_date or "*"
+    found = [fs.folder_values(p) for p in fs.glob(spark, f"{root}/event_date={date}/run_id=*")]
     have = {v["event_date"] for v in found}
     # A date folder written by another tool, or left empty, has no run level.
-    bare = [v for p in fs.glob(spark, f"{root}/event_date=*") if (v := fs.folder_values(p))["event_date"] not in have]
+    bare = [v for p in fs.glob(spark, f"{root}/event_date={date}") if (v := fs.folder_values(p))["event_date"] not in have]
     rows = sorted((v["event_date"], v.get("run_id")) for v in [*found, *bare])
     return spark.createDataFrame(rows, "event_date string, run_id string")
 
@@ -67,7 +70,8 @@ def read_stage(
     schema = stage_schema(spec, keep_raw_json)
     root = _table(base, STAGE, spec.table)
     if partitions is not None:
-        paths = [f"{root}/event_date={d}/run_id={r}" for d, r in partitions]
+        # a date folder of another tool has no run level
+        paths = [f"{root}/event_date={d}" + ("" if r is None else f"/{fs.folder('run_id', r)}") for d, r in partitions]
     elif dates is not None:
         paths = [f"{root}/event_date={d}" for d in dates]
     else:
@@ -75,27 +79,28 @@ def read_stage(
     paths = [p for p in paths if fs.exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], schema).withColumn("run_id", F.lit(None).cast("string"))
-    reader = spark.read.schema(f"{_ddl(schema)}, run_id string").option("basePath", f"{base.rstrip('/')}/{STAGE}")
-    return reader.parquet(*paths).select(*schema.names, "run_id")
+    reader = spark.read.option("basePath", f"{base.rstrip('/')}/{STAGE}")
+    try:
+        stored = reader.option("mergeSchema", "true").parquet(*paths)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # folders without files
+            return spark.createDataFrame([], schema).withColumn("run_id", F.lit(None).cast("string"))
+        raise
+    require_columns(stored, [*NEEDED, spec.pk], f"stage data of {spec.table}")
+    return reader.schema(f"{_ddl(schema)}, run_id string").parquet(*paths).select(*schema.names, "run_id")
 
 
-def clear_run(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> None:
-    """Remove what an earlier attempt wrote for some runs, so that dates it alone had do not linger."""
-    root = base.rstrip("/")
-    for run in run_ids:
-        for kind in (f"{STAGE}/table={table}/event_date=*", f"{QUARANTINE}/table={table}"):
-            for path in fs.glob(spark, f"{root}/{kind}/run_id={run}"):
-                fs.remove(spark, path)
+def _run_folders(spark: SparkSession, root: str, run_ids: Sequence[str]) -> list[str]:
+    """Folders of some runs among all of a table, from one listing."""
+    wanted = set(run_ids)
+    return [p for p in fs.glob(spark, f"{root}/run_id=*") if fs.folder_values(p)["run_id"] in wanted]
 
 
-def read_origin(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> DataFrame:
-    """(run_id, src_file) of the stage rows of some runs; reads that one column of those runs' folders."""
-    root = f"{base.rstrip('/')}/{STAGE}"
-    paths = [p for r in run_ids for p in fs.glob(spark, f"{root}/table={table}/event_date=*/run_id={r}")]
-    if not paths:
-        return spark.createDataFrame([], "run_id string, src_file string")
-    reader = spark.read.schema("src_file string, run_id string").option("basePath", root)
-    return reader.parquet(*paths).select("run_id", "src_file")
+def clear_run(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> None:
+    """Remove what an earlier attempt wrote for some runs, so that dates it alone had do not linger."""
+    for root in (f"{_table(base, STAGE, table)}/event_date=*", _table(base, QUARANTINE, table)):
+        for path in _run_folders(spark, root, run_ids):
+            fs.remove(spark, path)
 
 
 def import_stage(spark: SparkSession, paths: Sequence[str], spec: EntitySpec) -> DataFrame:
@@ -105,7 +110,7 @@ def import_stage(spark: SparkSession, paths: Sequence[str], spec: EntitySpec) ->
     given as one path, read with its own schema, cast, and put together by name.
     """
     schema = stage_schema(spec)
-    needed = ["op", "ts_ms", "lsn", "is_delete", spec.pk]
+    needed = [*NEEDED, spec.pk]
     groups = []
     for path in paths:
         df = require_columns(spark.read.parquet(path), needed, f"stage data at {path}")
@@ -139,7 +144,11 @@ def write_quarantine(quarantine: DataFrame, base: str) -> None:
 
 
 def read_quarantine(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_SCHEMA).json(f"{_table(base, QUARANTINE, table)}/run_id=*")
+    """Rejected events of a table; none if nothing was rejected."""
+    paths = fs.glob(spark, f"{_table(base, QUARANTINE, table)}/run_id=*")
+    if not paths:
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).json(paths)
 
 
 # Current ---------------------------------------------------------------------------------------------------

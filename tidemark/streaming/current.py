@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.envelope import wrap_kafka
 from tidemark.operators.structure import judge, stage_rows
-from tidemark.plans.merge import apply_stage
+from tidemark.plans.merge import ATTEMPTS, JOB_NAME, apply_stage
+from tidemark.session import check
 from tidemark.sources.ledger import Ledger
 from tidemark.specs import EntitySpec
 
@@ -32,24 +36,33 @@ def follow(
     bronze path.
     """
 
+    check(stream.sparkSession)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id:09d}"
-        if ledger.has_merge(run_id):
+        events = wrap_kafka(batch).where(F.col("table") == spec.table).select("raw_json")
+        if events.isEmpty():
             return
-        events = wrap_kafka(batch).where(f"`table` = '{spec.table}'").select("raw_json")
         stage = stage_rows(judge(events, [spec], expected_table=spec.table), spec)
-        apply_stage(
-            batch.sparkSession,
-            silver_base,
-            ledger,
-            spec,
-            stage,
-            run_id=run_id,
-            mode=mode,
-            buckets=buckets,
-            dates=[],
-            stats=False,
-        )
+        for attempt in range(ATTEMPTS):
+            if ledger.has_merge(JOB_NAME, spec.table, run_id):
+                return
+            result = apply_stage(
+                batch.sparkSession,
+                silver_base,
+                ledger,
+                spec,
+                stage,
+                run_id=run_id,
+                version=f"{run_id}-{attempt}-{uuid.uuid4().hex}",
+                mode=mode,
+                buckets=buckets,
+                dates=[],
+                stats=False,
+            )
+            if result is not None:
+                return
+        raise RuntimeError(f"batch {batch_id} was overtaken {ATTEMPTS} times")
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -15,6 +15,7 @@ from tidemark.functions.times import now_seconds_z
 from tidemark.functions.topics import in_table_list
 from tidemark.operators.envelope import wrap_kafka
 from tidemark.operators.selection import RUN_KEYS, last_offsets, run_files, run_manifest
+from tidemark.session import check
 from tidemark.sources import bronze, fs
 from tidemark.sources.ledger import Ledger
 
@@ -80,13 +81,14 @@ class IngestRun:
         return self.finish()
 
     def finish(self, timeout: float | None = None) -> str:
-        """Wait for the end and record SUCCESS, or FAILED with the error."""
+        """Wait for the end and record SUCCESS, or FAILED with the error. A run that goes on after ``timeout``
+        seconds stays STARTED, which is returned."""
         error = None
         try:
             if timeout is None:
                 self.query.awaitTermination()
-            else:
-                self.query.awaitTermination(timeout)
+            elif not self.query.awaitTermination(timeout):
+                return "STARTED"
         except Exception as failure:  # noqa: BLE001 - the outcome is recorded and returned
             error = str(failure)
         return close_run(
@@ -110,24 +112,14 @@ def close_run(
     status = "SUCCESS" if error is None else "FAILED"
     rows = batch_rows(spark, base, ingestion_date, run_id)
     if rows is not None:
-        out = f"{base.rstrip('/')}/{MANIFESTS}/run_id={run_id}"
+        out = f"{base.rstrip('/')}/{MANIFESTS}/{fs.folder('run_id', run_id)}"
         facts = dict(run_id=run_id, ingestion_date=ingestion_date, status=status, group_id=group_id, topics=topics)
         run_manifest(rows, **facts, error=error).coalesce(1).write.mode("overwrite").json(f"{out}/summary")
         run_files(rows).write.mode("overwrite").json(f"{out}/files")
-    ledger.end_run(run_id, status, {"message": "completed normally"} if error is None else {"error": error})
+    ledger.end_run(run_id, status, {"message": "ended by itself or was stopped"} if error is None else {"error": error})
     return status
 
 
-def without_redelivery(stream: DataFrame, delay: str) -> DataFrame:
-    """Drop records delivered again within ``delay``; state is kept only that long.
-
-    Optional, since the merge removes replays. Records that trail the newest one by more than ``delay`` are
-    dropped by the watermark, so it has to be longer than any delay that occurs.
-    """
-    keys = ["topic", "partition", "offset"]
-    return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(keys)
-
-
 def ingest(
     stream: DataFrame,
     base: str,
@@ -151,11 +143,15 @@ def ingest(
     the old run and the new, and the merge removes replays.
     """
     spark = stream.sparkSession
+    check(spark)
     run_id = run_id or uuid.uuid4().hex
     known = ledger.get_run(run_id)
     if known is None:
         ingestion_date = ingestion_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
         ledger.start_run(run_id, ingestion_date)
+    elif known.status == "SUCCESS":
+        # its rows may be compacted already, and nothing would look at the folder again
+        raise ValueError(f"run {run_id!r} has ended; land into a new one")
     else:
         ingestion_date = known.ingestion_date or ingestion_date
 
