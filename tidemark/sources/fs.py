@@ -58,6 +58,13 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name."""
+    hadoop_path, fs = _path(spark, path)
+    if not fs.rename(hadoop_path, _path(spark, to)[0]):
+        raise OSError(f"could not rename {path}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text."""
     hadoop_path, fs = _path(spark, path)

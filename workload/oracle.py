@@ -184,6 +184,12 @@ WITH {_E3} SELECT DISTINCT user_id, event_id, op, lsn, ts_ms, event_date FROM go
     "current_state": _CURRENT_STATE,
     "current_incremental": _CURRENT_STATE,
     "merge_job": _CURRENT_STATE,
+    "merge_concurrent": _CURRENT_STATE,
+    "merge_bare_dates": f"SELECT mode, s.* FROM ({_CURRENT_STATE}) s, (VALUES ('replay'), ('ordered')) m(mode)",
+    "compact_job": """
+SELECT 'db' AS source, 'events' AS "table", CASE event_id % 3 WHEN 0 THEN 'run:0' WHEN 1 THEN 'run 1' ELSE 'run=2' END AS run_id,
+       '2024-01-31T00:00:00Z' AS ingest_ts, CASE WHEN event_id % 3 <> 0 THEN 'n' || event_id END AS note, event_id AS lsn
+FROM events""",
     "pipeline_current": _CURRENT_STATE,
     # Log positions follow time in this feed, so both merge modes end in the same state.
     "stream_current": _CURRENT_STATE,
@@ -243,7 +249,7 @@ FROM events GROUP BY ALL""",
     "promote_union": """
 SELECT event_id, user_id, NULL AS event_type, NULL AS props FROM events WHERE event_type = 'click'
 UNION ALL SELECT event_id, user_id, event_type, NULL FROM events WHERE event_type = 'view'
-UNION ALL SELECT event_id, user_id, event_type, props FROM events WHERE event_type = 'error'""",
+UNION ALL SELECT event_id, user_id, event_type, props FROM events WHERE event_type NOT IN ('click', 'view')""",
     "ledger_latest": """
 SELECT 'db.public.' || event_type AS topic, user_id AS partition,
        (max(event_id) * 7919) % 1000003 AS last_committed_offset, max(event_id) AS seq
@@ -253,9 +259,13 @@ SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_totalprice AS DECIMA
        epoch_us(o_orderdate) AS ordered_us, o_orderkey % 20 = 0 AS is_deleted
 FROM orders""",
     "typed_encoded_amounts": """
-SELECT o_orderkey AS order_id,
-       CAST(CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS total_amount
-FROM orders""",
+WITH cents AS (
+  SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS c
+  FROM orders)
+SELECT o_orderkey AS order_id, CAST(c / 100.0 AS DECIMAL(12,2)) AS total_amount,
+       CAST(CAST(c AS HUGEINT) * (CAST(1 AS HUGEINT) << CAST(8 * (o_orderkey % 8) AS INTEGER)) AS DECIMAL(38,0)) AS large_amount,
+       CAST(((c & 255) + 128) % 256 - 128 AS DECIMAL(3,0)) AS one_byte
+FROM cents""",
     "orphans": f"""
 WITH {_USERS}
 SELECT o_orderkey AS order_id, o_custkey AS user_id FROM orders

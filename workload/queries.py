@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import EVENTS, ORDERS, USERS, configure
+from tidemark import EVENTS, ORDERS, USERS, FieldSpec, configure
 from tidemark.functions import coerce, times, topics
 from tidemark.operators import dedupe, envelope, merge, quality, selection, structure, union
-from tidemark.plans.compact import compact_rows
+from tidemark.plans.compact import compact, compact_rows
 from tidemark.plans.merge import current_table, run_merge
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.structure import structure_file
 from tidemark.session import shared_dir
-from tidemark.sources import bronze, silver
+from tidemark.sources import bronze, fs, silver
 from tidemark.sources.ledger import Ledger
 from tidemark.streaming.current import follow
 from tidemark.streaming.ingest import batch_rows, ingest
@@ -497,11 +498,11 @@ def compaction_stats(spark, sf_dir):
 
 @query
 def promote_union(spark, sf_dir):
-    """Parts with fewer columns are filled up with nulls."""
+    """Parts with fewer columns are filled up with nulls; together they are all events."""
     events = feeds.table(spark, sf_dir, "events")
     old = events.where("event_type = 'click'").select("event_id", "user_id")
     mid = events.where("event_type = 'view'").select("user_id", "event_id", "event_type")
-    new = events.where("event_type = 'error'").select("event_id", "event_type", "props", "user_id")
+    new = events.where("event_type not in ('click', 'view')").select("event_id", "event_type", "props", "user_id")
     return union.promote_union([old, mid, new])
 
 
@@ -529,13 +530,24 @@ def typed_orders(spark, sf_dir):
 
 @query
 def typed_encoded_amounts(spark, sf_dir):
-    """Amounts sent as base64 integers, negative ones included, back to decimals."""
+    """Amounts sent as base64 integers of 1 to 15 bytes, negative ones included, back to decimals."""
     cents = (F.col("o_totalprice").cast("decimal(12,2)") * 100).cast("long")
     cents = F.when(F.col("o_orderkey") % 3 == 0, -cents).otherwise(cents)
-    # The low five bytes of the big-endian integer.
-    data = F.base64(F.unhex(F.substring(F.lpad(F.hex(cents), 16, "0"), 7, 10)))
-    orders = feeds.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), data.alias("total_amount"))
-    return quality.typed_view(orders, ORDERS, encoded_decimals=True)
+    digits = F.lpad(F.hex(cents), 16, "0")
+    # zero bytes behind the integer multiply it by 256 each
+    data = F.base64(F.unhex(F.concat(digits, F.repeat(F.lit("00"), (F.col("o_orderkey") % 8).cast("int")))))
+    few = F.when(cents >= 0, F.regexp_replace(digits, "^(00(?=[0-7]))+", "")).otherwise(F.regexp_replace(digits, "^(FF(?=[89A-F]))+", ""))
+    orders = feeds.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        # as few bytes as the value needs, as connectors send it
+        F.base64(F.unhex(F.regexp_replace(few, "^(00(?=[0-7]))+|^(FF(?=[89A-F]))+", ""))).alias("total_amount"),
+        data.alias("large_amount"),
+        F.base64(F.unhex(F.right(digits, F.lit(2)))).alias("one_byte"),
+    )
+    view = quality.typed_view(orders, ORDERS, encoded_decimals=True)
+    large = quality.typed(FieldSpec("large_amount", "decimal", precision=38, scale=0), True)
+    one = quality.typed(FieldSpec("one_byte", "decimal", precision=3, scale=0), True)
+    return view.withColumns({"large_amount": large, "one_byte": one})
 
 
 @query
@@ -624,6 +636,73 @@ def merge_job(spark, sf_dir):
     return current_table(spark, f"{base}/silver", ledger, EVENTS).select(*STATE)
 
 
+@query
+def compact_job(spark, sf_dir):
+    """Runs of three shapes, one of another writer that has compacted it already, compacted and pruned: no row is lost
+    or doubled, and all columns stay."""
+    base = work_folder(spark, "c/cdc/compact")
+    ledger = Ledger(spark, f"{base}/ledger")
+    feed = feeds.events_feed(spark, sf_dir).select(F.lit("2024-01-31T00:00:00Z").alias("ingest_ts"), "raw_json", "event_id")
+    runs = ["run:0", "run 1", "run=2"]
+    for i, run in enumerate(runs):
+        part = feed.where(F.col("event_id") % 3 == i)
+        part = part.drop("event_id") if i == 0 else part.withColumn("note", F.concat(F.lit("n"), F.col("event_id"))).drop("event_id")
+        folder = bronze.run_path(f"{base}/bronze", "db", "events", "2024-01-31", run)
+        if i < 2:
+            part.write.parquet(folder)
+            ledger.start_run(run, "2024-01-31")
+            ledger.end_run(run, "SUCCESS")
+            continue
+        # another writer: parts, what it made of them, and its two marks
+        for name in ("events_00001", "events_compacted"):
+            part.coalesce(1).write.parquet(f"{folder}/_{name}")
+            [written] = fs.glob(spark, f"{folder}/_{name}/part-*")
+            fs.rename(spark, written, f"{folder}/{name}.parquet")
+            fs.remove(spark, f"{folder}/_{name}")
+        for mark in ("_SUCCESS", "_COMPACTED"):
+            fs.write_text(spark, folder, mark, "")
+    compact(spark, f"{base}/bronze", ledger, prune=True)
+    if compact(spark, f"{base}/bronze", ledger).count() or bronze.discover_runs(spark, f"{base}/bronze").count():
+        raise RuntimeError("runs were left")
+    folders = [bronze.run_path(f"{base}/bronze", "db", "events", "2024-01-31", r, root=bronze.COMPACTED) for r in runs]
+    rows = bronze.read_runs(spark, f"{base}/bronze", folders, bronze.COMPACTED)
+    lsn = F.get_json_object("raw_json", "$.payload.source.lsn").cast("long")
+    return rows.select("source", "table", "run_id", "ingest_ts", "note", lsn.alias("lsn"))
+
+
+@query
+def merge_bare_dates(spark, sf_dir):
+    """Stage folders of another tool, without a run level, give the same state in both modes."""
+    base = work_folder(spark, "bare")
+    stage = events_stage(spark, sf_dir).withColumn("table", F.lit("events"))
+    stage.write.partitionBy("table", "event_date").parquet(f"{base}/silver/{silver.STAGE}")
+    states = []
+    for mode in ("replay", "ordered"):
+        ledger = Ledger(spark, f"{base}/{mode}/ledger")
+        # each mode has current tables of its own
+        run_merge(spark, f"{base}/silver", ledger, EVENTS, mode=mode, buckets=8)
+        states.append(current_table(spark, f"{base}/silver", ledger, EVENTS).select(F.lit(mode).alias("mode"), *STATE))
+    return states[0].unionByName(states[1])
+
+
+@query
+def merge_concurrent(spark, sf_dir):
+    """Merges at the same time: one of them finds that it was overtaken and starts over."""
+    base = work_folder(spark, "concurrent")
+    ledger = Ledger(spark, f"{base}/ledger")
+    stage = events_stage(spark, sf_dir).withColumn("run_id", F.lit("run-1"))
+    silver.write_stage(stage, f"{base}/silver")
+    dates = [r["event_date"] for r in silver.stage_partitions(spark, f"{base}/silver", "events").collect()]
+    run_merge(spark, f"{base}/silver", ledger, EVENTS, only_date=dates[0], buckets=8)
+
+    def merge_all(_):
+        return run_merge(spark, f"{base}/silver", Ledger(spark, f"{base}/ledger"), EVENTS)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(merge_all, range(2)))
+    return current_table(spark, f"{base}/silver", ledger, EVENTS).select(*STATE)
+
+
 @query
 def pipeline_current(spark, sf_dir):
     """Stream records to the current table through all four jobs."""
