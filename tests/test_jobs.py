@@ -312,3 +312,144 @@ def test_current_is_not_shuffled(spark, base):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     files = fs.glob(spark, f"{base}/silver/current/table=users/version=*/part-*")
     assert len(files) == 4, "one file per bucket"
+
+
+def test_an_overtaken_merge_starts_over(spark, base, monkeypatch):
+    """Another merge commits between the read and the commit of the first: no key of either is lost."""
+    ledger = Ledger(spark, f"{base}/ledger")
+    silver_base = f"{base}/silver"
+    stage(spark, base, [user("c", 1, 1), user("c", 2, 2, day=1)], "r1")
+    real, other = silver.write_current, []
+
+    def slow(*args):
+        if not other:
+            other.append(None)
+            other[0] = run_merge(spark, silver_base, ledger, USERS, only_date="2024-01-02", buckets=2)
+        return real(*args)
+
+    monkeypatch.setattr(silver, "write_current", slow)
+    result = run_merge(spark, silver_base, ledger, USERS, only_date="2024-01-01", buckets=2)
+    assert other[0].status == result.status == "SUCCESS"
+    assert state(current_table(spark, silver_base, ledger, USERS)) == [(1, "SE", 1), (2, "SE", 2)]
+    assert len(fs.glob(spark, f"{silver_base}/current/table=users/version=*")) == 2, "what was overtaken is removed"
+
+
+@pytest.mark.parametrize("mode", ["replay", "ordered"])
+def test_date_folders_without_a_run_level(spark, base, mode):
+    ledger = Ledger(spark, f"{base}/ledger")
+    stage(spark, base, [user("c", 1, 1), user("c", 2, 2, day=1)], "r1")
+    rows = silver.read_stage(spark, f"{base}/silver", USERS).drop("run_id")
+    rows.write.partitionBy("table", "event_date").parquet(f"{base}/bare/stage_events")
+    assert run_merge(spark, f"{base}/bare", ledger, USERS, mode=mode, buckets=2).rows == 2
+    assert run_merge(spark, f"{base}/bare", ledger, USERS, mode=mode).status == "nothing_to_process"
+
+
+def test_stage_without_its_key_is_an_error(spark, base):
+    ledger = Ledger(spark, f"{base}/ledger")
+    stage(spark, base, [user("c", 1, 1)], "r1")
+    rows = silver.read_stage(spark, f"{base}/silver", USERS).drop("user_id", "lsn", "run_id")
+    rows.write.partitionBy("table", "event_date").parquet(f"{base}/bare/stage_events")
+    with pytest.raises(ValueError, match="user_id"):
+        run_merge(spark, f"{base}/bare", ledger, USERS, buckets=2)
+    assert ledger.live_version(merge_plan.JOB_NAME, "users") is None
+    assert ledger.processed_partitions(merge_plan.JOB_NAME, "users").count() == 0
+
+
+def test_compaction_keeps_all_columns(spark, base):
+    """Runs of different shape, pruned afterwards: no column is lost with the originals."""
+    ledger = Ledger(spark, f"{base}/ledger")
+    plain = spark.createDataFrame([("t", user("c", 1, 1))], "ingest_ts string, raw_json string")
+    plain.write.parquet(run_folder(base, "old"))
+    plain.selectExpr("*", "'x' as note", "7 as shard").write.parquet(run_folder(base, "new"))
+    for run in ("old", "new"):
+        ledger.start_run(run)
+        ledger.end_run(run, "SUCCESS")
+    compact(spark, f"{base}/bronze", ledger, prune=True)
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{base}/bronze/compacted").orderBy("run_id").collect()
+    assert [(r.run_id, r.note, r.shard) for r in rows] == [("new", "x", 7), ("old", None, None)]
+    plain.select("ingest_ts").write.parquet(run_folder(base, "bad"))
+    ledger.start_run("bad")
+    ledger.end_run("bad", "SUCCESS")
+    with pytest.raises(ValueError, match="raw_json"):
+        compact(spark, f"{base}/bronze", ledger)
+
+
+def test_a_run_compacted_by_another_writer_is_not_doubled(spark, base):
+    folder = run_folder(base, "r")
+    for name in ("events_00001", "events_compacted"):
+        write_events(spark, f"{base}/{name}", [user("c", 1, 1), user("c", 2, 2)])
+        os.makedirs(folder, exist_ok=True)
+        os.rename(fs.glob(spark, f"{base}/{name}/part-*")[0].removeprefix("file:"), f"{folder}/{name}.parquet")
+    ledger = Ledger(spark, f"{base}/ledger")
+    open(f"{folder}/_SUCCESS", "w").close()
+    # without its mark the other writer's compaction didn't end
+    assert bronze.run_parts(spark, folder) == [f"{folder}/events_00001.parquet"]
+    open(f"{folder}/_COMPACTED", "w").close()
+    assert [r["rows"] for r in compact(spark, f"{base}/bronze", ledger).collect()] == [2]
+    assert run_structure(spark, f"{base}/bronze", f"{base}/silver", ledger, [USERS])["users"].stage_rows == 2
+
+
+def test_empty_runs_do_not_block_and_odd_names_work(spark, base):
+    """A run of files without rows, names that need escaping, and a base that looks like a run folder."""
+    base = f"{base}/cdc/x"
+    ledger = Ledger(spark, f"{base}/ledger")
+    odd = "manual__2024-01-01T00:00:00+00:00"
+    write_events(spark, run_folder(base, odd), [user("c", 1, 1)])
+    write_events(spark, run_folder(base, "none"), [])
+    os.makedirs(run_folder(base, "bare"))
+    for run in (odd, "none", "bare"):
+        ledger.start_run(run, "2024-02-01")
+        ledger.end_run(run, "SUCCESS")
+    assert [(r["run_id"], r["rows"]) for r in compact(spark, f"{base}/bronze", ledger).collect()] == [(odd, 1)]
+    assert ledger.view("compacted_runs").count() == 3
+    counts = run_structure(spark, f"{base}/bronze", f"{base}/silver", ledger, [USERS])
+    assert counts["users"].stage_rows == 1
+    assert run_merge(spark, f"{base}/silver", ledger, USERS, mode="ordered", buckets=2).rows == 1
+    assert run_merge(spark, f"{base}/silver", ledger, USERS, mode="ordered").status == "nothing_to_process"
+    assert silver.read_quarantine(spark, f"{base}/silver", "users").count() == 0
+
+
+def test_a_run_with_two_sources(spark, base):
+    """Counts are kept apart, and a source that comes later doesn't remove the other's rows."""
+    ledger = Ledger(spark, f"{base}/ledger")
+
+    def land(source, texts):
+        write_events(spark, bronze.run_path(f"{base}/bronze", source, "users", "2024-02-01", "r"), texts)
+        compact(spark, f"{base}/bronze", ledger)
+        run_structure(spark, f"{base}/bronze", f"{base}/silver", ledger, [USERS])
+
+    ledger.start_run("r")
+    ledger.end_run("r", "SUCCESS")
+    land("one", [user("c", 1, 1), user("c", 2, 2), "{"])
+    land("two", [user("c", 3, 3)])
+    rows = {r["source"]: (r["total"], r["stage_rows"], r["bad_rows"]) for r in ledger.view("structured_runs").collect()}
+    assert rows == {"one": (3, 2, 1), "two": (1, 1, 0)}
+    assert silver.read_stage(spark, f"{base}/silver", USERS).count() == 3
+    assert silver.read_quarantine(spark, f"{base}/silver", "users").count() == 1
+
+
+def test_input_is_parsed_once(spark, base, monkeypatch):
+    """Whatever the share of rejects, events are judged in one write; a second look reads judged rows."""
+    from tidemark.plans import structure as structure_plan
+
+    calls, real = [], structure_plan.judge
+    monkeypatch.setattr(structure_plan, "judge", lambda *a, **k: calls.append(1) or real(*a, **k))
+    write_events(spark, f"{base}/in", [user("c", 1, 1), "{", "[]"])
+    counts = structure_file(spark, f"{base}/in", USERS, f"{base}/silver")
+    assert (counts.stage_rows, counts.bad_rows, len(calls)) == (1, 2, 1)
+    assert not fs.glob(spark, f"{base}/silver/_attempts/*")
+
+
+def test_jobs_need_the_session_settings(spark, base):
+    ledger = Ledger(spark, f"{base}/ledger")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for job in (
+            lambda: compact(spark, f"{base}/bronze", ledger),
+            lambda: run_structure(spark, f"{base}/bronze", f"{base}/silver", ledger, [USERS]),
+            lambda: run_merge(spark, f"{base}/silver", ledger, USERS),
+        ):
+            with pytest.raises(RuntimeError, match="configure"):
+                job()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,7 +1,8 @@
 """Topics, source options, selections, typed views, entry point."""
 
+import base64
 import datetime
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +61,24 @@ def test_typed_view(spark):
     assert [r[0] for r in encoded.collect()] == [Decimal("120.50"), Decimal("-0.01"), Decimal("0.00"), Decimal("-120.50"), None]
 
 
+@pytest.mark.parametrize("precision, scale", [(38, 0), (20, 2), (38, 10)])
+def test_encoded_amounts_of_any_length(spark, precision, scale):
+    """Null only where the declared precision can't hold the value; bytes that repeat the sign change nothing."""
+    values = [s * 2**e + d for e in (0, 7, 8, 15, 54, 55, 56, 60, 63, 64, 65, 100, 125, 126) for s in (1, -1) for d in (-1, 0, 1)]
+    values += [10**38 - 1, 1 - 10**38, 10**38, 2**127 - 1, -(2**127)]
+
+    def encoded(value, more):
+        size = next(n for n in range(1, 17) if -(1 << (8 * n - 1)) <= value < 1 << (8 * n - 1))
+        return base64.b64encode(value.to_bytes(size + more, "big", signed=True)).decode()
+
+    field = FieldSpec("a", "decimal", precision=precision, scale=scale)
+    rows = [(i, encoded(v, more)) for i, v in enumerate(values) for more in (0, 3)]
+    got = spark.createDataFrame(rows, "i int, a string").select("i", quality.typed(field, True)).collect()
+    with localcontext(prec=60):
+        want = {i: Decimal(v).scaleb(-scale) if abs(v) < 10**precision else None for i, v in enumerate(values)}
+    assert len(got) == len(rows) and all(r["a"] == want[r["i"]] for r in got)
+
+
 def test_orphans_and_union(spark):
     child = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id int, user_id int")
     parent = spark.createDataFrame([(1,)], "user_id int")

@@ -2,9 +2,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark import USERS
+from tidemark import USERS, EntitySpec
 from tidemark.plans.compact import compact
 from tidemark.plans.merge import current_table
 from tidemark.plans.pipeline import run_pipeline
@@ -136,3 +137,24 @@ def test_pipeline_twice(spark, base):
     put(spark, base, [(0, 90000000, "u", 1, "DE"), (0, 90000001, "c", 5, "SE")])
     second = run_pipeline(bronze.file_stream(spark, f"{base}/records"), f"{base}/lake", [USERS])
     assert sorted((r["user_id"], r["country_code"]) for r in second["users"].collect()) == [(1, "DE"), (5, "SE")]
+
+
+def test_a_wait_that_times_out_leaves_the_run_open(spark, base):
+    ledger = Ledger(spark, f"{base}/ledger")
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(3)])
+    run = ingest(bronze.file_stream(spark, f"{base}/records"), f"{base}/bronze", ledger, checkpoint=f"{base}/cp", flush_seconds=1)
+    assert run.finish(timeout=1) == "STARTED" and run.query.isActive
+    assert ledger.get_run(run.run_id).status == "STARTED"
+    assert run.stop(drain=True) == "SUCCESS"
+    with pytest.raises(ValueError, match="ended"):
+        ingest(bronze.file_stream(spark, f"{base}/records"), f"{base}/bronze", ledger, checkpoint=f"{base}/cp", run_id=run.run_id)
+
+
+def test_a_batch_of_other_tables_writes_no_version(spark, base):
+    ledger = Ledger(spark, f"{base}/ledger")
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(3)])
+    other = EntitySpec("absent", USERS.pk, USERS.fields)
+    follow(
+        bronze.file_stream(spark, f"{base}/records"), f"{base}/silver", ledger, other, checkpoint=f"{base}/cp", name="f", buckets=2
+    ).awaitTermination()
+    assert ledger.last_number("merge_current", "absent") == 0
