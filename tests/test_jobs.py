@@ -453,3 +453,48 @@ def test_jobs_need_the_session_settings(spark, base):
                 job()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("mode", ["replay", "ordered"])
+def test_a_merge_writes_what_changed(spark, base, monkeypatch, mode):
+    """One changed key writes one row; deltas are folded when they get many, and what is unused can be removed."""
+    monkeypatch.setattr(merge_plan, "MAX_DELTAS", 3)
+    ledger = Ledger(spark, f"{base}/ledger")
+    silver_base = f"{base}/silver"
+    stage(spark, base, [user("c", i, i) for i in range(1, 41)], "r0")
+    run_merge(spark, silver_base, ledger, USERS, mode=mode, buckets=4)
+    want = {i: ("SE", i) for i in range(1, 41)}
+    parts = []
+    for k in range(1, 6):
+        op = "d" if k % 2 else "u"
+        stage(spark, base, [user(op, k, 100 + k, day=k, country="NO")], f"r{k}")
+        assert run_merge(spark, silver_base, ledger, USERS, mode=mode).rows == 40 - (k + 1) // 2
+        if op == "d":
+            del want[k]
+        else:
+            want[k] = ("NO", 100 + k)
+        live_now = ledger.live_version(merge_plan.JOB_NAME, "users")
+        parts.append(len(live_now["parts"]))
+        newest = silver.read_current(spark, silver_base, USERS, live_now["parts"][-1], 4)
+        assert newest.count() == 1 or parts[-1] == 1
+        assert state(current_table(spark, silver_base, ledger, USERS)) == sorted((i, c, n) for i, (c, n) in want.items())
+    assert parts == [2, 3, 4, 1, 2]
+    assert not merge_plan.retire_versions(spark, silver_base, ledger, USERS), "young parts may be in use"
+    gone = merge_plan.retire_versions(spark, silver_base, ledger, USERS, min_age_seconds=0)
+    assert len(gone) == 4 and len(silver.stored_parts(spark, silver_base, "users")) == 2
+    assert state(current_table(spark, silver_base, ledger, USERS)) == sorted((i, c, n) for i, (c, n) in want.items())
+
+
+def test_other_buckets_and_modes_make_a_new_base(spark, base):
+    ledger = Ledger(spark, f"{base}/ledger")
+    silver_base = f"{base}/silver"
+    stage(spark, base, [user("c", i, i) for i in range(1, 21)], "r0")
+    assert run_merge(spark, silver_base, ledger, USERS).rows == 20
+    assert ledger.live_version(merge_plan.JOB_NAME, "users")["buckets"] == merge_plan.LEAST_BUCKETS
+    stage(spark, base, [user("d", 1, 50, day=1)], "r1")
+    assert run_merge(spark, silver_base, ledger, USERS, buckets=2).rows == 19
+    stage(spark, base, [user("d", 2, 60, day=2)], "r2")
+    assert run_merge(spark, silver_base, ledger, USERS, mode="ordered").rows == 18
+    version = ledger.live_version(merge_plan.JOB_NAME, "users")
+    assert (version["buckets"], len(version["parts"]), version["mode"]) == (2, 1, "ordered")
+    assert [r[0] for r in state(current_table(spark, silver_base, ledger, USERS))] == list(range(3, 21))

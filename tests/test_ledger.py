@@ -73,7 +73,8 @@ def test_one_merge_per_number(spark, base):
     assert ledger.live_version("job", "users") is None and ledger.last_number("job", "users") == 0
     assert commit(ledger, 1, "users", "a", version="a", rows=1)
     assert not commit(ledger, 1, "users", "b", version="b", rows=2)
-    assert ledger.live_version("job", "users") == {"number": 1, "version": "a", "rows": 1, "mode": None, "buckets": None}
+    live = ledger.live_version("job", "users")
+    assert (live["number"], live["version"], live["rows"]) == (1, "a", 1)
     # a writer lost before it filled its file leaves the version before it live, and its number taken
     fs.create_text(spark, ledger._merges("job", "users"), "commit-000000000002.json", "")
     assert ledger.live_version("job", "users")["version"] == "a" and ledger.last_number("job", "users") == 2

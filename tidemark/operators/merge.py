@@ -63,6 +63,11 @@ def merge_current(
     events = latest_events(stage, pk, mode)
     if partitions is not None:
         events = events.repartition(partitions, pk)
+    return fold(current, events, pk, mode)
+
+
+def fold(current: DataFrame | None, events: DataFrame, pk: str, mode: str = "replay") -> DataFrame:
+    """The current state after events of which each key has one at most. Two sides bucketed alike stay in place."""
     if current is None:
         return events if mode == "ordered" else live(events)
     columns = [*current.columns, *[c for c in events.columns if c not in current.columns]]

@@ -1,14 +1,20 @@
-"""Stage events into versions of the current table."""
+"""Stage events into versions of the current table.
+
+A version is a base, which holds a row per key, and a few deltas, which hold the last event per key of the merges since.
+All are bucketed by key, so reading a version joins them in place. A merge writes one delta, whose size is that of
+its events; when deltas get many or large against the base, they are folded into a new base.
+"""
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import is_removal, live, merge_current, merge_stats
+from tidemark.operators.merge import fold, is_removal, latest_events, live, merge_current, merge_stats
 from tidemark.operators.selection import pending_dates
 from tidemark.session import check
 from tidemark.sources import fs, silver
@@ -16,7 +22,10 @@ from tidemark.sources.ledger import Ledger, merged_date
 from tidemark.specs import EntitySpec
 
 JOB_NAME = "merge_current"
-DEFAULT_BUCKETS = 64
+# Stage bytes for each bucket of a new table, and the fewest buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 128 << 20, 8
+# Deltas of a version, and their rows against those of the base, from which on they are folded.
+MAX_DELTAS, FOLD_SHARE = 8, 0.25
 # Times a merge starts over because another one was committed before it.
 ATTEMPTS = 20
 NOTHING = "nothing_to_process"  # fixed: the status that callers compare with
@@ -27,7 +36,8 @@ class MergeResult:
     run_id: str
     status: str
     version: str | None = None
-    rows: int = 0
+    # None where no statistics were asked for
+    rows: int | None = 0
     # event_date, stage_run, rows_in, rows_out, bad_rows
     dates: list[dict] = field(default_factory=list)
 
@@ -44,7 +54,30 @@ def stored_current(spark: SparkSession, silver_base: str, ledger: Ledger, spec:
 
 
 def _read_version(spark: SparkSession, silver_base: str, spec: EntitySpec, version: dict | None) -> DataFrame | None:
-    return None if version is None else silver.read_current(spark, silver_base, spec, version["version"], version["buckets"])
+    if version is None:
+        return None
+    base, *deltas = [silver.read_current(spark, silver_base, spec, p, version["buckets"]) for p in version["parts"]]
+    return reduce(lambda current, events: fold(current, events, spec.pk, version["mode"]), deltas, base)
+
+
+def retire_versions(
+    spark: SparkSession, silver_base: str, ledger: Ledger, spec: EntitySpec, *, keep: int = 1, min_age_seconds: float = 86400
+) -> list[str]:
+    """Remove parts that none of the last ``keep`` versions uses and that are older than any merge or reader at work."""
+    used = {p for v in ledger.versions(JOB_NAME, spec.table, keep) for p in v["parts"]}
+    gone = []
+    for part in silver.stored_parts(spark, silver_base, spec.table):
+        path = silver.version_path(silver_base, spec.table, part)
+        if part not in used and fs.age_seconds(spark, path) >= min_age_seconds:
+            fs.remove(spark, path)
+            gone.append(part)
+    return gone
+
+
+def _new_buckets(stage: DataFrame) -> int:
+    """Buckets of a new table: by the size of what is merged first, as far as it comes from files."""
+    size = sum(fs.size(stage.sparkSession, f) for f in {f.rsplit("/", 1)[0] for f in stage.inputFiles()})
+    return max(LEAST_BUCKETS, 1 << (size // BUCKET_BYTES).bit_length())
 
 
 def _pending(spark, silver_base, ledger, spec, mode, only_date, force) -> DataFrame:
@@ -141,23 +174,43 @@ def apply_stage(
     version = version or run_id
     number = ledger.last_number(JOB_NAME, spec.table) + 1
     before = ledger.live_version(JOB_NAME, spec.table)
-    buckets = buckets or (before["buckets"] if before else DEFAULT_BUCKETS)
+    if buckets is None:
+        buckets = before["buckets"] if before else _new_buckets(stage)
     current = _read_version(spark, silver_base, spec, before)
-    if before and before["mode"] == "ordered" and mode == "replay":
-        current = live(current)
-    merged = merge_current(current, stage, spec.pk, mode, partitions=buckets)
-    silver.write_current(merged, silver_base, spec, version, buckets)
-    written = silver.read_current(spark, silver_base, spec, version, buckets, merged.schema)
-    counted = written.agg(F.count("*").alias("n"), F.count_if(is_removal(written)).alias("gone")).collect()[0]
+    parts, delta_rows, base_rows = [version], 0, None
+    if before and (before["mode"], before["buckets"]) == (mode, buckets):
+        delta = latest_events(stage, spec.pk, mode).repartition(buckets, spec.pk)
+        silver.write_current(delta, silver_base, spec, version, buckets)
+        events = silver.read_current(spark, silver_base, spec, version, buckets, delta.schema)
+        delta_rows, base_rows = before["delta_rows"] + events.count(), before["base_rows"]
+        parts = [*before["parts"], version]
+        after = fold(current, events, spec.pk, mode)
+        if len(parts) > MAX_DELTAS + 1 or delta_rows > FOLD_SHARE * base_rows:
+            # the delta has done its work once the new base stands
+            silver.write_current(after, silver_base, spec, f"{version}-base", buckets)
+            fs.remove(spark, silver.version_path(silver_base, spec.table, version))
+            parts, delta_rows, base_rows = [f"{version}-base"], 0, None
+    else:
+        start = live(current) if before and before["mode"] == "ordered" and mode == "replay" else current
+        after = merge_current(start, stage, spec.pk, mode, partitions=buckets)
+        silver.write_current(after, silver_base, spec, version, buckets)
+    if base_rows is None:
+        after = silver.read_current(spark, silver_base, spec, parts[0], buckets, after.schema)
+        base_rows = after.count()
+    rows, gone = None, None
+    if stats:
+        # Of the parts only keys, order and deletions are read.
+        counted = after.agg(F.count("*").alias("n"), F.count_if(is_removal(after)).alias("gone")).first()
+        rows, gone = counted["n"] - counted["gone"], counted["gone"]
 
     per_date: dict[str, tuple] = {}
     if stats:
         # One row per event date.
-        start = before["rows"] if before else 0
-        daily = merge_stats(current, stage, spec.pk, mode, live_before=start, partitions=buckets)
+        live_before = before["rows"] if before else 0
+        daily = merge_stats(current, stage, spec.pk, mode, live_before=live_before, partitions=buckets)
         for r in daily.orderBy("event_date").collect():
             per_date[r["event_date"]] = (r["rows_in"], r["rows_out"], r["bad_rows"])
-    rows_out, marks = before["rows"] if before else 0, []
+    rows_out, marks = (before["rows"] if before else 0) or 0, []
     runs_of: dict[str, list] = {}
     for d, r in stage_runs or []:
         runs_of.setdefault(d, []).append(r)
@@ -173,11 +226,14 @@ def apply_stage(
         mode=mode,
         version=version,
         buckets=buckets,
-        rows=counted["n"] - counted["gone"],
-        tombstones=counted["gone"],
+        rows=rows,
+        tombstones=gone,
+        parts=parts,
+        base_rows=base_rows,
+        delta_rows=delta_rows,
         dates=marks,
     )
     if not committed:
-        fs.remove(spark, silver.version_path(silver_base, spec.table, version))
+        fs.remove(spark, silver.version_path(silver_base, spec.table, parts[-1]))
         return None
-    return MergeResult(run_id, "SUCCESS", version, counted["n"] - counted["gone"], marks)
+    return MergeResult(run_id, "SUCCESS", version, rows, marks)

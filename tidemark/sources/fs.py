@@ -41,6 +41,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    hadoop_path, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def age_seconds(spark: SparkSession, path: str) -> float:
     """Seconds since a file was written, by the clock of this machine."""
     hadoop_path, fs = _path(spark, path)

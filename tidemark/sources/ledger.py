@@ -53,7 +53,7 @@ TABLES: dict[str, tuple[str, list[str]]] = {
 # One row per merge: the version it made live and the dates it applied become visible together.
 MERGES = (
     "job_name string, table_name string, run_id string, mode string, version string, buckets int, rows bigint, "
-    "tombstones bigint, processed_at string, "
+    "tombstones bigint, parts array<string>, base_rows bigint, delta_rows bigint, processed_at string, "
     "dates array<struct<event_date string, stage_run string, rows_in bigint, rows_out bigint, bad_rows bigint>>"
 )
 
@@ -229,13 +229,22 @@ class Ledger:
         """The highest number taken by a merge; the next one must take a higher one."""
         return next(iter(self._numbers(job_name, table_name)), 0)
 
-    def live_version(self, job_name: str, table_name: str) -> dict | None:
-        """Facts of the newest merge of a table: number, version, buckets, rows, mode. Reads that one file."""
+    def versions(self, job_name: str, table_name: str, limit: int) -> list[dict]:
+        """Facts of the newest merges of a table, newest first: number, version, parts, buckets, rows, mode and how
+        many rows base and deltas have. Reads that many files."""
+        found: list[dict] = []
         for number in self._numbers(job_name, table_name):
-            row = self._commit(job_name, table_name, number)
+            row = self._commit(job_name, table_name, number) if len(found) < limit else None
             if row is not None:
-                return {"number": number, **{k: row.get(k) for k in ("version", "buckets", "rows", "mode")}}
-        return None
+                facts = ("version", "parts", "buckets", "rows", "mode", "base_rows", "delta_rows")
+                found.append({"number": number, **{k: row.get(k) for k in facts}})
+            elif len(found) >= limit:
+                break
+        return found
+
+    def live_version(self, job_name: str, table_name: str) -> dict | None:
+        """Facts of the newest merge of a table."""
+        return next(iter(self.versions(job_name, table_name, 1)), None)
 
     def commit_merge(self, number: int, **row) -> bool:
         """Make a merge live under a number; False if another one has taken it."""

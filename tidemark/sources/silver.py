@@ -155,7 +155,12 @@ def read_quarantine(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def version_path(base: str, table: str, version: str) -> str:
-    return f"{_table(base, CURRENT, table)}/version={version}"
+    return f"{_table(base, CURRENT, table)}/{fs.folder('version', version)}"
+
+
+def stored_parts(spark: SparkSession, base: str, table: str) -> list[str]:
+    """Bases and deltas of the current table, from folder names."""
+    return [fs.folder_values(p)["version"] for p in fs.glob(spark, f"{_table(base, CURRENT, table)}/version=*")]
 
 
 def _entry_name(table: str) -> str:
