@@ -115,8 +115,9 @@ def run_manifest(
 
 
 def run_files(rows: DataFrame) -> DataFrame:
-    """One row per file of a run: rows and offset range."""
-    return rows.groupBy("source", "table", "run_id", "src_file").agg(
+    """One row per file of a run: its path where known, rows and offset range."""
+    path = F.col("src_path") if "src_path" in rows.columns else F.lit(None).cast("string")
+    return rows.groupBy("source", "table", "run_id", "src_file", path.alias("path")).agg(
         F.count("*").alias("rows"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
 

@@ -59,7 +59,7 @@ def compact(
     before = empty
     if paths:
         rows = bronze.read_runs(spark, base, paths)
-        columns = [c for c in rows.columns if c not in ("batch", "src_file", "src_row")]
+        columns = [c for c in rows.columns if c not in ("batch", "src_path", "src_file", "src_row")]
         target = f"{base.rstrip('/')}/{bronze.COMPACTED}"
         (
             compact_rows(rows)

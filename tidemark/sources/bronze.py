@@ -99,7 +99,12 @@ def _read_promoted(spark: SparkSession, root: str, paths: Sequence[str]) -> Data
         own = [(F.col(f"`{c}`").cast(known[c]) if c in known else F.col(f"`{c}`")).alias(c) for c in df.columns]
         lacking = [F.lit(None).cast(t).alias(c) for c, t in known.items() if c not in df.columns]
         return df.select(
-            *own, *lacking, F.col("_metadata.file_name").alias("src_file"), F.col("_metadata.row_index").alias("src_row")
+            *own,
+            *lacking,
+            # the metadata column holds a URI; readers take paths
+            F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("src_path"),
+            F.col("_metadata.file_name").alias("src_file"),
+            F.col("_metadata.row_index").alias("src_row"),
         )
 
     try:

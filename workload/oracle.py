@@ -185,6 +185,20 @@ WITH {_E3} SELECT DISTINCT user_id, event_id, op, lsn, ts_ms, event_date FROM go
     "current_incremental": _CURRENT_STATE,
     "merge_job": _CURRENT_STATE,
     "merge_concurrent": _CURRENT_STATE,
+    "null_keys": f"""
+WITH {_E1},
+last AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {_DATE_FIRST}) AS rn FROM feed WHERE lsn % 10 <> 0)
+SELECT {_STATE} FROM last WHERE rn = 1 AND op <> 'd'""",
+    "landed_files": """
+SELECT 'source_db' AS source, 'events' AS "table", '2024-01-31' AS ingestion_date, 'nightly 2024-01-31T00:00' AS run_id,
+       CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", TRUE AS stamped
+FROM events""",
+    "ledger_runs": """
+WITH users AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)
+SELECT 'run-' || user_id AS run_id, 'a' AS start_time, CASE WHEN user_id % 3 <> 0 THEN 'b' END AS end_time,
+       CASE WHEN user_id % 3 = 0 THEN 'STARTED' WHEN n % 2 = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+       CASE WHEN user_id % 3 <> 0 AND n % 2 = 1 THEN CAST(n AS VARCHAR) END AS error, '2024-01-31' AS ingestion_date
+FROM users""",
     "merge_bare_dates": f"SELECT mode, s.* FROM ({_CURRENT_STATE}) s, (VALUES ('replay'), ('ordered')) m(mode)",
     "compact_job": """
 SELECT 'db' AS source, 'events' AS "table", CASE event_id % 3 WHEN 0 THEN 'run:0' WHEN 1 THEN 'run 1' ELSE 'run=2' END AS run_id,

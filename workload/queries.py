@@ -670,6 +670,53 @@ def compact_job(spark, sf_dir):
     return rows.select("source", "table", "run_id", "ingest_ts", "note", lsn.alias("lsn"))
 
 
+@query
+def landed_files(spark, sf_dir):
+    """The files a run names in its manifest, opened by those paths: every record once, with date and stamp."""
+    base = work_folder(spark, "landed")
+    ledger = Ledger(spark, f"{base}/ledger")
+    stream = _records_folder(spark, sf_dir, base)
+    run = ingest(
+        stream, f"{base}/bronze", ledger, checkpoint=f"{base}/checkpoint", available_now=True, ingestion_date="2024-01-31",
+        run_id="nightly 2024-01-31T00:00", max_records_per_file=1000,
+    )
+    if run.finish() != "SUCCESS":
+        raise RuntimeError(ledger.get_run(run.run_id).details)
+    listed = spark.read.json(fs.glob(spark, f"{base}/bronze/manifests/run_id=*/files"))
+    paths = [r["path"] for r in listed.select("path").toLocalIterator()]
+    rows = spark.read.option("basePath", f"{base}/bronze/cdc").parquet(*paths)
+    stamp = F.col("ingest_ts").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$")
+    return rows.select("source", "table", "ingestion_date", "run_id", "partition", "offset", stamp.alias("stamped"))
+
+
+@query
+def ledger_runs(spark, sf_dir):
+    """Runs that started, ended and failed: the newest row of each. A run per user."""
+    base = work_folder(spark, "runs")
+    ledger = Ledger(spark, f"{base}/ledger")
+    users = feeds.table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    run = F.concat(F.lit("run-"), F.col("user_id"))
+    none = F.lit(None).cast("map<string, string>")
+    rows = users.select(
+        "user_id", "n", run.alias("run_id"), F.lit("a").alias("start_time"), F.lit(None).cast("string").alias("end_time"),
+        F.lit("STARTED").alias("status"), none.alias("details"), F.lit("2024-01-31").alias("ingestion_date"),
+    )
+    ledger.append_rows("pipeline_runs", rows)
+    status = F.when(F.col("n") % 2 == 0, "SUCCESS").otherwise("FAILED")
+    details = F.when(F.col("n") % 2 == 1, F.create_map(F.lit("error"), F.col("n").cast("string")))
+    ended = rows.where("user_id % 3 <> 0").withColumns({"status": status, "end_time": F.lit("b"), "details": details})
+    ledger.append_rows("pipeline_runs", ended)
+    view = ledger.view("pipeline_runs")
+    return view.select("run_id", "start_time", "end_time", "status", F.col("details")["error"].alias("error"), "ingestion_date")
+
+
+@query
+def null_keys(spark, sf_dir):
+    """Events without a key have no state; those of a key decide as if the others weren't there."""
+    key = F.when(F.col("lsn") % 10 != 0, F.col("user_id"))
+    return merge.merge_current(None, events_stage(spark, sf_dir).withColumn("user_id", key), EVENTS.pk).select(*STATE)
+
+
 @query
 def merge_bare_dates(spark, sf_dir):
     """Stage folders of another tool, without a run level, give the same state in both modes."""
