@@ -101,18 +101,22 @@ def merge_stats(
 ) -> DataFrame:
     """Per event date: events after replay removal, and live keys after that date is applied.
 
-    Reads only the key, order and delete columns. Distinct events are counted and reduced to the last one per
-    (date, key); the live keys follow from where a key's liveness changes from date to date. Of the current
+    Reads only the key, order and delete columns. Distinct events are counted, and the last one per (date, key) is
+    kept; the live keys follow from where a key's liveness changes from date to date. Of the current
     table only keys with new events take part: ``live_before`` is its number of live keys, counted when not
     given, and ``partitions`` its bucket count, with which it is joined without a shuffle.
     """
     dated = mode == "replay"
     arrival = arrival_columns(stage)
+    extra = ["is_delete"] if "is_delete" in stage.columns else []
+    narrow = stage.select("event_date", F.col(pk).alias("_pk"), "lsn", "ts_ms", "op", *extra, *arrival)
+    # Keys alone are counted by hash, and of each date and key the last event is found before the shuffle.
+    distinct = narrow.select("event_date", "_pk", "lsn", "ts_ms", "op").distinct()
+    counted = distinct.groupBy("event_date").agg(F.count("*").alias("rows_in"))
+    last = latest(narrow, ["event_date", "_pk"], newest_first(narrow, mode))
     row = F.struct("event_date", "lsn", "ts_ms", *arrival)
-    event = F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(stage)).alias("live"))
-    narrow = stage.select("event_date", F.col(pk).alias("_pk"), "lsn", "ts_ms", "op", event.alias("_e"))
-    distinct = narrow.groupBy("event_date", "_pk", "lsn", "ts_ms", "op").agg(F.max("_e").alias("_e"))
-    per_key = distinct.groupBy("event_date", "_pk").agg(F.count("*").alias("n"), F.max("_e").alias("_e"))
+    event = F.struct(_order_key(row, arrival, dated=dated).alias("key"), (~is_removal(last)).alias("live"))
+    per_key = last.select("event_date", "_pk", event.alias("_e"))
 
     if current is None:
         steps, total = per_key.withColumn("_before", F.lit(None).cast(per_key.schema["_e"].dataType)), F.lit(0)
@@ -139,7 +143,7 @@ def merge_stats(
         .withColumn("_live", alive.cast("long"))
         .withColumn("_delta", F.col("_live") - F.coalesce(F.lag("_live").over(by_date), was))
     )
-    daily = steps.groupBy("event_date").agg(F.sum("n").alias("rows_in"), F.sum("_delta").alias("_delta"))
+    daily = counted.join(steps.groupBy("event_date").agg(F.sum("_delta").alias("_delta")), "event_date")
     # One row per date is left here, so the running total over all dates is a small window.
     return daily.select(
         "event_date",
