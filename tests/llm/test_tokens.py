@@ -23,7 +23,7 @@ def test_counts_are_the_librarys(docs):
 
 
 def test_frequent_pieces_are_those_of_all_texts(spark, docs):
-    rows = token_counts.frequent_pieces(docs, "", size=5).collect()
+    rows = token_counts.frequent_pieces(docs, size=5).collect()
     split = pieces.splitter(public_tokenizers.PATTERN, "tokenizers")
     want = Counter(p for r in docs.collect() for p in split((r.text or "").encode()) if len(p) <= token_counts.TABLE_PIECE)
     assert {r.piece: r.n for r in rows}.items() <= want.items()

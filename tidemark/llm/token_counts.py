@@ -51,7 +51,7 @@ def _special_splitter(tokenizer) -> Callable[[bytes], tuple[list[bytes], int]]:
     return split
 
 
-def frequent_pieces(docs: DataFrame, path: str, text: str = "text", size: int = TABLE_SIZE) -> DataFrame:
+def frequent_pieces(docs: DataFrame, text: str = "text", size: int = TABLE_SIZE) -> DataFrame:
     """(piece, n): the frequent pre-tokens of all texts, from mergeable bounded summaries of each task.
 
     A summary that outgrows its bound keeps its most frequent half, so counts are lower bounds. They only decide
@@ -95,7 +95,7 @@ def count_tokens(
     """
     path = path or public_tokenizers.path(VOCABULARY)
     spark = docs.sparkSession
-    pieces = [r.piece for r in frequent_pieces(docs, path, text, table_size).select("piece").toLocalIterator()]
+    pieces = [r.piece for r in frequent_pieces(docs, text, table_size).select("piece").toLocalIterator()]
     tokenizer = load_tokenizer(path)
     lengths = [len(e) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)] if pieces else []
     # size * TABLE_PIECE characters at most
