@@ -182,6 +182,12 @@ def test_import_stage_of_another_tool(spark, base):
     spark.range(1).write.parquet(f"{base}/three")
     with pytest.raises(ValueError, match="lsn"):
         silver.import_stage(spark, [f"{base}/three"], ORDERS)
+    folder = f"{base}/silver/stage_events/table=orders/event_date=2024-01-01"
+    for name in ("one", "two"):
+        os.makedirs(folder, exist_ok=True)
+        os.rename(fs.glob(spark, f"{base}/{name}/part-*")[0].removeprefix("file:"), f"{folder}/{name}.parquet")
+    ledger = Ledger(spark, f"{base}/ledger")
+    assert run_merge(spark, f"{base}/silver", ledger, ORDERS, buckets=2, foreign=True).rows == 2
 
 
 # Merge -----------------------------------------------------------------------------------------------------------

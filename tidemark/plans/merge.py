@@ -105,8 +105,9 @@ def run_merge(
     buckets: int | None = None,
     run_id: str | None = None,
     stats: bool = True,
+    foreign: bool = False,
 ) -> MergeResult:
-    """Apply pending stage events and make the result the live version.
+    """Apply pending stage events and make the result the live version. ``foreign``: stage files of another tool.
 
     The new version is written first; one ledger row then makes it live together with the dates it covers. A
     crash before that row leaves the old version live and the dates pending.
@@ -125,9 +126,9 @@ def run_merge(
                 return MergeResult(run_id, NOTHING)
             dates = sorted({d for d, _ in pending})
             if mode == "replay" or only_date is not None or force:
-                stage = silver.read_stage(spark, silver_base, spec, dates=dates)
+                stage = silver.read_stage(spark, silver_base, spec, dates=dates, foreign=foreign)
             else:
-                stage = silver.read_stage(spark, silver_base, spec, partitions=pending)
+                stage = silver.read_stage(spark, silver_base, spec, partitions=pending, foreign=foreign)
             result = apply_stage(
                 spark,
                 silver_base,

@@ -65,8 +65,12 @@ def read_stage(
     dates: Sequence[str] | None = None,
     partitions: Sequence[tuple[str, str]] | None = None,
     keep_raw_json: bool = False,
+    foreign: bool = False,
 ) -> DataFrame:
-    """Stage rows of a table. Given dates or (event_date, run_id) pairs, only their folders are listed and read."""
+    """Stage rows of a table. Given dates or (event_date, run_id) pairs, only their folders are listed and read.
+
+    ``foreign``: files of another tool, whose all-null columns can have any type, are read one by one and cast.
+    """
     schema = stage_schema(spec, keep_raw_json)
     root = _table(base, STAGE, spec.table)
     if partitions is not None:
@@ -79,6 +83,9 @@ def read_stage(
     paths = [p for p in paths if fs.exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], schema).withColumn("run_id", F.lit(None).cast("string"))
+    if foreign:
+        files = [f for p in paths for level in ("", "/run_id=*") for f in fs.glob(spark, f"{p}{level}/*.parquet")]
+        return import_stage(spark, files, spec).withColumn("run_id", F.lit(None).cast("string"))
     reader = spark.read.option("basePath", f"{base.rstrip('/')}/{STAGE}")
     try:
         stored = reader.option("mergeSchema", "true").parquet(*paths)
