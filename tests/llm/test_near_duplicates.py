@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import near_duplicates
+from tidemark.llm.common import may_be_in
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -105,5 +106,13 @@ def test_matrix_and_pairwise_overlaps_agree():
 
 
 def test_prefixes_get_shorter_for_lower_similarities():
-    assert near_duplicates._recall({39: 100}, 6) > near_duplicates._recall({0: 100}, 6)
-    assert near_duplicates._recall({0: 100}, 6) < near_duplicates._recall({0: 100}, 4)
+    assert near_duplicates._recall({39: 100}, 5) > near_duplicates._recall({0: 100}, 5)
+    assert near_duplicates._recall({0: 100}, 5) < near_duplicates._recall({0: 100}, 4)
+
+
+def test_filter_keeps_all_wanted_rows_and_few_others(spark):
+    rows = spark.range(20_000).selectExpr("cast(id as string) as reference", "id")
+    wanted = rows.where("id % 100 = 7").select("reference")
+    left = {r.id for r in may_be_in(rows, "reference", wanted).collect()}
+    assert {i for i in range(20_000) if i % 100 == 7} <= left and len(left) < 250
+    assert may_be_in(rows, "reference", wanted.limit(0)).collect() == []

@@ -105,6 +105,26 @@ def reference(key: str, text: str) -> F.Column:
     return F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("~"), whole)
 
 
+# Bits of the filter below: 4 MB, whatever the number of values.
+FILTER_BITS = 1 << 25
+
+
+def may_be_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose value is among the wanted ones, and a few others: an exact join can follow on what is left.
+
+    The hashes of the wanted values are marked in bitmaps of fixed total size, which are small enough to be sent to
+    all executors; so long columns of other rows need not be shuffled for that join.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    marks = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+    maps = written(marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")), "filter")
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("place", place).withColumn("bucket", F.bitmap_bucket_number("place"))
+    found = found.join(F.broadcast(maps), "bucket").withColumn("byte", byte)
+    return found.where(F.expr("(shiftright(byte, cast(bitmap_bit_position(place) % 8 as int)) & 1) = 1")).select(*rows.columns)
+
+
 def word_table() -> bytes:
     """Byte table for words of digits, letters and bytes of other scripts: A-Z in lower case, the rest a space."""
     table = bytearray(range(256))

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import bound_batches, mix64, reference, written
+from tidemark.llm.common import bound_batches, may_be_in, mix64, reference, written
 
 WORDS, SIMILARITY = 5, (4, 5)
-TREES, LONGEST, SHORTEST = 16, 6, 3
+TREES, LONGEST, SHORTEST = 16, 5, 3
 TARGET_RECALL = 0.9995
 # Signatures agree in a share of places near the similarity; five standard deviations below it a pair is left out.
 AGREEMENT = 0.8 - 5 * math.sqrt(0.8 * 0.2 / (TREES * LONGEST))
@@ -291,7 +291,9 @@ def _shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
             )
 
     texts = docs.select(reference(key, text).alias("reference"), F.col(text).cast("string").alias("text"))
-    made = texts.join(wanted.select("reference"), "reference", "left_semi").select("text").mapInArrow(run, "set binary, shingles binary")
+    # an inner join: a semi-join would be pushed below the filter; a set has one reference, and a reference one set
+    few = may_be_in(texts, "reference", wanted).join(wanted.select("reference"), "reference")
+    made = few.select("text").mapInArrow(run, "set binary, shingles binary")
     # repeated rows have the same reference
     return written(made.groupBy("set").agg(F.first("shingles").alias("shingles")), "shingles")
 
