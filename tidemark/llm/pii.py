@@ -2,8 +2,8 @@
 
 The base kinds are found by pattern. What else gives a protected value away is estimated from the corpus: a term t
 reveals a value e as far as knowing t lowers the surprise of e, that is by PMI(t, e) / IC(e), which is 1 if t is
-never seen without e. Co-occurrence is counted in the words around each value, in different contexts, and the
-frequency of t over all documents. Terms above a threshold are removed or generalised wherever they occur.
+never seen without e. Co-occurrence is counted in the words around each value, over contexts of different words, and
+the frequency of t over all documents. Terms above a threshold are removed or generalised wherever they occur.
 
 Only DataFrame functions are used. Patterns are written without repeated groups, on which Java's engine recurses.
 """
@@ -129,37 +129,46 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return written(spans.select("key", _digest(whole).alias("digest"), F.transform("spans", around).alias("spans")), "spans")
 
 
+def _disclosure(share: Column, n_value: Column, n_docs: int) -> Column:
+    """PMI of a term and a value over the value's information, for a share of the term's documents at the value."""
+    n = F.lit(float(max(n_docs, 1)))
+    odds = n / F.least(n_value, n)
+    return F.when(odds > 1, F.log2(share * odds) / F.log2(odds)).otherwise(F.lit(0.0))
+
+
 def revealing_terms(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
     """term, disclosure, kind: the terms that reveal some protected value, with the most revealing share and its kind.
 
-    A value protected in a third of all documents gives one row per context only, counted before any shuffle by hash.
+    Contexts whose words have the same least hash count once, so that copies and near copies of a text, which have
+    it alike, are one piece of evidence. A term occurs at least in the documents that have it near some value; this
+    bound leaves out most terms before their frequency is counted over all texts, and none that could reveal.
     """
-    contexts = spans.select(F.explode("spans").alias("s")).select(
-        "s.kind", F.lower("s.value").alias("value"), F.lower("s.context").alias("context")
-    )
-    different = contexts.distinct()
-    pairs = different.select(
-        "kind", "value", F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))).alias("term")
+    n_docs = docs.count()
+    each = spans.select("digest", F.explode("spans").alias("s")).select(
+        "digest",
+        "s.kind",
+        F.lower("s.value").alias("value"),
+        F.array_distinct(F.regexp_extract_all(F.lower("s.context"), F.lit(TERM), F.lit(0))).alias("words"),
     )
-    together = pairs.groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= SUPPORT)
-    together = written(together, "together")
-    values = different.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
+    least = F.coalesce(F.array_min(F.transform("words", lambda w: F.xxhash64(w))), F.lit(0))
+    contexts = written(each.withColumn("context", least), "contexts")
+    near = contexts.select("digest", "kind", "value", "context", F.explode("words").alias("term"))
+    both = near.select("kind", "value", "context", "term").distinct().groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both"))
+    values = contexts.select("kind", "value", "context").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
+    at_least = near.select("digest", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
+    # contexts can outnumber documents: a share is 1 at most
+    share = lambda n: F.least(F.col("both") / n, F.lit(1.0))
+    together = both.where(F.col("both") >= SUPPORT).join(values, ["kind", "value"]).join(at_least, "term")
+    together = written(together.where(_disclosure(share(F.col("n_least")), F.col("n_value"), n_docs) >= GENERALISE), "together")
+    candidates = written(together.select("term").distinct(), "candidates")
     # how often candidate terms occur in the whole corpus, in documents
     words = docs.select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text).cast("string")), F.lit(TERM), F.lit(0)))).alias("term")
     )
-    candidates = written(together.select("term").distinct(), "candidates")
     frequency = words.join(candidates, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n_docs = docs.count()
-    surprise = F.log2(F.lit(n_docs) / F.least("n_value", F.lit(n_docs)))
-    # contexts can outnumber documents: a share is 1 at most
-    share = F.least(F.col("both") / F.col("n_term"), F.lit(1.0))
-    pmi = F.log2(share * F.lit(n_docs) / F.least("n_value", F.lit(n_docs)))
-    scored = together.join(frequency, "term").join(values, ["kind", "value"]).withColumn(
-        "disclosure", F.when(surprise > 0, pmi / surprise).otherwise(F.lit(0.0))
-    )
-    strongest = F.max(F.struct("disclosure", "kind")).alias("top")
-    revealing = scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(strongest)
+    disclosure = _disclosure(share(F.col("n_term")), F.col("n_value"), n_docs)
+    scored = together.join(frequency, "term").withColumn("disclosure", disclosure)
+    revealing = scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("top"))
     return written(revealing.select("term", "top.disclosure", "top.kind"), "revealing")
 
 
