@@ -21,7 +21,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import bound_batches, may_be_in, mix64, reference, written
 
