@@ -38,7 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document that is left, and the digests of ids and of the decoded text."""
-    return byte_bpe.digests(byte_bpe.encode(docs).drop("n_tokens"))
+    return byte_bpe.round_trip(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

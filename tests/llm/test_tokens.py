@@ -47,6 +47,7 @@ def test_ids_and_bytes_are_the_librarys(docs, reference):
         text = hashlib.sha256((r.text or "").encode()).hexdigest()
         want[r.doc_id, len(ids), hashlib.sha256(data).hexdigest(), text] += 1
     assert got == want
+    assert Counter(tuple(r) for r in byte_bpe.round_trip(docs).collect()) == want
     decoded = {r.doc_id: bytes(r.decoded) for r in byte_bpe.decode(encoded).where("doc_id is not null").collect()}
     assert decoded == {r.doc_id: (r.text or "").encode() for r in docs.where("doc_id is not null").collect()}
 
@@ -73,3 +74,4 @@ def test_classes_are_the_librarys(reference):
 def test_empty_tables(nothing):
     assert token_counts.count_tokens(nothing).collect() == []
     assert byte_bpe.digests(byte_bpe.encode(nothing).drop("n_tokens")).collect() == []
+    assert byte_bpe.round_trip(nothing).collect() == []

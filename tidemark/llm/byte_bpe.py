@@ -26,6 +26,7 @@ from tidemark.llm.common import as_bytes, bound_batches, fields, per_text
 from tidemark.llm.pieces import splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 # Entries of a worker's memory of neighbours and of encoded pieces.
 PAIR_MEMORY, PIECE_MEMORY = 200_000, 100_000
 
@@ -165,6 +166,25 @@ def encode(
     return per_text(docs, make, "n_tokens long, ids binary", key, text)
 
 
+def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of docs: key, n_tokens, ids_sha256 and decoded_sha256 in lower-case hex.
+
+    Encodes, and decodes the ids again, in one pass: two passes in a row would keep two Python workers for each task.
+    Rows are those of :func:`encode`.
+    """
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def make():
+        bpe, split = load(path), splitter(public_tokenizers.PATTERN, "tiktoken")
+
+        def work(column: pa.Array) -> list:
+            return list(zip(*[_digest(bpe, bpe.encode(split(data))) for data in as_bytes(column)], strict=True))
+
+        return work
+
+    return per_text(docs, make, DIGESTS, key, text)
+
+
 def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """Per row: key, decoded (binary), the bytes of the text that the ids stand for; null ids give no bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
@@ -174,11 +194,11 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", ids
 def digests(encoded: DataFrame, path: str | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """Per row: key, n_tokens, ids_sha256 and decoded_sha256 in lower-case hex."""
     path = path or public_tokenizers.path(VOCABULARY)
+    return _map_ids(encoded, path, key, ids, DIGESTS, _digest)
 
-    def row(bpe: ByteBpe, x: bytes) -> list:
-        return [len(x) // 4, hashlib.sha256(x).hexdigest(), hashlib.sha256(bpe.decode(x)).hexdigest()]
 
-    return _map_ids(encoded, path, key, ids, "n_tokens long, ids_sha256 string, decoded_sha256 string", row)
+def _digest(bpe: ByteBpe, ids: bytes) -> tuple[int, str, str]:
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
 
 
 def _map_ids(encoded: DataFrame, path: str, key: str, ids: str, outputs: str, row) -> DataFrame:

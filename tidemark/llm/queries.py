@@ -34,7 +34,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents")).drop("n_tokens"))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
