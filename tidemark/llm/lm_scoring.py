@@ -294,7 +294,7 @@ class Mixer:
                 right *= outcome
                 # right: log-odds of the outcome; its cost is log(1 + exp(-right)), and miss the other's probability
                 small = np.exp(-np.abs(right))
-                cost = np.log1p(small) - np.minimum(right, 0)
+                cost = np.log(1 + small) - np.minimum(right, 0)
                 total -= np.bincount(owner, cost, len(texts))
                 small /= 1 + small
                 miss = np.where(right < 0, 1 - small, small)
