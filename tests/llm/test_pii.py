@@ -96,6 +96,15 @@ def test_copies_are_no_evidence(spark):
     assert not any("term" in r.spans for r in found)
 
 
+def test_copies_do_not_count_against_a_term(spark, telling):
+    """Copies and near copies of a text that shows a term beside its value change nothing."""
+    text = {r.doc_id: r.text for r in telling.collect()}
+    copies = [(1000 + i, text[0]) for i in range(200)] + [(2000 + i, text[0] + " " * i) for i in range(200)]
+    more = telling.unionByName(spark.createDataFrame(copies, "doc_id long, text string"))
+    terms = lambda docs: {(r.term, round(r.disclosure, 9)) for r in pii.revealing_terms(docs, pii.found(docs)).collect()}
+    assert {t for t, _ in terms(more)} == {"zorro", "basel"} and terms(more) == terms(telling)
+
+
 def test_rows_stay_whole(docs, nothing):
     clean = pii.sanitise(docs)
     assert clean.columns == docs.columns

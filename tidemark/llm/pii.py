@@ -2,8 +2,8 @@
 
 The base kinds are found by pattern. What else gives a protected value away is estimated from the corpus: a term t
 reveals a value e as far as knowing t lowers the surprise of e, that is by PMI(t, e) / IC(e), which is 1 if t is
-never seen without e. Co-occurrence is counted in the words around each value, over contexts of different words, and
-the frequency of t over all documents. Terms above a threshold are removed or generalised wherever they occur.
+never seen without e. Co-occurrence is counted in the words around each value and the frequency of t over all
+documents, both in units: a text with its copies and near copies counts once. Terms above a threshold are removed or generalised wherever they occur.
 
 Only DataFrame functions are used. Patterns are written without repeated groups, on which Java's engine recurses.
 """
@@ -21,6 +21,8 @@ CONTEXT = 64
 TERM = r"\p{L}{3,}"
 # Different contexts that a term and a value must share, and the disclosure from which a term is generalised.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.999
+# Least hashes of neighbouring words that stand for a text: copies and most near copies have all of them alike.
+SIGNATURE = 3
 
 # Stand-ins of the same length, so that a run of single separators is a run of one class. They belong to no word.
 _GAP, _DOT, _OTHER = "\ue000", "\ue001", "\ue002"
@@ -111,11 +113,28 @@ def _digest(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def _words(text: Column) -> Column:
+    """The terms of a text in order, without those inside an address."""
+    ready = _prepared(F.coalesce(text.cast("string"), F.lit("")))
+    searched, pattern, possible = _fixed(ready)["email"]
+    open_text = F.when(possible, F.regexp_replace(searched, F.lit(pattern), F.lit(" "))).otherwise(ready)
+    return F.regexp_extract_all(F.lower(open_text), F.lit(TERM), F.lit(0))
+
+
+def with_units(docs: DataFrame) -> DataFrame:
+    """docs with words and unit: what counts once, a text with its copies and near copies. Needs a column text."""
+    hashed = docs.withColumn("words", _words(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    after = F.slice("hashes", F.lit(2), F.size("hashes"))
+    pairs = F.array_sort(F.array_distinct(F.zip_with("hashes", after, lambda a, b: F.xxhash64(a, b))))
+    unit = F.when(F.size("words") == 0, F.xxhash64(_digest(F.col("text")))).otherwise(F.xxhash64(F.slice(pairs, 1, SIGNATURE)))
+    return hashed.withColumn("unit", unit).withColumn("words", F.array_distinct("words")).drop("hashes")
+
+
 def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, digest of the text, base spans with the words around them: written, without the texts."""
+    """key, digest and unit of the text, base spans with the words around them: written, without the texts."""
     whole = F.col("text")
     narrow = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    spans = narrow.withColumn("spans", base_spans(whole))
+    spans = with_units(narrow).withColumn("spans", base_spans(whole))
 
     def around(span: Column) -> Column:
         low = F.greatest(span["start"] - CONTEXT, F.lit(0))
@@ -126,7 +145,7 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         after = F.regexp_replace(F.substring(whole, span["end"] + 1, F.lit(CONTEXT)), r"\S*$", "")
         return F.struct(*[span[c].alias(c) for c in ("kind", "start", "end", "value")], F.concat(before, F.lit(" "), after).alias("context"))
 
-    return written(spans.select("key", _digest(whole).alias("digest"), F.transform("spans", around).alias("spans")), "spans")
+    return written(spans.select("key", _digest(whole).alias("digest"), "unit", F.transform("spans", around).alias("spans")), "spans")
 
 
 def _disclosure(share: Column, n_value: Column, n_docs: int) -> Column:
@@ -139,33 +158,33 @@ def _disclosure(share: Column, n_value: Column, n_docs: int) -> Column:
 def revealing_terms(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
     """term, disclosure, kind: the terms that reveal some protected value, with the most revealing share and its kind.
 
-    Contexts whose words have the same least hash count once, so that copies and near copies of a text, which have
-    it alike, are one piece of evidence. A term occurs at least in the documents that have it near some value; this
-    bound leaves out most terms before their frequency is counted over all texts, and none that could reveal.
+    Everything is counted in units, so that copies and near copies of a text are one piece of evidence for a term and
+    one against it. A term occurs at least in the units that have it near some value; this bound leaves out most terms
+    before their frequency is counted over all texts, and none that could reveal.
     """
-    n_docs = docs.count()
-    each = spans.select("digest", F.explode("spans").alias("s")).select(
-        "digest",
-        "s.kind",
-        F.lower("s.value").alias("value"),
-        F.array_distinct(F.regexp_extract_all(F.lower("s.context"), F.lit(TERM), F.lit(0))).alias("words"),
+    n_docs = spans.select("unit").distinct().count()
+    contexts = written(
+        spans.select("unit", F.explode("spans").alias("s")).select(
+            "unit",
+            "s.kind",
+            F.lower("s.value").alias("value"),
+            F.array_distinct(F.regexp_extract_all(F.lower("s.context"), F.lit(TERM), F.lit(0))).alias("words"),
+        ),
+        "contexts",
     )
-    least = F.coalesce(F.array_min(F.transform("words", lambda w: F.xxhash64(w))), F.lit(0))
-    contexts = written(each.withColumn("context", least), "contexts")
-    near = contexts.select("digest", "kind", "value", "context", F.explode("words").alias("term"))
-    both = near.select("kind", "value", "context", "term").distinct().groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both"))
-    values = contexts.select("kind", "value", "context").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
-    at_least = near.select("digest", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
-    # contexts can outnumber documents: a share is 1 at most
+    near = contexts.select("unit", "kind", "value", F.explode("words").alias("term"))
+    both = near.distinct().groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both"))
+    values = contexts.select("unit", "kind", "value").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
+    at_least = near.select("unit", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
+    # a value beside others shows words of theirs that count in no unit: a share is 1 at most
     share = lambda n: F.least(F.col("both") / n, F.lit(1.0))
     together = both.where(F.col("both") >= SUPPORT).join(values, ["kind", "value"]).join(at_least, "term")
     together = written(together.where(_disclosure(share(F.col("n_least")), F.col("n_value"), n_docs) >= GENERALISE), "together")
     candidates = written(together.select("term").distinct(), "candidates")
-    # how often candidate terms occur in the whole corpus, in documents
-    words = docs.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text).cast("string")), F.lit(TERM), F.lit(0)))).alias("term")
-    )
-    frequency = words.join(candidates, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # how often candidate terms occur in the whole corpus, in units
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    words = with_units(docs.select(whole.alias("text"))).select("unit", F.explode("words").alias("term"))
+    frequency = words.join(candidates, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     disclosure = _disclosure(share(F.col("n_term")), F.col("n_value"), n_docs)
     scored = together.join(frequency, "term").withColumn("disclosure", disclosure)
     revealing = scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("top"))
@@ -203,7 +222,7 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     base = found(docs, key, text)
     added = term_spans(docs, revealing_terms(docs, base, text), text)
-    return base.join(added, "digest", "left").withColumnRenamed("key", key)
+    return base.drop("unit").join(added, "digest", "left").withColumnRenamed("key", key)
 
 
 def report(docs: DataFrame) -> DataFrame:
