@@ -105,6 +105,30 @@ def test_copies_do_not_count_against_a_term(spark, telling):
     assert {t for t, _ in terms(more)} == {"zorro", "basel"} and terms(more) == terms(telling)
 
 
+def test_terms_far_from_a_value_and_seldom_seen_reveal_it(spark):
+    """Two texts are evidence where the term is always with the value, one word in common doesn't make them one."""
+    rng = random.Random(9)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    rows = [(i, f"Rumpelstiltskin {filler(60)} mail bob@y.org") for i in range(2)]
+    rows += [(10 + i, f"call +49 30 1234567{i} {filler(40)} once{'abc'[i]}") for i in range(3)]
+    rows += [(20 + i, f"mail {filler(40)}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.term, r.disclosure, r.kind) for r in pii.revealing_terms(docs, pii.found(docs)).collect()} == {("rumpelstiltskin", 1.0, "email")}
+
+
+def test_near_copies_are_no_evidence(spark):
+    rng = random.Random(10)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    rows = []
+    for i in range(40):
+        text = words(80)
+        changed = [w if k % 16 else "changed" for k, w in enumerate(text)]
+        rows += [(2 * i, f"{' '.join(text)} u{i}@x.org"), (2 * i + 1, f"{' '.join(changed)} u{i}@x.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = pii.found(docs)
+    assert base.select("unit").distinct().count() > 40 and pii.revealing_terms(docs, base).collect() == []
+
+
 def test_rows_stay_whole(docs, nothing):
     clean = pii.sanitise(docs)
     assert clean.columns == docs.columns

@@ -2,8 +2,8 @@
 
 The base kinds are found by pattern. What else gives a protected value away is estimated from the corpus: a term t
 reveals a value e as far as knowing t lowers the surprise of e, that is by PMI(t, e) / IC(e), which is 1 if t is
-never seen without e. Co-occurrence is counted in the words around each value and the frequency of t over all
-documents, both in units: a text with its copies and near copies counts once. Terms above a threshold are removed or generalised wherever they occur.
+never seen without e. Co-occurrence is counted in texts that have both and the frequency of t over all texts, both
+in units: a text with its copies and near copies counts once. Terms above a threshold are removed or generalised wherever they occur.
 
 Only DataFrame functions are used. Patterns are written without repeated groups, on which Java's engine recurses.
 """
@@ -16,13 +16,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone")
-# Code points on either side of a value that make its context, and the terms looked at.
-CONTEXT = 64
+# The terms looked at.
 TERM = r"\p{L}{3,}"
-# Different contexts that a term and a value must share, and the disclosure from which a term is generalised.
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.999
+# The disclosure from which a term is generalised, and removed. To decide this, a disclosure seen in n units is shrunk
+# by n / (n + DOUBT): a term that is always with its value is taken from two units on, others need more.
+GENERALISE, REMOVE, DOUBT = 0.8, 0.999, 0.5
 # Least hashes of neighbouring words that stand for a text: copies and most near copies have all of them alike.
 SIGNATURE = 3
+# Further least hashes, each in an order of its own (the hash with some bits turned), that tell whether units are as
+# different as they look: near copies of which a part was changed have most of them alike, texts with a few words in
+# common hardly any. So the units count by the order that is ALIKE-th in telling them apart least.
+ORDERS, ALIKE = tuple((k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(1, 9)), 3
 
 # Stand-ins of the same length, so that a run of single separators is a run of one class. They belong to no word.
 _GAP, _DOT, _OTHER = "\ue000", "\ue001", "\ue002"
@@ -122,30 +126,30 @@ def _words(text: Column) -> Column:
 
 
 def with_units(docs: DataFrame) -> DataFrame:
-    """docs with words and unit: what counts once, a text with its copies and near copies. Needs a column text."""
+    """docs with words, pairs and unit: what counts once, a text with its copies and near copies. Needs a column text.
+
+    pairs are the hashes of neighbouring words, in order.
+    """
     hashed = docs.withColumn("words", _words(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     after = F.slice("hashes", F.lit(2), F.size("hashes"))
-    pairs = F.array_sort(F.array_distinct(F.zip_with("hashes", after, lambda a, b: F.xxhash64(a, b))))
-    unit = F.when(F.size("words") == 0, F.xxhash64(_digest(F.col("text")))).otherwise(F.xxhash64(F.slice(pairs, 1, SIGNATURE)))
+    hashed = hashed.withColumn("pairs", F.array_sort(F.array_distinct(F.zip_with("hashes", after, lambda a, b: F.xxhash64(a, b)))))
+    unit = F.when(F.size("words") == 0, F.xxhash64(_digest(F.col("text")))).otherwise(F.xxhash64(F.slice("pairs", 1, SIGNATURE)))
     return hashed.withColumn("unit", unit).withColumn("words", F.array_distinct("words")).drop("hashes")
 
 
 def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, digest and unit of the text, base spans with the words around them: written, without the texts."""
+    """key, digest and unit of the text, base spans, of texts that have any also words and sketch: written, without the texts."""
     whole = F.col("text")
     narrow = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spans = with_units(narrow).withColumn("spans", base_spans(whole))
+    sketch = F.array(*[F.array_min(F.transform("pairs", _turned(order))) for order in ORDERS])
+    has = F.size("spans") > 0
+    more = [F.when(has, F.col("words")).alias("words"), F.when(has, sketch).alias("sketch")]
+    return written(spans.select("key", _digest(whole).alias("digest"), "unit", "spans", *more), "spans")
 
-    def around(span: Column) -> Column:
-        low = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        # words cut by the edge of the context are left out
-        before = F.when(low > 0, F.regexp_replace(F.substring(whole, low + 1, span["start"] - low), r"^\S*", "")).otherwise(
-            F.substring(whole, F.lit(1), span["start"])
-        )
-        after = F.regexp_replace(F.substring(whole, span["end"] + 1, F.lit(CONTEXT)), r"\S*$", "")
-        return F.struct(*[span[c].alias(c) for c in ("kind", "start", "end", "value")], F.concat(before, F.lit(" "), after).alias("context"))
 
-    return written(spans.select("key", _digest(whole).alias("digest"), "unit", F.transform("spans", around).alias("spans")), "spans")
+def _turned(order: int):
+    return lambda x: x.bitwiseXOR(F.lit(order))
 
 
 def _disclosure(share: Column, n_value: Column, n_docs: int) -> Column:
@@ -155,39 +159,47 @@ def _disclosure(share: Column, n_value: Column, n_docs: int) -> Column:
     return F.when(odds > 1, F.log2(share * odds) / F.log2(odds)).otherwise(F.lit(0.0))
 
 
+def _shrunk(disclosure: Column, n: Column) -> Column:
+    return disclosure * n / (n + DOUBT)
+
+
 def revealing_terms(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
     """term, disclosure, kind: the terms that reveal some protected value, with the most revealing share and its kind.
 
-    Everything is counted in units, so that copies and near copies of a text are one piece of evidence for a term and
-    one against it. A term occurs at least in the units that have it near some value; this bound leaves out most terms
-    before their frequency is counted over all texts, and none that could reveal.
+    A term and a value occur together where they are in one text, at any distance. Everything is counted in units, so
+    that copies and near copies of a text are one piece of evidence for a term and one against it. Two bounds leave out
+    what can't reveal, and nothing else: values of a single unit before they are paired, and, as a term occurs at least
+    in the units that have it beside some value, most terms before their frequency is counted over all texts.
     """
     n_docs = spans.select("unit").distinct().count()
-    contexts = written(
-        spans.select("unit", F.explode("spans").alias("s")).select(
-            "unit",
-            "s.kind",
-            F.lower("s.value").alias("value"),
-            F.array_distinct(F.regexp_extract_all(F.lower("s.context"), F.lit(TERM), F.lit(0))).alias("words"),
-        ),
-        "contexts",
-    )
-    near = contexts.select("unit", "kind", "value", F.explode("words").alias("term"))
-    both = near.distinct().groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both"))
-    values = contexts.select("unit", "kind", "value").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
-    at_least = near.select("unit", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
-    # a value beside others shows words of theirs that count in no unit: a share is 1 at most
-    share = lambda n: F.least(F.col("both") / n, F.lit(1.0))
-    together = both.where(F.col("both") >= SUPPORT).join(values, ["kind", "value"]).join(at_least, "term")
-    together = written(together.where(_disclosure(share(F.col("n_least")), F.col("n_value"), n_docs) >= GENERALISE), "together")
+    enough = lambda n: _shrunk(F.lit(1.0), F.col(n)) >= GENERALISE
+    has = spans.select("unit", F.explode("spans").alias("s")).select("unit", "s.kind", F.lower("s.value").alias("value")).distinct()
+    has = written(has, "values")
+    values = has.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value")).where(enough("n_value"))
+    values = written(values, "repeated-values")
+    has = written(has.join(values, ["kind", "value"], "left_semi"), "units-with-values")
+    near = spans.join(has.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("words").alias("term")).distinct()
+    near = written(near, "terms-with-values")
+    at_least = near.groupBy("term").agg(F.count(F.lit(1)).alias("n_least")).where(enough("n_least"))
+    both = has.join(near, "unit").groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both"))
+    together = both.where(enough("both")).join(values, ["kind", "value"]).join(at_least, "term")
+    share = lambda n: F.col("both") / F.col(n)
+    revealed = lambda n: _disclosure(share(n), F.col("n_value"), n_docs)
+    together = written(together.where(_shrunk(revealed("n_least"), F.col("both")) >= GENERALISE), "together")
     candidates = written(together.select("term").distinct(), "candidates")
     # how often candidate terms occur in the whole corpus, in units
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     words = with_units(docs.select(whole.alias("text"))).select("unit", F.explode("words").alias("term"))
     frequency = words.join(candidates, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    disclosure = _disclosure(share(F.col("n_term")), F.col("n_value"), n_docs)
-    scored = together.join(frequency, "term").withColumn("disclosure", disclosure)
-    revealing = scored.where(F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("top"))
+    scored = together.join(frequency, "term").withColumn("disclosure", revealed("n_term"))
+    scored = written(scored.where(_shrunk(F.col("disclosure"), F.col("both")) >= GENERALISE), "scored")
+    pair = ["kind", "value", "term"]
+    sketches = spans.where(F.col("sketch").isNotNull()).groupBy("unit").agg(F.min("sketch").alias("sketch"))
+    shown = scored.select(*pair).join(has, ["kind", "value"]).join(near, ["unit", "term"]).join(sketches, "unit")
+    different = shown.select(*pair, F.posexplode("sketch").alias("order", "least")).distinct().groupBy(*pair, "order")
+    proof = different.agg(F.count(F.lit(1)).alias("n")).groupBy(*pair).agg(F.element_at(F.array_sort(F.collect_list("n")), ALIKE).alias("n_proof"))
+    sure = scored.join(proof, pair).where(_shrunk(F.col("disclosure"), F.col("n_proof")) >= GENERALISE)
+    revealing = sure.groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("top"))
     return written(revealing.select("term", "top.disclosure", "top.kind"), "revealing")
 
 
@@ -222,7 +234,7 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     base = found(docs, key, text)
     added = term_spans(docs, revealing_terms(docs, base, text), text)
-    return base.drop("unit").join(added, "digest", "left").withColumnRenamed("key", key)
+    return base.drop("unit", "words", "sketch").join(added, "digest", "left").withColumnRenamed("key", key)
 
 
 def report(docs: DataFrame) -> DataFrame:
