@@ -76,6 +76,14 @@ def test_a_text_is_scored_alone(texts):
     assert together == pytest.approx([mixer.read([x])[0] for x in lists], rel=1e-4)
 
 
+def test_documents_that_weights_are_learned_on_are_counted_too(spark):
+    part = lambda n: [k for k in range(2000) if zlib.crc32(str(k).encode()) % 10 == n]
+    text = " ".join(f"w{i}" for i in range(40))
+    ids = part(lm_scoring.WEIGHING)[:60] + part(lm_scoring.HELD_OUT)[:20]
+    got = lm_scoring.score(spark.createDataFrame([(k, text) for k in ids], "doc_id long, text string")).collect()
+    assert sum(r.score for r in got if r.held_out) > 0.5 * sum(r.base_score for r in got if r.held_out)
+
+
 def test_nothing(spark, nothing):
     assert lm_scoring.score(nothing).collect() == []
     held = spark.createDataFrame([(k, "a b") for k in range(200) if zlib.crc32(str(k).encode()) % 10 == 0], "doc_id long, text string")

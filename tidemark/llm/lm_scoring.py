@@ -5,8 +5,8 @@ escape and the codes of its bytes, and an end. Predictors look up how often a bi
 context, in tables counted over the training documents: no context, the last word and the last two words; within a
 spelled word the last byte, two and three bytes. Longer contexts are hashed. The predictors' log-odds are added with
 weights chosen by a gate, that is by the kind of bit and how often its contexts were seen, and squashed to the
-probability of the bit. Weights are learned on a part of the training documents that isn't counted, and each document
-refines them as it is read. The sum of the logarithms is the score.
+probability of the bit. Weights are learned on a part of the training documents before it is counted too, and each
+document refines them as it is read. The sum of the logarithms is the score.
 """
 
 from __future__ import annotations
@@ -213,11 +213,17 @@ def _batches_of(batch_texts: list[bytes]) -> Iterator[tuple[range, list[list[byt
         yield range(begin, len(batch_texts)), held
 
 
-def count_contexts(docs: DataFrame, shared: Broadcast, key: str, text: str) -> np.ndarray:
-    """Times that each slot's decision was 0 and 1 in the counted training documents, as SLOTS rows.
+def _planes(counts: np.ndarray) -> bytes:
+    """64-bit counts byte by byte, first all lowest bytes, which compresses well."""
+    return counts.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
 
-    Each task counts in a table of its own and hands it on in blocks, which are added up block by block.
-    """
+
+def count_contexts(docs: DataFrame, shared: Broadcast, text: str) -> DataFrame:
+    """block, counts: times that the decision of each slot of a block was 0 and 1, from each task that saw the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ranks = _ranks(shared)
@@ -229,23 +235,35 @@ def count_contexts(docs: DataFrame, shared: Broadcast, key: str, text: str) -> n
                         np.add.at(table, slot * 2 + bits.bit, one)
         blocks = table.reshape(-1, 2 * SLOT_BLOCK)
         for i in np.flatnonzero(blocks.any(axis=1)):
-            planes = blocks[i].view(np.uint8).reshape(-1, 4).T.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([planes], pa.binary())], ["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_planes(blocks[i])], pa.binary())], ["block", "counts"])
+
+    return docs.select(F.col(text).cast("string")).mapInArrow(run, "block int, counts binary")
+
+
+def add_up(parts: DataFrame) -> DataFrame:
+    """block, counts: one row per block, written."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, planes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
-                total[block] = total.get(block, 0) + counts.astype(np.int64)
+                total[block] = total.get(block, 0) + _from_planes(planes)
         for block, counts in total.items():
-            packed = _pack(counts.reshape(-1, 2)).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_planes(counts)], pa.binary())], ["block", "counts"])
+
+    return written(parts.repartition("block").mapInArrow(add, "block int, counts binary"), "contexts")
+
+
+def table_of(counts: DataFrame) -> np.ndarray:
+    """The packed slots of all blocks."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [_pack(_from_planes(x).reshape(-1, 2)).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["block", "packed"])
 
-    counted = docs.where((crc_mod(key) != HELD_OUT) & (crc_mod(key) != WEIGHING)).select(F.col(text).cast("string"))
-    parts = counted.mapInArrow(run, "block int, counts binary").repartition("block")
     table = np.zeros(SLOTS, np.uint16)
-    for r in parts.mapInArrow(add, "block int, packed binary").toLocalIterator():
+    for r in counts.mapInArrow(pack, "block int, packed binary").toLocalIterator():
         table[r.block * SLOT_BLOCK : (r.block + 1) * SLOT_BLOCK] = np.frombuffer(r.packed, np.uint16)
     return table
 
@@ -350,8 +368,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     top = words.where(F.octet_length("word") <= RANK_BYTES).orderBy(F.desc("c"), "word").limit(RANKS).toArrow()
     ranked = top["c"].to_pylist()
     shared = spark.sparkContext.broadcast(Codes(top["word"].to_pylist(), ranked, size.n - sum(ranked), n_end))
-    table = spark.sparkContext.broadcast(count_contexts(docs, shared, key, text))
-    weights = spark.sparkContext.broadcast(learn_weights(docs, shared, table, key, text))
+    weighing = docs.where(crc_mod(key) == WEIGHING)
+    counted = add_up(count_contexts(docs.where((crc_mod(key) != HELD_OUT) & (crc_mod(key) != WEIGHING)), shared, text))
+    # weights are learned on documents that the table has not seen; then these are counted as well
+    partial = spark.sparkContext.broadcast(table_of(counted))
+    weights = spark.sparkContext.broadcast(learn_weights(docs, shared, partial, key, text))
+    partial.unpersist()
+    table = spark.sparkContext.broadcast(table_of(add_up(counted.unionByName(count_contexts(weighing, shared, text)))))
     kind = docs.schema[key].dataType
     outputs = "row long, held_out boolean, n_tokens long, n_known long, base double, ln double, n_bytes long, rare array<binary>"
     schema = T.StructType([T.StructField("key", kind), *T.StructType.fromDDL(outputs).fields])
