@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     byte_bpe,
     decontamination,
+    fingerprints,
     language_id,
     lm_scoring,
     near_duplicates,
@@ -62,6 +63,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_fingerprints": op11_fingerprints,
 }
 
 ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
