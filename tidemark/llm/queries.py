@@ -16,6 +16,7 @@ from tidemark.llm import (
     pii,
     quality_rules,
     sharding,
+    token_alignment,
     token_counts,
     url_filter,
 )
@@ -67,6 +68,10 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_fingerprints": op11_fingerprints,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
