@@ -19,6 +19,7 @@ from tidemark.llm import (
     token_alignment,
     token_counts,
     url_filter,
+    whitening,
 )
 from tidemark.llm.common import table
 
@@ -72,6 +73,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.report(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_fingerprints": op11_fingerprints,
     "op12_token_alignment": op12_token_alignment,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {"op6_url_filter": url_filter.oracle_sql()}
