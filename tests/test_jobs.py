@@ -504,3 +504,44 @@ def test_other_buckets_and_modes_make_a_new_base(spark, base):
     version = ledger.live_version(merge_plan.JOB_NAME, "users")
     assert (version["buckets"], len(version["parts"]), version["mode"]) == (2, 1, "ordered")
     assert [r[0] for r in state(current_table(spark, silver_base, ledger, USERS))] == list(range(3, 21))
+
+
+def test_a_merge_overtaken_between_reading_and_committing_loses_nothing(spark, base, monkeypatch):
+    """A second merge is forced in between while its commit is not yet published."""
+    ledger, silver_base = Ledger(spark, f"{base}/ledger"), f"{base}/silver"
+    stage(spark, base, [user("c", 1, 1)], "r0")
+    run_merge(spark, silver_base, ledger, USERS, buckets=2)
+    stage(spark, base, [user("c", 2, 2, day=1)], "r1")
+    real, inner = fs.publish, []
+
+    def between(session, path, to):
+        if not inner and "/commit-" in to:
+            inner.append(1)
+            stage(spark, base, [user("c", 3, 3, day=2)], "r2")
+            inner.append(run_merge(spark, silver_base, Ledger(spark, f"{base}/ledger"), USERS, only_date="2024-01-03"))
+        return real(session, path, to)
+
+    monkeypatch.setattr(fs, "publish", between)
+    assert run_merge(spark, silver_base, ledger, USERS).status == "SUCCESS" and inner[1].status == "SUCCESS"
+    assert [r[0] for r in state(current_table(spark, silver_base, ledger, USERS))] == [1, 2, 3]
+    assert run_merge(spark, silver_base, ledger, USERS).status == "nothing_to_process"
+
+
+def test_a_run_structured_again_is_merged_again(spark, base):
+    """Its folder keeps its name but has other files."""
+    ledger, silver_base = Ledger(spark, f"{base}/ledger"), f"{base}/silver"
+    stage(spark, base, [user("c", 1, 1)], "a")
+    assert run_merge(spark, silver_base, ledger, USERS, mode="ordered", buckets=2).rows == 1
+    stage(spark, base, [user("c", 2, 2)], "a")  # adds to the input and structures all of it again
+    result = run_merge(spark, silver_base, ledger, USERS, mode="ordered")
+    assert result.rows == 2 and [(d["event_date"], d["stage_run"]) for d in result.dates] == [("2024-01-01", "a")]
+    assert run_merge(spark, silver_base, ledger, USERS, mode="ordered").status == "nothing_to_process"
+
+
+def test_marks_of_an_earlier_release_count(spark, base):
+    """They name a stage run but not its files."""
+    ledger, silver_base = Ledger(spark, f"{base}/ledger"), f"{base}/silver"
+    stage(spark, base, [user("c", 1, 1)], "a")
+    old = dict(event_date="2024-01-01", stage_run="a", rows_in=1, rows_out=1, bad_rows=0)
+    ledger.commit_merge(1, job_name=merge_plan.JOB_NAME, table_name="users", run_id="m", mode="ordered", dates=[old])
+    assert run_merge(spark, silver_base, ledger, USERS, mode="ordered").status == "nothing_to_process"

@@ -75,10 +75,34 @@ def test_one_merge_per_number(spark, base):
     assert not commit(ledger, 1, "users", "b", version="b", rows=2)
     live = ledger.live_version("job", "users")
     assert (live["number"], live["version"], live["rows"]) == (1, "a", 1)
-    # a writer lost before it filled its file leaves the version before it live, and its number taken
+    # a commit that can't be read is no absent one: nothing may be built on the version before it
     fs.create_text(spark, ledger._merges("job", "users"), "commit-000000000002.json", "")
-    assert ledger.live_version("job", "users")["version"] == "a" and ledger.last_number("job", "users") == 2
-    assert ledger.processed_partitions("job", "users").count() == 0
+    with pytest.raises(RuntimeError, match="damaged"):
+        ledger.live_version("job", "users")
+    assert ledger.last_number("job", "users") == 2
+
+
+def test_files_appear_whole_or_not_at_all(spark, base, monkeypatch):
+    """A writer lost before it publishes leaves no name behind; of many writers of a name one succeeds."""
+    folder = f"{base}/f"
+    with monkeypatch.context() as m:
+        m.setattr(fs, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            fs.create_text(spark, folder, "commit-1", "text")
+    assert not fs.exists(spark, f"{folder}/commit-1")
+    with ThreadPoolExecutor(6) as pool:
+        made = list(pool.map(lambda i: fs.create_text(spark, folder, "commit-1", f"text {i}"), range(12)))
+    assert sum(made) == 1 and fs.read_text(spark, f"{folder}/commit-1") == f"text {made.index(True)}"
+    assert fs.names(spark, folder) == ["commit-1"]
+    # the way of other file systems
+    for name in ("a", "b"):
+        fs.write_text(spark, folder, name, name)
+    source, target = fs._path(spark, f"{folder}/a")[0], fs._path(spark, f"{folder}/c")[0]
+    fs._rename_unless_there(spark, source, target)
+    assert fs.names(spark, folder) == ["b", "c", "commit-1"]
+    with pytest.raises(Exception, match="AlreadyExists"):
+        fs._rename_unless_there(spark, target, fs._path(spark, f"{folder}/b")[0])
+    assert fs.read_text(spark, f"{folder}/b") == "b"
 
 
 def test_tidy_keeps_the_view(spark, base, monkeypatch):

@@ -158,3 +158,50 @@ def test_a_batch_of_other_tables_writes_no_version(spark, base):
         bronze.file_stream(spark, f"{base}/records"), f"{base}/silver", ledger, other, checkpoint=f"{base}/cp", name="f", buckets=2
     ).awaitTermination()
     assert ledger.last_number("merge_current", "absent") == 0
+
+
+def test_a_rescued_run_is_closed(spark, base, monkeypatch):
+    """Rows landed into a run after its rescue would never be compacted: they go to a new run."""
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(5)])
+    with monkeypatch.context() as m:
+        m.setattr(Ledger, "upsert_checkpoints", lambda *a: (_ for _ in ()).throw(OSError("disk full")))
+        ledger, run = start(spark, base, run_id="r")
+        assert run.finish() == "FAILED"
+    assert [r["rows"] for r in compact(spark, f"{base}/bronze", ledger, statuses=("SUCCESS", "FAILED")).collect()] == [5]
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(5, 8)])
+    with pytest.raises(ValueError, match="compacted"):
+        start(spark, base, run_id="r")
+    _, again = start(spark, base, run_id="r2")
+    assert again.finish() == "SUCCESS"
+    compact(spark, f"{base}/bronze", ledger)
+    rows = spark.read.parquet(f"{base}/bronze/compacted").select("offset").distinct()
+    assert sorted(r["offset"] for r in rows.collect()) == list(range(8))
+
+
+def test_a_failed_run_that_goes_on_is_no_failed_run(spark, base, monkeypatch):
+    """While it lands again, nobody may rescue it."""
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(3)])
+    with monkeypatch.context() as m:
+        m.setattr(Ledger, "upsert_checkpoints", lambda *a: (_ for _ in ()).throw(OSError("disk full")))
+        ledger, run = start(spark, base, run_id="r")
+        assert run.finish() == "FAILED"
+    ledger, run = start(spark, base, run_id="r")
+    row = ledger.get_run("r")
+    assert (row.status, row.end_time, row.details) == ("STARTED", None, None) and row.start_time
+    assert compact(spark, f"{base}/bronze", ledger, statuses=("SUCCESS", "FAILED")).count() == 0
+    assert run.finish() == "SUCCESS" and offsets(spark, base) == [(0, i) for i in range(3)]
+
+
+def test_a_run_belongs_to_its_checkpoint(spark, base):
+    """Batches of another checkpoint have the same numbers: they would replace those that are there."""
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(5)])
+    ledger = Ledger(spark, f"{base}/ledger")
+    stream = bronze.file_stream(spark, f"{base}/records")
+    run = ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/one", run_id="r", flush_seconds=1)
+    run.query.processAllAvailable()
+    run.query.stop()
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/two", run_id="r", available_now=True)
+    put(spark, base, [(0, i, "c", i, "SE") for i in range(5, 7)])
+    again = ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/one/", run_id="r", available_now=True)
+    assert again.finish() == "SUCCESS" and offsets(spark, base) == [(0, i) for i in range(7)]

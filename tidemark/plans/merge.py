@@ -81,15 +81,17 @@ def _new_buckets(stage: DataFrame) -> int:
 
 
 def _pending(spark, silver_base, ledger, spec, mode, only_date, force) -> DataFrame:
-    """(event_date, run_id) stage folders to apply. ``replay`` finishes a date for good; ``ordered`` looks at
-    every stage run of a date, so events that arrive late are applied too."""
+    """(event_date, run_id, attempt) of stage folders to apply. ``replay`` finishes a date for good; ``ordered`` looks at
+    the files of every stage run of a date, so events that arrive late are applied too, also into a run merged before."""
     parts = silver.stage_partitions(spark, silver_base, spec.table, only_date)
     processed = ledger.processed_partitions(JOB_NAME, spec.table)
     if mode == "replay" or only_date is not None or force:
         dates = pending_dates(parts, processed, only_date, force)
         return parts.join(dates, "event_date", "left_semi")
-    done = processed.select("event_date", F.col("stage_run").alias("run_id"))
+    done = processed.select("event_date", F.col("stage_run").alias("run_id"), "attempt")
     same = parts["run_id"].eqNullSafe(done["run_id"]) & (parts["event_date"] == done["event_date"])
+    # a merge of before attempts were noted stands for any
+    same &= done["attempt"].isNull() | (parts["attempt"] == done["attempt"])
     return parts.join(done, same, "left_anti")
 
 
@@ -118,17 +120,17 @@ def run_merge(
     try:
         for attempt in range(ATTEMPTS):
             pending = [
-                (r["event_date"], r["run_id"])
+                (r["event_date"], r["run_id"], r["attempt"])
                 for r in _pending(spark, silver_base, ledger, spec, mode, only_date, force).collect()
             ]
             if not pending:
                 ledger.end_silver_run(run_id, "SUCCESS", {"message": NOTHING})
                 return MergeResult(run_id, NOTHING)
-            dates = sorted({d for d, _ in pending})
+            dates = sorted({d for d, _, _ in pending})
             if mode == "replay" or only_date is not None or force:
                 stage = silver.read_stage(spark, silver_base, spec, dates=dates, foreign=foreign)
             else:
-                stage = silver.read_stage(spark, silver_base, spec, partitions=pending, foreign=foreign)
+                stage = silver.read_stage(spark, silver_base, spec, partitions=[p[:2] for p in pending], foreign=foreign)
             result = apply_stage(
                 spark,
                 silver_base,
@@ -213,12 +215,12 @@ def apply_stage(
             per_date[r["event_date"]] = (r["rows_in"], r["rows_out"], r["bad_rows"])
     rows_out, marks = (before["rows"] if before else 0) or 0, []
     runs_of: dict[str, list] = {}
-    for d, r in stage_runs or []:
-        runs_of.setdefault(d, []).append(r)
+    for d, *run in stage_runs or []:
+        runs_of.setdefault(d, []).append(run)
     for d in dates if dates is not None else sorted(per_date):
         rows_in, rows_out, bad = per_date.get(d, (0, rows_out, 0))
-        for stage_run in runs_of.get(d, [None]):
-            marks.append(merged_date(d, stage_run, rows_in, rows_out, bad))
+        for stage_run, attempt in runs_of.get(d, [(None, None)]):
+            marks.append(merged_date(d, stage_run, rows_in, rows_out, bad, attempt))
     committed = ledger.commit_merge(
         number,
         job_name=JOB_NAME,

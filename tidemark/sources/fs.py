@@ -5,6 +5,7 @@ Only names of folders pass through the driver, never data.
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -96,17 +97,45 @@ def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
 def create_text(spark: SparkSession, folder: str, name: str, text: str) -> bool:
     """Create a small file unless there is one of that name; False if there is.
 
-    Of several writers one succeeds. A reader may find the file still empty.
+    The file is written under a hidden name and then published whole, so readers never find it empty. Of several
+    writers one succeeds.
     """
-    path, fs = _path(spark, f"{folder}/{name}")
-    try:
-        stream = fs.create(path, False)
-    except Py4JJavaError as error:
-        if "AlreadyExists" in error.java_exception.getClass().getName() or fs.exists(path):
-            return False
-        raise
+    hidden, fs = _path(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
+    stream = fs.create(hidden, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    try:
+        return publish(spark, hidden.toString(), f"{folder}/{name}")
+    finally:
+        fs.delete(hidden, False)
+
+
+def publish(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a finished file its name unless that name is taken; False if it is.
+
+    A rename on a local disk replaces what is there, so a second link is made there instead. Elsewhere the rename
+    refuses, which HDFS does as one step.
+    """
+    source, fs = _path(spark, path)
+    target, jvm = _path(spark, to)[0], spark._jvm
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = [jvm.java.nio.file.Path.of(jvm.java.net.URI.create(fs.makeQualified(p).toUri().toString())) for p in (target, source)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            _rename_unless_there(spark, source, target)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
     return True
+
+
+def _rename_unless_there(spark: SparkSession, source, target) -> None:
+    jvm = spark._jvm
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    none = spark.sparkContext._gateway.new_array(options, 1)
+    none[0] = options.NONE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, none)

@@ -27,7 +27,7 @@ from tidemark.sources import fs
 TABLES: dict[str, tuple[str, list[str]]] = {
     "pipeline_runs": (
         "run_id string, start_time string, end_time string, status string, details map<string, string>, "
-        "ingestion_date string",
+        "ingestion_date string, checkpoint string",
         ["run_id"],
     ),
     "cdc_checkpoints": (
@@ -54,7 +54,7 @@ TABLES: dict[str, tuple[str, list[str]]] = {
 MERGES = (
     "job_name string, table_name string, run_id string, mode string, version string, buckets int, rows bigint, "
     "tombstones bigint, parts array<string>, base_rows bigint, delta_rows bigint, processed_at string, "
-    "dates array<struct<event_date string, stage_run string, rows_in bigint, rows_out bigint, bad_rows bigint>>"
+    "dates array<struct<event_date string, stage_run string, rows_in bigint, rows_out bigint, bad_rows bigint, attempt string>>"
 )
 
 # Files of a table from which on it is tidied, and seconds for which a reader may use files it has listed.
@@ -154,10 +154,21 @@ class Ledger:
 
     # Bronze runs -----------------------------------------------------------------------------------------
 
-    def start_run(self, run_id: str, ingestion_date: str | None = None) -> None:
+    def start_run(self, run_id: str, ingestion_date: str | None = None, checkpoint: str | None = None) -> None:
+        """Open a run; ``checkpoint`` is that of the stream which lands it."""
         if self.get_run(run_id) is not None:
             raise ValueError(f"run {run_id!r} exists already")
-        self._start("pipeline_runs", run_id=run_id, ingestion_date=ingestion_date)
+        self._start("pipeline_runs", run_id=run_id, ingestion_date=ingestion_date, checkpoint=checkpoint)
+
+    def reopen_run(self, run: Row) -> None:
+        """Mark a run that failed as started again, so that nobody takes it for one that has ended."""
+        row = {**run.asDict(), "status": "STARTED", "end_time": None, "details": None}
+        self.append("pipeline_runs", **row)
+        self._open[row["run_id"]] = row
+
+    def is_compacted(self, run_id: str) -> bool:
+        """Whether rows of a bronze run were compacted already."""
+        return self._newest("compacted_runs", F.col("run_id") == run_id) is not None
 
     def _start(self, table: str, **row) -> None:
         row = {**row, "start_time": self.now(), "status": "STARTED"}
@@ -218,12 +229,14 @@ class Ledger:
         found = fs.names(self.spark, self._merges(job_name, table_name))
         return sorted((int(n[7:-5]) for n in found if n.startswith("commit-")), reverse=True)
 
-    def _commit(self, job_name: str, table_name: str, number: int) -> dict | None:
-        text = fs.read_text(self.spark, f"{self._merges(job_name, table_name)}/commit-{number:012d}.json")
+    def _commit(self, job_name: str, table_name: str, number: int) -> dict:
+        """Facts of a merge. Commits appear whole: one that can't be read is damaged, and building on the version before
+        it would lose its rows."""
+        path = f"{self._merges(job_name, table_name)}/commit-{number:012d}.json"
         try:
-            return json.loads(text)
-        except ValueError:  # its writer was lost between naming and filling it
-            return None
+            return json.loads(fs.read_text(self.spark, path))
+        except ValueError as error:
+            raise RuntimeError(f"{path} is damaged; restore or remove it") from error
 
     def last_number(self, job_name: str, table_name: str) -> int:
         """The highest number taken by a merge; the next one must take a higher one."""
@@ -232,15 +245,10 @@ class Ledger:
     def versions(self, job_name: str, table_name: str, limit: int) -> list[dict]:
         """Facts of the newest merges of a table, newest first: number, version, parts, buckets, rows, mode and how
         many rows base and deltas have. Reads that many files."""
-        found: list[dict] = []
-        for number in self._numbers(job_name, table_name):
-            row = self._commit(job_name, table_name, number) if len(found) < limit else None
-            if row is not None:
-                facts = ("version", "parts", "buckets", "rows", "mode", "base_rows", "delta_rows")
-                found.append({"number": number, **{k: row.get(k) for k in facts}})
-            elif len(found) >= limit:
-                break
-        return found
+        facts = ("version", "parts", "buckets", "rows", "mode", "base_rows", "delta_rows")
+        numbers = self._numbers(job_name, table_name)[:limit]
+        rows = [(number, self._commit(job_name, table_name, number)) for number in numbers]
+        return [{"number": number, **{k: row.get(k) for k in facts}} for number, row in rows]
 
     def live_version(self, job_name: str, table_name: str) -> dict | None:
         """Facts of the newest merge of a table."""
@@ -263,13 +271,17 @@ class Ledger:
         return bool(self._merge_log(job_name, table_name).where(F.col("run_id") == run_id).limit(1).count())
 
     def processed_partitions(self, job_name: str, table_name: str) -> DataFrame:
-        """Newest row per merged (event_date, stage_run); stage_run is null where whole dates are tracked."""
-        one = F.inline("dates").alias("event_date", "stage_run", "rows_in", "rows_out", "bad_rows")
+        """Newest row per merged (event_date, stage_run); stage_run is null where whole dates are tracked, ``attempt``
+        names the files that a stage run had."""
+        one = F.inline("dates").alias("event_date", "stage_run", "rows_in", "rows_out", "bad_rows", "attempt")
         rows = self._merge_log(job_name, table_name).select(
             "job_name", "table_name", "processed_at", "run_id", "seq", one
         )
         return latest(rows, ["event_date", "stage_run"], [F.col("seq").desc()]).drop("seq")
 
 
-def merged_date(event_date: str, stage_run: str | None, rows_in: int, rows_out: int, bad_rows: int = 0) -> dict:
-    return dict(event_date=event_date, stage_run=stage_run, rows_in=rows_in, rows_out=rows_out, bad_rows=bad_rows)
+def merged_date(
+    event_date: str, stage_run: str | None, rows_in: int, rows_out: int, bad_rows: int = 0, attempt: str | None = None
+) -> dict:
+    facts = dict(event_date=event_date, stage_run=stage_run, rows_in=rows_in, rows_out=rows_out, bad_rows=bad_rows)
+    return facts if attempt is None else {**facts, "attempt": attempt}

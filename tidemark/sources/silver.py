@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
@@ -47,14 +48,24 @@ def write_stage(stage: DataFrame, base: str, *, spread: bool = True, max_records
 
 
 def stage_partitions(spark: SparkSession, base: str, table: str, only_date: str | None = None) -> DataFrame:
-    """(event_date, run_id) of the stage folders, from folder names alone; empty when there is no stage."""
+    """(event_date, run_id, attempt) of the stage folders, from names alone; empty when there is no stage.
+
+    ``attempt`` is a digest of the names of a folder's files. Every write has new ones, so a run that was structured
+    again, or got more files, is told from what it was before.
+    """
     root, date = _table(base, STAGE, table), only_date or "*"
-    found = [fs.folder_values(p) for p in fs.glob(spark, f"{root}/event_date={date}/run_id=*")]
-    have = {v["event_date"] for v in found}
+    files: dict[tuple[str, str | None], list[str]] = {}
+    for level in ("", "/run_id=*"):
+        for path in fs.glob(spark, f"{root}/event_date={date}{level}"):
+            values = fs.folder_values(path)
+            files[values["event_date"], values.get("run_id")] = []
+        for path in fs.glob(spark, f"{root}/event_date={date}{level}/*.parquet"):
+            values = fs.folder_values(path)
+            files[values["event_date"], values.get("run_id")].append(path.rsplit("/", 1)[-1])
+    have = {d for d, r in files if r is not None}
     # A date folder written by another tool, or left empty, has no run level.
-    bare = [v for p in fs.glob(spark, f"{root}/event_date={date}") if (v := fs.folder_values(p))["event_date"] not in have]
-    rows = sorted((v["event_date"], v.get("run_id")) for v in [*found, *bare])
-    return spark.createDataFrame(rows, "event_date string, run_id string")
+    rows = sorted((d, r, hashlib.md5("/".join(sorted(f)).encode()).hexdigest()) for (d, r), f in files.items() if r is not None or d not in have)
+    return spark.createDataFrame(rows, "event_date string, run_id string, attempt string")
 
 
 def read_stage(

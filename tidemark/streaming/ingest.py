@@ -140,20 +140,29 @@ def ingest(
     Positions are kept by the stream's ``checkpoint``; the ledger repeats them for inspection after the files of
     a batch are written. Restarting with the same checkpoint continues behind the last complete batch. With
     the same ``run_id`` a batch that broke half-way is replaced; with a new one its rows may be stored twice, in
-    the old run and the new, and the merge removes replays.
+    the old run and the new: ``operators.offsets`` finds them, and the merge removes replays.
+
+    A run belongs to the checkpoint it was started with, whose batch numbers name its folders. It can be gone on with
+    until it ends well or its rows are compacted.
     """
     spark = stream.sparkSession
     check(spark)
     run_id = run_id or uuid.uuid4().hex
     known = ledger.get_run(run_id)
+    place = checkpoint.rstrip("/")
     if known is None:
         ingestion_date = ingestion_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
-        ledger.start_run(run_id, ingestion_date)
-    elif known.status == "SUCCESS":
-        # its rows may be compacted already, and nothing would look at the folder again
-        raise ValueError(f"run {run_id!r} has ended; land into a new one")
+        ledger.start_run(run_id, ingestion_date, place)
     else:
+        # nothing would look at the folder of a compacted run again
+        if known.status == "SUCCESS" or ledger.is_compacted(run_id):
+            raise ValueError(f"run {run_id!r} has ended or is compacted; land into a new one")
+        # batches of another checkpoint have the same numbers and would replace those that are there
+        if known.checkpoint != place:
+            raise ValueError(f"run {run_id!r} was started with the checkpoint {known.checkpoint}, not {place}; land into a new one")
         ingestion_date = known.ingestion_date or ingestion_date
+        if known.status != "STARTED":
+            ledger.reopen_run(known)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(
