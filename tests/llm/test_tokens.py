@@ -75,3 +75,29 @@ def test_empty_tables(nothing):
     assert token_counts.count_tokens(nothing).collect() == []
     assert byte_bpe.digests(byte_bpe.encode(nothing).drop("n_tokens")).collect() == []
     assert byte_bpe.round_trip(nothing).collect() == []
+
+
+ALPHABET = ["a", "b1", "é", "'s", "'", "42", "...", "#", " ", " ", " ", "  ", "\n", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", " ", "​", "日", "'ll"]
+
+
+@pytest.mark.parametrize("library", ["tiktoken", "tokenizers"])
+def test_words_hold_whole_pre_tokens(library):
+    split = pieces.splitter(public_tokenizers.PATTERN, library)
+    rng = np.random.default_rng(11)
+    plain = 0
+    for _ in range(4000):
+        text = "".join(rng.choice(ALPHABET[:11] if rng.random() < 0.6 else ALPHABET, rng.integers(0, 14)))
+        plain += pieces.units(text) is not None
+        found = [pieces.spelled(k) for k in pieces.keys_of(text, split)]
+        assert "".join(found) == text
+        assert [p for word in found for p in split(word.encode())] == split(text.encode()), repr(text)
+    assert 500 < plain < 3500
+
+
+def test_word_memory_is_bounded():
+    made = []
+    memory = pieces.WordMemory(lambda words: made.extend(words) or [len(w) for w in words], 5000, {"first": 6})
+    for i in range(300):
+        assert memory([f"w{i}", "first", "\nx", pieces.AS_IS + "abc"]) == [len(f"w{i}") + 1, 6, 2, 3]
+        assert memory._used <= 5000 + 3 * (memory.ENTRY + 20) and len(memory._known) < 40
+    assert " first" not in made and " w7" in made and "\nx" in made

@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from collections.abc import Callable
 
 import ahocorasick
 import numpy as np
@@ -22,13 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import as_bytes, bound_batches, fields, per_text
-from tidemark.llm.pieces import splitter
+from tidemark.llm.common import as_texts, bound_batches, fields, per_text
+from tidemark.llm.pieces import WordMemory, keys_of, splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-# Entries of a worker's memory of neighbours and of encoded pieces.
-PAIR_MEMORY, PIECE_MEMORY = 200_000, 100_000
+# Entries of a worker's memory of neighbours, and bytes of its memory of encoded words.
+PAIR_MEMORY, WORD_BYTES = 200_000, 48 << 20
 
 
 class ByteBpe:
@@ -46,7 +47,6 @@ class ByteBpe:
         self.halves: dict[int, tuple[int, int]] = {}  # the two tokens a merge joins
         self.merge: dict[tuple[int, int], int] = {}
         self.memory: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
         self.shorter = {rank: self._prefix(token) for token, rank in ranks.items()}
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
             for cut in range(1, len(token)):
@@ -120,18 +120,14 @@ class ByteBpe:
                 at -= sizes[token]
         return out
 
-    def encode(self, pieces: list[str]) -> bytes:
-        """Ids of all pre-tokens of a text, as little-endian unsigned 32-bit integers."""
-        known = self.pieces
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > PIECE_MEMORY:
-                known.clear()
-            for piece in set(pieces):
-                if piece not in known:
-                    known[piece] = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
-            return b"".join(map(known.__getitem__, pieces))
+    def encoder(self, split: Callable[[bytes], list[str]]) -> Callable[[str], bytes]:
+        """A function from a text to its ids as little-endian unsigned 32-bit integers; ``split`` cuts pre-tokens."""
+
+        def encode_words(words: list[str]) -> list[bytes]:
+            return [np.array([i for p in split(w.encode()) for i in self.encode_piece(p.encode())], "<u4").tobytes() for w in words]
+
+        memory = WordMemory(encode_words, WORD_BYTES)
+        return lambda text: b"".join(memory(keys_of(text, split)))
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
@@ -155,10 +151,10 @@ def encode(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        bpe, split = load(path), splitter(public_tokenizers.PATTERN, "tiktoken")
+        encode_text = load(path).encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            ids = [bpe.encode(split(data)) for data in as_bytes(column)]
+            ids = [encode_text(text) for text in as_texts(column)]
             return [[len(x) // 4 for x in ids], ids]
 
         return work
@@ -175,10 +171,11 @@ def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", te
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        bpe, split = load(path), splitter(public_tokenizers.PATTERN, "tiktoken")
+        bpe = load(path)
+        encode_text = bpe.encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            return list(zip(*[_digest(bpe, bpe.encode(split(data))) for data in as_bytes(column)], strict=True))
+            return list(zip(*[_digest(bpe, encode_text(text)) for text in as_texts(column)], strict=True))
 
         return work
 

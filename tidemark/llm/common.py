@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -70,6 +71,17 @@ def as_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def let_go() -> None:
+    """Give memory that is no longer used back to the system: an idle Python worker keeps what it has."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def per_text(
     docs: DataFrame,
     make: Callable[[], Callable[[pa.Array], list]],
@@ -94,6 +106,8 @@ def per_text(
             if batch.num_rows:
                 columns = [pa.array(c, k) for c, k in zip(work(batch.column(1)), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+        del work
+        let_go()
 
     found = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
     return found.withColumnRenamed("key", key)

@@ -81,3 +81,66 @@ def splitter(pattern: str, library: str) -> Callable[[bytes], list[str]]:
         return late[0](text)
 
     return split
+
+
+def units(text: str) -> list[str] | None:
+    """Cut a text into words that can be split into pre-tokens one by one; None if its white space is not plain.
+
+    No pre-token crosses the gap before a single space or line break that stands between two other characters: a space
+    belongs to what follows it, a line break is a pre-token of its own. A word that follows a line break is given with
+    it, other words without the space before them. White space is what Python knows as such, which takes in all that
+    the libraries do.
+    """
+    words = text.split()
+    breaks = text.count("\n")
+    gaps = breaks + text.count(" ")
+    if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
+        return None
+    return text.replace("\n", " \n").split(" ") if breaks else words
+
+
+# A key of WordMemory for a string as it stands; no word begins with this character.
+AS_IS = "\t"
+
+
+def spelled(key: str) -> str:
+    """The string that a key of WordMemory stands for: other words than those behind a line break have a space before them."""
+    return key[1:] if key[0] == AS_IS else key if key[0] == "\n" else " " + key
+
+
+class WordMemory:
+    """Remembers what ``make`` gives for strings. It forgets all when it outgrows its bytes, except what it began with.
+
+    ``make`` turns a list of strings into a list of values of about the size of the strings; none may be None.
+    """
+
+    # Bytes of an entry beside its characters.
+    ENTRY = 200
+
+    def __init__(self, make: Callable[[list[str]], list], size: int, first: dict | None = None) -> None:
+        self._make, self._size, self._first = make, size, first or {}
+        self._known, self._used = dict(self._first), 0
+
+    def __call__(self, keys: list[str]) -> list:
+        """The values of words as :func:`units` gives them, and of strings marked with AS_IS."""
+        found = list(map(self._known.get, keys))
+        if None in found:
+            if self._used > self._size:
+                self._known, self._used = dict(self._first), 0
+            at = [i for i, value in enumerate(found) if value is None]
+            new = list({keys[i] for i in at})
+            made = dict(zip(new, self._make([spelled(k) for k in new]), strict=True))
+            self._known.update(made)
+            self._used += sum(map(len, new)) * 2 + self.ENTRY * len(new)
+            for i in at:
+                found[i] = made[keys[i]]
+        return found
+
+
+def keys_of(text: str, split: Callable[[bytes], list[str]]) -> list[str]:
+    """What WordMemory is asked for a text: its words, or its pre-tokens where white space is not plain."""
+    words = units(text)
+    if words is None:
+        return [AS_IS + piece for piece in split(text.encode())] if text else []
+    words[0] = AS_IS + words[0]
+    return words

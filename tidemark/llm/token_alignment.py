@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import as_texts, bound_batches, written
+from tidemark.llm.common import as_texts, bound_batches, let_go, written
+from tidemark.llm.pieces import WordMemory, units
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # UTF-8 bytes of the texts aligned together, as far as a single text isn't longer.
 TOGETHER = 1 << 20
+# Bytes of a worker's memory of encoded words.
+WORD_BYTES = 48 << 20
 # Id pairs whose counts are sent to all executors, the most frequent ones: 16 bytes each. Rarer ones are joined.
 TOP_PAIRS = 1 << 20
 
@@ -50,6 +53,7 @@ class Tokenizers:
 
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True
+        self._memory = WordMemory(self._ids, WORD_BYTES)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of, vocabulary = _byte_of(), self._a.get_vocab()
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -63,10 +67,21 @@ class Tokenizers:
         self._spelled = [f"{i}{end}" for end in (",", "|") for i in range(len(self.a_bytes))]
         self._spelled += [f"{i}{end}" for end in (",", ";", "") for i in range(len(self.b_bytes))]
 
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of space + text, word by word where white space is plain, so that a word is encoded once."""
+        words = [units(text) for text in texts]
+        found: list = [None if w is None else list(chain.from_iterable(self._memory(w))) for w in words]
+        others = [i for i, w in enumerate(words) if w is None]
+        for i, ids in zip(others, self._ids([" " + texts[i] for i in others]), strict=True):
+            found[i] = ids
+        return found
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of space + text by each side; none where the two sides don't spell these bytes."""
-        a = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self._b.encode(texts, num_threads=1)
+        a, b = self._encode_a(texts), self._b.encode(texts, num_threads=1)
         for i, text in enumerate(texts):
             want = b" " + text.encode()
             if not text or b"".join(map(self.a_bytes.__getitem__, a[i])) != want or b"".join(map(self.b_bytes.__getitem__, b[i])) != want:
@@ -188,6 +203,7 @@ def _over(docs: DataFrame, key: str, text: str, ddl: str, paths: tuple[str, str]
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(found, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(some)), *arrays], schema.names)
                 done += len(some)
+        let_go()
 
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string")).mapInArrow(run, schema)
 

@@ -1,8 +1,8 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one: a broadcast table of the corpus's frequent pre-tokens and their numbers of tokens. Tier two: a cache
-in each worker that encodes what tier one misses. No pre-token is shuffled; what moves is each task's bounded
-summary of its frequent pre-tokens.
+in each worker that encodes what tier one misses; it remembers whole words, of one pre-token or more. No pre-token of
+the texts is shuffled; what moves is each task's bounded summary of its frequent pre-tokens.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, bound_batches, per_text
-from tidemark.llm.pieces import splitter
+from tidemark.llm.common import as_bytes, as_texts, bound_batches, per_text
+from tidemark.llm.pieces import AS_IS, WordMemory, keys_of, spelled, splitter
 
 VOCABULARY = "byte_bpe_50k.json"
-# Entries of the broadcast table, of a task's summary while it runs and at its end, and of a worker's cache.
-TABLE_SIZE, SUMMARY_SIZE, SUMMARY_ROWS, CACHE_SIZE = 32_768, 100_000, 4_096, 100_000
+# Entries of the broadcast table, and of a task's summary while it runs and at its end.
+TABLE_SIZE, SUMMARY_SIZE, SUMMARY_ROWS = 32_768, 100_000, 4_096
+# Bytes of a worker's cache.
+CACHE_BYTES = 64 << 20
 # Longer pre-tokens stay out of the broadcast table, which bounds its bytes.
 TABLE_PIECE = 64
 
@@ -62,12 +64,16 @@ def frequent_pieces(docs: DataFrame, text: str = "text", size: int = TABLE_SIZE)
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from public_tokenizers import PATTERN
 
-        split, counts = splitter(PATTERN, "tokenizers"), Counter()
+        split, words = splitter(PATTERN, "tokenizers"), Counter()
         for batch in batches:
-            for data in as_bytes(batch.column(0)):
-                counts.update(split(data))
-            if len(counts) > SUMMARY_SIZE:
-                counts = Counter(dict(counts.most_common(SUMMARY_SIZE // 2)))
+            for text in as_texts(batch.column(0)):
+                words.update(keys_of(text, split))
+            if len(words) > SUMMARY_SIZE:
+                words = Counter(dict(words.most_common(SUMMARY_SIZE // 2)))
+        counts: Counter = Counter()
+        for word, n in words.items():
+            for piece in [word[1:]] if word[0] == AS_IS and not word[1:].strip() else split(spelled(word).encode()):
+                counts[piece] += n
         top = [(p, n) for p, n in counts.most_common(SUMMARY_ROWS) if len(p) <= TABLE_PIECE]
         if top:
             yield pa.RecordBatch.from_arrays(
@@ -106,24 +112,22 @@ def count_tokens(
 
         tokenizer, split = load_tokenizer(path), splitter(PATTERN, "tokenizers")
         specials = _special_splitter(tokenizer)
-        first = dict(zip(shared.value["piece"].to_pylist(), shared.value["n"].to_pylist(), strict=True))
-        known = dict(first)
+        table = dict(zip(shared.value["piece"].to_pylist(), shared.value["n"].to_pylist(), strict=True))
+
+        def lengths(words: list[str]) -> list[int]:
+            cut = [[word] if word in table else split(word.encode()) for word in words]
+            new = list({p for found in cut for p in found if p not in table})
+            known = dict(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            return [sum(table[p] if p in table else known[p] for p in found) for found in cut]
+
+        memory = WordMemory(lengths, CACHE_BYTES, {p[1:]: n for p, n in table.items() if p[0] == " " and len(p.split()) == 1 and p[1:].strip() == p[1:] != ""})
 
         def work(column: pa.Array) -> list:
-            nonlocal known
             n_bytes, n_tokens = [], []
             for data in as_bytes(column):
                 parts, n = specials(data)
                 for part in parts:
-                    found = split(part)
-                    try:
-                        n += sum(map(known.__getitem__, found))
-                    except KeyError:
-                        new = [p for p in set(found) if p not in known]
-                        known.update(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-                        n += sum(map(known.__getitem__, found))
-                        if len(known) > CACHE_SIZE + len(first):
-                            known = dict(first)
+                    n += sum(memory(keys_of(part.decode(), split)))
                 n_bytes.append(len(data))
                 n_tokens.append(n)
             return [n_bytes, n_tokens]
