@@ -7,6 +7,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_alignment
+from tidemark.llm.pieces import byte_of
 
 ODD = ["▁x ▁", " lead", "trail ", "a  b\n\n c\t", "ﬁ Å", "<s> </s> <unk> <0x41> <|endoftext|>", "naïve 🤖🤖 ćčđ", "\u0000 nul", "\r\n\r\n", "ǅ é"]
 
@@ -22,8 +23,7 @@ def brute(text, sides):
     """Tokens with their byte ranges, links by comparing ranges, groups by common ends."""
     a, b = sides
     whole = (" " + (text or "")).encode()
-    tiktoken_bytes = dict(zip(token_alignment._byte_of().values(), token_alignment._byte_of(), strict=True))
-    back = {c: x for x, c in tiktoken_bytes.items()}
+    back = byte_of()
     tokens = []
     ids = a.encode(" " + (text or ""), add_special_tokens=False).ids
     tokens.append([(i, bytes(back[c] for c in a.id_to_token(i))) for i in ids])

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import as_texts, bound_batches, fields, per_text
-from tidemark.llm.pieces import WordMemory, keys_of, splitter
+from tidemark.llm.pieces import AS_IS, WordMemory, keys_of, splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -123,10 +123,14 @@ class ByteBpe:
     def encoder(self, split: Callable[[bytes], list[str]]) -> Callable[[str], bytes]:
         """A function from a text to its ids as little-endian unsigned 32-bit integers; ``split`` cuts pre-tokens."""
 
+        def encode_pieces(pieces: list[str]) -> list[bytes]:
+            return [np.array(self.encode_piece(p.encode()), "<u4").tobytes() for p in pieces]
+
         def encode_words(words: list[str]) -> list[bytes]:
-            return [np.array([i for p in split(w.encode()) for i in self.encode_piece(p.encode())], "<u4").tobytes() for w in words]
+            return [b"".join(by_piece([AS_IS + p for p in split(w.encode())])) for w in words]
 
-        memory = WordMemory(encode_words, WORD_BYTES)
+        # words with and without a mark behind them share their pre-token
+        by_piece, memory = WordMemory(encode_pieces, WORD_BYTES), WordMemory(encode_words, WORD_BYTES)
         return lambda text: b"".join(memory(keys_of(text, split)))
 
     def decode(self, ids: bytes) -> bytes:

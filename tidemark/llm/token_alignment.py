@@ -24,25 +24,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import as_texts, bound_batches, let_go, written
-from tidemark.llm.pieces import WordMemory, units
+from tidemark.llm.pieces import byte_of, is_early, rank_encoder
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # UTF-8 bytes of the texts aligned together, as far as a single text isn't longer.
 TOGETHER = 1 << 20
-# Bytes of a worker's memory of encoded words.
-WORD_BYTES = 48 << 20
 # Id pairs whose counts are sent to all executors, the most frequent ones: 16 bytes each. Rarer ones are joined.
 TOP_PAIRS = 1 << 20
 
 
-def _byte_of() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters for
-    themselves, characters from U+0100 on for the other bytes in their order."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in plain]
-    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
-
-
 class Tokenizers:
     """The two tokenizers and the bytes of their entries."""
 
@@ -53,38 +43,31 @@ class Tokenizers:
 
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True
-        self._memory = WordMemory(self._ids, WORD_BYTES)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        byte_of, vocabulary = _byte_of(), self._a.get_vocab()
+        known, vocabulary = byte_of(), self._a.get_vocab()
+        self._early = rank_encoder(a_path, public_tokenizers.PATTERN)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
-            known = all(c in byte_of for c in entry)
-            self.a_bytes[i] = bytes(map(byte_of.__getitem__, entry)) if known else entry.encode()
-        pieces = ((i, self._b.id_to_piece(i)) for i in range(self._b.get_piece_size()))
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+            self.a_bytes[i] = bytes(map(known.__getitem__, entry)) if all(c in known for c in entry) else entry.encode()
+        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
         # how an id is spelled before the next id of its side, before the other side, before the next group
         self._spelled = [f"{i}{end}" for end in (",", "|") for i in range(len(self.a_bytes))]
         self._spelled += [f"{i}{end}" for end in (",", ";", "") for i in range(len(self.b_bytes))]
 
-    def _encode_a(self, texts: list[str]) -> list[list[int]]:
-        """Ids of space + text, word by word where white space is plain, so that a word is encoded once."""
-        words = [units(text) for text in texts]
-        found: list = [None if w is None else list(chain.from_iterable(self._memory(w))) for w in words]
-        others = [i for i, w in enumerate(words) if w is None]
-        for i, ids in zip(others, self._ids([" " + texts[i] for i in others]), strict=True):
-            found[i] = ids
-        return found
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode_a(self, whole: str, data: bytes) -> list[int]:
+        if self._early is not None and is_early(data):
+            return self._early(whole)
+        return self._a.encode_batch_fast([whole], add_special_tokens=False)[0].ids
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of space + text by each side; none where the two sides don't spell these bytes."""
-        a, b = self._encode_a(texts), self._b.encode(texts, num_threads=1)
+        a, b = [], self._b.encode(texts, num_threads=1)
         for i, text in enumerate(texts):
-            want = b" " + text.encode()
-            if not text or b"".join(map(self.a_bytes.__getitem__, a[i])) != want or b"".join(map(self.b_bytes.__getitem__, b[i])) != want:
+            data = b" " + text.encode()
+            a.append(self._encode_a(" " + text, data))
+            if not text or b"".join(map(self.a_bytes.__getitem__, a[i])) != data or b"".join(map(self.b_bytes.__getitem__, b[i])) != data:
                 a[i], b[i] = [], []
         return a, b
 

@@ -11,13 +11,14 @@ import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes, as_texts, bound_batches, per_text
-from tidemark.llm.pieces import AS_IS, WordMemory, keys_of, spelled, splitter
+from tidemark.llm.pieces import AS_IS, WordMemory, is_early, keys_of, rank_encoder, spelled, splitter
 
 VOCABULARY = "byte_bpe_50k.json"
 # Entries of the broadcast table, and of a task's summary while it runs and at its end.
@@ -53,6 +54,15 @@ def _special_splitter(tokenizer) -> Callable[[bytes], tuple[list[bytes], int]]:
     return split
 
 
+def entry_sizes(tokenizer) -> np.ndarray:
+    """Bytes that each id of a byte-level tokenizer stands for."""
+    vocabulary = tokenizer.get_vocab()
+    sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for entry, i in vocabulary.items():
+        sizes[i] = len(entry)
+    return sizes
+
+
 def frequent_pieces(docs: DataFrame, text: str = "text", size: int = TABLE_SIZE) -> DataFrame:
     """(piece, n): the frequent pre-tokens of all texts, from mergeable bounded summaries of each task.
 
@@ -114,7 +124,16 @@ def count_tokens(
         specials = _special_splitter(tokenizer)
         table = dict(zip(shared.value["piece"].to_pylist(), shared.value["n"].to_pylist(), strict=True))
 
+        early = rank_encoder(path, PATTERN)
+        sizes = np.zeros(0, np.int64) if early is None else entry_sizes(tokenizer)
+
         def lengths(words: list[str]) -> list[int]:
+            """Numbers of tokens of words; those of early characters are encoded in one go, and cut by their bytes."""
+            data = [word.encode() for word in words]
+            if early is not None and is_early(b"".join(data)) and all(word[0] in " \n" for word in words):
+                ends = np.cumsum([len(x) for x in data])
+                found = np.cumsum(sizes[early("".join(words))])
+                return np.diff(np.searchsorted(found, ends, "right"), prepend=0).tolist()
             cut = [[word] if word in table else split(word.encode()) for word in words]
             new = list({p for found in cut for p in found if p not in table})
             known = dict(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
