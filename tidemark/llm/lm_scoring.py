@@ -1,12 +1,14 @@
 """Language-model scores by logistic context mixing.
 
 A text is a series of bits: the Huffman code of each word among the corpus's frequent ones, for any other word an
-escape and the codes of its bytes, and an end. Predictors look up how often a bit fell either way after the same
+escape and the codes of its bytes, and an end. Words that occur once in the training documents have no code, so escapes
+are learned as often as such words turn up. Predictors look up how often a bit fell either way after the same
 context, in tables counted over the training documents: no context, the last word and the last two words; within a
 spelled word the last byte, two and three bytes. Longer contexts are hashed. The predictors' log-odds are added with
 weights chosen by a gate, that is by the kind of bit and how often its contexts were seen, and squashed to the
-probability of the bit. Weights are learned on a part of the training documents before it is counted too, and each
-document refines them as it is read. The sum of the logarithms is the score.
+probability of the bit. Weights are learned on a part of the training documents before it is counted too, in groups and an
+order that depend on the texts alone, and each document refines them as it is read. The sum of the logarithms is the
+score.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.llm.common import as_bytes, bound_batches, mix64, written
 
 HELD_OUT, WEIGHING = 0, 1
-# Words that have a rank, and the most bytes of such a word: bounds of what is broadcast.
-RANKS, RANK_BYTES = 1 << 18, 128
+# Words that have a rank, and the most bytes of such a word: bounds of what is broadcast. A word needs to occur so often.
+RANKS, RANK_BYTES, RANK_LEAST = 1 << 18, 128, 2
+# Groups of documents that learn weights of their own.
+GROUPS = 64
 # Predictors of each bit, and their regions of the table as (first slot, bits of the slot within): of words without
 # context, after one and after two words, of bytes after one, two and three bytes.
 CONTEXTS = 3
@@ -330,25 +334,46 @@ class Mixer:
 
 
 def learn_weights(docs: DataFrame, shared: Broadcast, table: Broadcast, key: str, text: str) -> np.ndarray:
-    """Gate weights: each task learns its own on the documents set aside for it; they are averaged by texts read."""
+    """Gate weights: groups of the documents set aside for it learn their own; they are averaged by texts read.
+
+    Groups and the order within them follow from the texts, and runs of texts read together from the number of tokens, so
+    the weights are the same however the documents are partitioned.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, n = Mixer(*_ranks(shared), table.value, FIRST), 0
+        now, mixer, n, held, tokens = None, None, 0, [], 0
+
+        def learned() -> pa.RecordBatch:
+            if held:
+                mixer.read(held, learn=True)
+            cells = mixer.weights.ravel().astype(np.float64)
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([n]), pa.array([cells.tolist()])], ["group", "n", "cells"])
+
         for batch in batches:
-            for _, texts in _batches_of(as_bytes(batch.column(0))):
-                mixer.read(texts, learn=True)
-                n += len(texts)
-        cells = mixer.weights.ravel().astype(np.float64)
-        if not n:
-            return
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(cells * n), pa.array(np.full(len(cells), n))], ["cell", "w", "n"])
-
-    part = docs.where(crc_mod(key) == WEIGHING).select(F.col(text).cast("string"))
-    mean = part.mapInArrow(run, "cell int, w double, n long").groupBy("cell").agg((F.sum("w") / F.sum("n")).alias("w"))
-    out = FIRST.ravel().copy()
-    for r in mean.collect():
-        if r.w is not None and np.isfinite(r.w):
-            out[r.cell] = r.w
-    return out.reshape(GATES, CONTEXTS)
+            for group, data in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+                if group != now:
+                    if n:
+                        yield learned()
+                    now, mixer, n, held, tokens = group, Mixer(*_ranks(shared), table.value, FIRST), 0, [], 0
+                held.append(words_of(data))
+                tokens += len(held[-1]) + 1
+                n += 1
+                if tokens >= TOGETHER:
+                    mixer.read(held, learn=True)
+                    held, tokens = [], 0
+        if n:
+            yield learned()
+
+    part = docs.where(crc_mod(key) == WEIGHING).select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    grouped = part.select(F.pmod(F.xxhash64("text"), F.lit(GROUPS)).alias("group"), "text").repartition(GROUPS, "group")
+    # an order without regard to the alphabet, in which equal texts lie together
+    ordered = grouped.sortWithinPartitions("group", F.xxhash64(F.lit(1), "text"), "text")
+    # a row of bounded size for each group
+    rows = ordered.mapInArrow(run, "group long, n long, cells array<double>").collect()
+    found = [(r.n, np.array(r.cells)) for r in sorted(rows, key=lambda r: r.group)]
+    total = sum(n for n, _ in found)
+    mean = sum(n * np.where(np.isfinite(c), c, FIRST.ravel()) for n, c in found) / total if total else FIRST.ravel()
+    return mean.reshape(GATES, CONTEXTS)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -365,7 +390,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     n_end = docs.where(crc_mod(key) != HELD_OUT).count()
     train_tokens, different = size.n + n_end, size.v + (n_end > 0)
     divisor = train_tokens + BASE * (different + 1)
-    top = words.where(F.octet_length("word") <= RANK_BYTES).orderBy(F.desc("c"), "word").limit(RANKS).toArrow()
+    often = (F.octet_length("word") <= RANK_BYTES) & (F.col("c") >= RANK_LEAST)
+    top = words.where(often).orderBy(F.desc("c"), "word").limit(RANKS).toArrow()
     ranked = top["c"].to_pylist()
     shared = spark.sparkContext.broadcast(Codes(top["word"].to_pylist(), ranked, size.n - sum(ranked), n_end))
     weighing = docs.where(crc_mod(key) == WEIGHING)
