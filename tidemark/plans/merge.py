@@ -8,7 +8,7 @@ its events; when deltas get many or large against the base, they are folded into
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from tidemark.session import check
 from tidemark.sources import fs, silver
 from tidemark.sources.ledger import Ledger, merged_date
 from tidemark.specs import EntitySpec
+from tidemark.streaming.completeness import LATE, OPEN, date_states, reclose
 
 JOB_NAME = "merge_current"
 # Stage bytes for each bucket of a new table, and the fewest buckets.
@@ -40,6 +41,9 @@ class MergeResult:
     rows: int | None = 0
     # event_date, stage_run, rows_in, rows_out, bad_rows
     dates: list[dict] = field(default_factory=list)
+    # with ``closed_only``: dates left for later since they are open, and dates with rows that came after they were closed
+    left: list[str] = field(default_factory=list)
+    late: list[str] = field(default_factory=list)
 
 
 def current_table(spark: SparkSession, silver_base: str, ledger: Ledger, spec: EntitySpec) -> DataFrame:
@@ -108,9 +112,14 @@ def run_merge(
     run_id: str | None = None,
     stats: bool = True,
     foreign: bool = False,
+    closed_only: bool = False,
 ) -> MergeResult:
     """Apply pending stage events and make the result the live version. ``foreign``: stage files of another tool.
 
+    ``closed_only`` leaves dates pending that ``streaming.completeness`` has not closed, since a ``replay`` merge would not look
+    at them again. The result names these, and late dates: ``replay`` leaves what came late to ``only_date``,
+    ``ordered`` applies it and closes the date again.
+
     The new version is written first; one ledger row then makes it live together with the dates it covers. A
     crash before that row leaves the old version live and the dates pending.
     """
@@ -123,9 +132,15 @@ def run_merge(
                 (r["event_date"], r["run_id"], r["attempt"])
                 for r in _pending(spark, silver_base, ledger, spec, mode, only_date, force).collect()
             ]
+            left, late = [], []
+            if closed_only:
+                states = {r["event_date"]: r["state"] for r in date_states(spark, silver_base, ledger, spec).collect()}
+                late = sorted(d for d, state in states.items() if state == LATE)
+                left = sorted({d for d, _, _ in pending if states.get(d, OPEN) == OPEN})
+                pending = [p for p in pending if p[0] not in left]
             if not pending:
                 ledger.end_silver_run(run_id, "SUCCESS", {"message": NOTHING})
-                return MergeResult(run_id, NOTHING)
+                return MergeResult(run_id, NOTHING, left=left, late=late)
             dates = sorted({d for d, _, _ in pending})
             if mode == "replay" or only_date is not None or force:
                 stage = silver.read_stage(spark, silver_base, spec, dates=dates, foreign=foreign)
@@ -146,8 +161,10 @@ def run_merge(
                 stats=stats,
             )
             if result is not None:
+                if mode == "ordered" or only_date is not None:
+                    reclose(ledger, spec, dates)
                 ledger.end_silver_run(run_id, "SUCCESS", {"version": result.version, "processed_dates": dates})
-                return result
+                return replace(result, left=left, late=late)
         raise RuntimeError(f"merge of {spec.table} was overtaken {ATTEMPTS} times")
     except Exception as error:
         ledger.end_silver_run(run_id, "FAILED", {"error": str(error)})

@@ -44,6 +44,10 @@ TABLES: dict[str, tuple[str, list[str]]] = {
         "bad_rows bigint, structured_at string",
         ["source", "table", "ingestion_date", "run_id"],
     ),
+    "event_dates": (
+        "table_name string, event_date string, state string, rows bigint, changed_at string",
+        ["table_name", "event_date"],
+    ),
     "silver_runs": (
         "run_id string, job_name string, table_name string, start_time string, end_time string, status string, "
         "details map<string, string>",

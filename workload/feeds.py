@@ -87,13 +87,13 @@ def dirty_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select("event_id", raw.alias("raw_json"), F.explode(copies).alias("copy")).drop("copy")
 
 
-def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kafka_records(spark: SparkSession, sf_dir: str, *, permuted: bool = False) -> DataFrame:
     """The event feed as Kafka-shaped records: four partitions by user, the event number as offset."""
     op = F.col("op")
     raw = envelope(
         table=EVENTS.table, op=op, ts_ms=F.col("ts_ms"), lsn=F.col("lsn"), bare=True, **_sides(op, F.col("image"))
     )
-    return events_changes(spark, sf_dir).select(
+    return events_changes(spark, sf_dir, permuted=permuted).select(
         F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
         F.encode(raw, "UTF-8").alias("value"),
         F.lit(EVENTS_TOPIC).alias("topic"),

@@ -78,6 +78,16 @@ users AS (SELECT c_custkey AS user_id, c_name || '@example.com' AS email, n_name
           FROM customer JOIN nation ON c_nationkey = n_nationkey)
 """
 
+# Three runs over dense offsets that overlap and miss some.
+_LANDED = """
+dense AS (SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o FROM events),
+tops AS (SELECT max(o) AS t FROM dense),
+landed AS (
+  SELECT 'run-1' AS run_id, p, o FROM dense, tops WHERE o < t * 60 // 100
+  UNION ALL SELECT 'run-2', p, o FROM dense, tops WHERE o >= t * 50 // 100 AND NOT (o >= t * 70 // 100 AND o < t * 72 // 100)
+  UNION ALL SELECT 'run-3', p, o FROM dense, tops WHERE o >= t * 55 // 100 AND o < t * 58 // 100)
+"""
+
 _CURRENT_STATE = _current(_E1, "feed", _DATE_FIRST)
 
 ORACLE: dict[str, str] = {
@@ -295,4 +305,44 @@ FROM events""",
 WITH {_E3}
 SELECT event_date, user_id, event_id, op, lsn, '2024-01-31T00:00:00Z' AS ingest_ts, op = 'd' AS is_delete, 'run-1' AS run_id
 FROM good""",
+    "log_landing": """
+SELECT 'source_db' AS source, 'events' AS "table", CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+       event_id AS lsn
+FROM events""",
+    "rescued_run": """
+SELECT 'source_db' AS source, 'events' AS "table",
+       CASE WHEN event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events) THEN 'first' ELSE 'second' END AS run_id,
+       CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", event_id AS lsn
+FROM events""",
+    "restructured_run": _CURRENT_STATE,
+    "landed_intervals": f"""
+WITH {_LANDED},
+islands AS (SELECT *, o - row_number() OVER (PARTITION BY run_id, p ORDER BY o) AS island FROM landed),
+depths AS (SELECT p, o, count(*) AS times FROM landed GROUP BY p, o),
+repeated AS (SELECT *, o - row_number() OVER (PARTITION BY p, times ORDER BY o) AS island FROM depths WHERE times > 1),
+steps AS (SELECT p, o, lead(o) OVER (PARTITION BY p ORDER BY o) AS next FROM depths)
+SELECT 'landed' AS kind, run_id, p AS partition, min(o) AS first, max(o) AS last, CAST(1 AS BIGINT) AS times
+FROM islands GROUP BY run_id, p, island
+UNION ALL SELECT 'duplicate', NULL, p, min(o), max(o), times FROM repeated GROUP BY p, times, island
+UNION ALL SELECT 'hole', NULL, p, o + 1, next - 1, 0 FROM steps WHERE next > o + 1""",
+    "landed_once": f"""
+WITH {_LANDED}
+SELECT min(run_id) AS run_id, p AS partition, o AS "offset", 4 * o + p AS lsn FROM landed GROUP BY p, o""",
+    # a date is closed once an event a day behind its end is there; merges apply a closed date once
+    "closed_dates": f"""
+WITH {_E1},
+waves AS (
+  SELECT event_date, ts_ms, event_date = '2024-01-05' AND event_id % 2 = 0 AS is_late,
+         CASE WHEN event_date <= '2024-01-15' AND NOT (event_date = '2024-01-05' AND event_id % 2 = 0) THEN 1
+              WHEN event_date > '2024-01-15' AND event_date <= '2024-01-20' THEN 2 ELSE 3 END AS wave
+  FROM feed),
+marks AS (SELECT wave, max(max(ts_ms)) OVER (ORDER BY wave) - 86400000 AS mark FROM waves GROUP BY wave),
+counts AS (SELECT event_date, count(*) AS n, count(*) FILTER (is_late) AS n_late FROM waves GROUP BY event_date),
+ends AS (SELECT *, epoch_ms(CAST(event_date AS TIMESTAMP)) + 86400000 AS past FROM counts)
+SELECT event_date,
+       CASE WHEN past > (SELECT max(mark) FROM marks) THEN 'open' WHEN n_late > 0 THEN 'late' ELSE 'closed' END AS state,
+       CASE WHEN past > (SELECT max(mark) FROM marks) THEN NULL WHEN n_late > 0 THEN n_late ELSE n END AS "rows",
+       CASE WHEN past > (SELECT max(mark) FROM marks) THEN NULL ELSE n - n_late END AS merged_rows
+FROM ends""",
+    "stream_keyed": _current(_E2, "feed", _LSN_FIRST),
 }

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from tidemark import EVENTS, ORDERS, USERS, FieldSpec, configure
 from tidemark.functions import coerce, times, topics
-from tidemark.operators import dedupe, envelope, merge, quality, selection, structure, union
+from tidemark.operators import dedupe, envelope, merge, offsets, quality, selection, structure, union
 from tidemark.plans.compact import compact, compact_rows
 from tidemark.plans.merge import current_table, run_merge
 from tidemark.plans.pipeline import run_pipeline
-from tidemark.plans.structure import structure_file
+from tidemark.plans.structure import structure_events, structure_file
 from tidemark.session import shared_dir
-from tidemark.sources import bronze, fs, silver
+from tidemark.sources import bronze, change_log, fs, silver
 from tidemark.sources.ledger import Ledger
+from tidemark.streaming.completeness import date_states, track_dates
 from tidemark.streaming.current import follow
-from tidemark.streaming.ingest import batch_rows, ingest
+from tidemark.streaming.ingest import batch_rows, ingest, land_batch
+from tidemark.streaming.keyed import keep_current, kept_current
 from workload import feeds
 
 STATE = ["user_id", "event_id", "event_type", "op", "ts_ms", "lsn", "event_date"]
@@ -770,3 +772,163 @@ def stream_current(spark, sf_dir):
         stream, f"{base}/silver", ledger, EVENTS, checkpoint=f"{base}/checkpoint", name=f"follow-{uuid.uuid4().hex}", buckets=8
     ).awaitTermination()
     return current_table(spark, f"{base}/silver", ledger, EVENTS).select(*STATE)
+
+
+# Runs that break, overlap or come late ----------------------------------------------------------------------------
+
+
+def _lsn(column: str = "raw_json"):
+    return F.get_json_object(column, "$.payload.source.lsn").cast("long")
+
+
+@query
+def log_landing(spark, sf_dir):
+    """Records from a folder log in two halves, each landed with a checkpoint of its own: the second starts where the ledger
+    says the first ended. A restart after each finds nothing more."""
+    base = work_folder(spark, "log")
+    ledger = Ledger(spark, f"{base}/ledger")
+    records = feeds.kafka_records(spark, sf_dir)
+    half = records.agg(F.expr("(min(offset) + max(offset)) div 2")).first()[0]
+    landed = []
+    for i, part in enumerate((records.where(F.col("offset") <= half), records.where(F.col("offset") > half))):
+        change_log.append(part, f"{base}/log")
+        position = {"startingOffsets": selection.starting_offsets(ledger.view("cdc_checkpoints")).first()[0]} if i else {}
+        for _ in range(2):
+            stream = change_log.stream(spark, f"{base}/log", **position)
+            run = ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/checkpoint-{i}", available_now=True)
+            if run.finish() != "SUCCESS":
+                raise RuntimeError(ledger.get_run(run.run_id).details)
+            rows = batch_rows(spark, f"{base}/bronze", run.ingestion_date, run.run_id)
+            landed += [] if rows is None else [rows]
+    rows = union.promote_union(landed)
+    return rows.select("source", "table", "partition", "offset", _lsn().alias("lsn"))
+
+
+@query
+def rescued_run(spark, sf_dir):
+    """A run breaks in its second batch, is rescued, and its stream goes on in another run: compacted, every record is
+    there once."""
+    base = work_folder(spark, "rescued")
+    ledger = Ledger(spark, f"{base}/ledger")
+    records = feeds.kafka_records(spark, sf_dir)
+    half = records.agg(F.expr("(min(offset) + max(offset)) div 2")).first()[0]
+
+    def land(run_id: str, broken: bool):
+        stream = bronze.file_stream(spark, f"{base}/records")
+        if broken:
+            # a value the writer can't take
+            bad = F.when(F.col("offset") > half, F.raise_error(F.lit("broken record")).cast("binary")).otherwise(F.col("value"))
+            stream = stream.withColumn("value", bad)
+        return ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/checkpoint", available_now=True, run_id=run_id)
+
+    records.where(F.col("offset") <= half).write.parquet(f"{base}/records")
+    first = land("first", False)
+    first.query.awaitTermination()
+    # the writer is lost before the run is closed; the next one takes it up and fails
+    records.where(F.col("offset") > half).write.mode("append").parquet(f"{base}/records")
+    if land("first", True).finish() != "FAILED":
+        raise RuntimeError("the run did not break")
+    compact(spark, f"{base}/bronze", ledger, statuses=("SUCCESS", "FAILED"))
+    try:
+        land("first", False)
+    except ValueError:
+        if land("second", False).finish() != "SUCCESS":
+            raise RuntimeError(ledger.get_run("second").details) from None
+    compact(spark, f"{base}/bronze", ledger)
+    runs = bronze.discover_runs(spark, f"{base}/bronze", bronze.COMPACTED).collect()
+    folders = [bronze.run_path(f"{base}/bronze", *r, root=bronze.COMPACTED) for r in runs]
+    rows = bronze.read_runs(spark, f"{base}/bronze", folders, bronze.COMPACTED)
+    return rows.select("source", "table", "run_id", "partition", "offset", _lsn().alias("lsn"))
+
+
+@query
+def restructured_run(spark, sf_dir):
+    """A run is structured and merged, then structured again with more events under the same name, and merged again."""
+    base = work_folder(spark, "restructured")
+    ledger = Ledger(spark, f"{base}/ledger")
+    feed = feeds.events_feed(spark, sf_dir).withColumn("run_id", F.lit("run-1"))
+    for part in (feed.where("event_id % 2 = 0"), feed):
+        structure_events(part.drop("event_id"), EVENTS, f"{base}/silver")
+        run_merge(spark, f"{base}/silver", ledger, EVENTS, mode="ordered", buckets=8)
+    if run_merge(spark, f"{base}/silver", ledger, EVENTS, mode="ordered").status != "nothing_to_process":
+        raise RuntimeError("dates were left pending")
+    return current_table(spark, f"{base}/silver", ledger, EVENTS).select(*STATE)
+
+
+def _overlapping_runs(spark, sf_dir, base):
+    """Bronze rows of three runs: the first lands 60 % of each stream partition, the second goes on from 50 % and misses
+    70 to 72 %, the third lands 55 to 58 % again."""
+    records = feeds.kafka_records(spark, sf_dir)
+    dense = records.withColumns(
+        {"partition": F.pmod("offset", F.lit(4)).cast("int"), "offset": F.expr("offset div 4"), "lsn": F.col("offset")}
+    )
+    top = dense.agg(F.max("offset")).first()[0]
+    at = {k: top * k // 100 for k in (50, 55, 58, 60, 70, 72)}
+    o = F.col("offset")
+    runs = {
+        "run-1": o < at[60],
+        "run-2": (o >= at[50]) & ~((o >= at[70]) & (o < at[72])),
+        "run-3": (o >= at[55]) & (o < at[58]),
+    }
+    for run_id, mine in runs.items():
+        land_batch(
+            dense.where(mine), f"{base}/bronze", run_id=run_id, ingestion_date="2024-01-31", batch_id=0, max_records_per_file=100_000
+        )
+    folders = [p for r in runs for p in fs.glob(spark, bronze.run_path(f"{base}/bronze", "*", "*", "2024-01-31", r))]
+    return bronze.read_runs(spark, f"{base}/bronze", folders)
+
+
+@query
+def landed_intervals(spark, sf_dir):
+    """What overlapping runs landed: the interval of each, stretches landed more than once, and holes."""
+    rows = _overlapping_runs(spark, sf_dir, work_folder(spark, "intervals"))
+    found = offsets.intervals(rows, ["run_id"])
+    none = F.lit(None).cast("string")
+    parts = [
+        found.select(F.lit("landed").alias("kind"), "run_id", "partition", "first", "last", F.lit(1).cast("long").alias("times")),
+        offsets.duplicates(found).select(F.lit("duplicate").alias("kind"), none.alias("run_id"), "partition", "first", "last", "times"),
+        offsets.holes(found).select(
+            F.lit("hole").alias("kind"), none.alias("run_id"), "partition", "first", "last", F.lit(0).cast("long").alias("times")
+        ),
+    ]
+    return union.promote_union(parts)
+
+
+@query
+def landed_once(spark, sf_dir):
+    """The rows of overlapping runs with each offset once, from the first run that has it."""
+    rows = _overlapping_runs(spark, sf_dir, work_folder(spark, "once"))
+    once = offsets.each_once(rows, ["run_id"])
+    return once.select("run_id", "partition", "offset", _lsn().alias("lsn"))
+
+
+@query
+def closed_dates(spark, sf_dir):
+    """Dates that a watermark of a day has closed, those still open, and one to which rows came late, after three calls;
+    and how many events of each the merges have applied."""
+    base = work_folder(spark, "dates")
+    ledger, silver_base = Ledger(spark, f"{base}/ledger"), f"{base}/silver"
+    stage = events_stage(spark, sf_dir)
+    late = (F.col("event_date") == "2024-01-05") & (F.col("event_id") % 2 == 0)
+    waves = {
+        "run-1": (F.col("event_date") <= "2024-01-15") & ~late,
+        "run-2": (F.col("event_date") > "2024-01-15") & (F.col("event_date") <= "2024-01-20"),
+        "run-3": (F.col("event_date") > "2024-01-20") | late,
+    }
+    for run_id, mine in waves.items():
+        silver.write_stage(stage.where(mine).withColumn("run_id", F.lit(run_id)), silver_base)
+        track_dates(spark, silver_base, ledger, EVENTS, checkpoint=f"{base}/checkpoint")
+        run_merge(spark, silver_base, ledger, EVENTS, buckets=8, closed_only=True)
+    states = date_states(spark, silver_base, ledger, EVENTS)
+    merged = ledger.processed_partitions("merge_current", EVENTS.table).select("event_date", F.col("rows_in").alias("merged_rows"))
+    return states.join(merged, "event_date", "left").select("event_date", "state", "rows", "merged_rows")
+
+
+@query
+def stream_keyed(spark, sf_dir):
+    """The last event per user kept in the state of a stream, in the order of log positions that contradict the dates."""
+    base = work_folder(spark, "keyed")
+    feeds.kafka_records(spark, sf_dir, permuted=True).repartition(4).write.parquet(f"{base}/records")
+    stream = bronze.file_stream(spark, f"{base}/records", maxFilesPerTrigger="2")
+    keep_current(stream, f"{base}/changes", EVENTS, checkpoint=f"{base}/checkpoint").awaitTermination()
+    return kept_current(spark, f"{base}/checkpoint").select(*STATE)
