@@ -12,7 +12,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import sys
+from array import array
 from collections.abc import Callable
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -28,8 +31,8 @@ from tidemark.llm.pieces import AS_IS, WordMemory, keys_of, splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-# Entries of a worker's memory of neighbours, and bytes of its memory of encoded words.
-PAIR_MEMORY, WORD_BYTES = 200_000, 48 << 20
+# Entries of a worker's memory of neighbours, and bytes of its memories of encoded words and pre-tokens.
+PAIR_MEMORY, WORD_BYTES, PIECE_BYTES = 200_000, 32 << 20, 64 << 20
 
 
 class ByteBpe:
@@ -43,7 +46,6 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
-        self.width = max(map(len, ranks))
         self.halves: dict[int, tuple[int, int]] = {}  # the two tokens a merge joins
         self.merge: dict[tuple[int, int], int] = {}
         self.memory: dict[tuple[int, int], bool] = {}
@@ -92,12 +94,12 @@ class ByteBpe:
         if not piece:
             return []
         text, size = piece.decode("latin-1"), len(piece)
-        longest, width = self.automaton.iter_long, self.width
+        longest = self.automaton.iter_long
         sizes, shorter, known, learn = self.sizes, self.shorter, self.memory, self.learn
         out: list[int] = []
         given_up = bytearray(size + 1)
         at = 0
-        token = next(longest(text[:width]))[1]
+        token = next(longest(text))[1]
         while at < size:
             last = out[-1] if out else None
             end = at + sizes[token]
@@ -111,7 +113,7 @@ class ByteBpe:
                 out.append(token)
                 at = end
                 if at < size:
-                    token = next(longest(text[at : at + width]))[1]
+                    token = next(longest(text, at))[1]
             elif shorter[token] is not None:
                 token = shorter[token]
             else:
@@ -124,13 +126,19 @@ class ByteBpe:
         """A function from a text to its ids as little-endian unsigned 32-bit integers; ``split`` cuts pre-tokens."""
 
         def encode_pieces(pieces: list[str]) -> list[bytes]:
-            return [np.array(self.encode_piece(p.encode()), "<u4").tobytes() for p in pieces]
+            ids = [array("I", self.encode_piece(p.encode())) for p in pieces]
+            if sys.byteorder == "big":
+                for x in ids:
+                    x.byteswap()
+            return [x.tobytes() for x in ids]
 
         def encode_words(words: list[str]) -> list[bytes]:
-            return [b"".join(by_piece([AS_IS + p for p in split(w.encode())])) for w in words]
+            cut = [split(w.encode()) for w in words]
+            found = iter(by_piece([AS_IS + p for pieces in cut for p in pieces]))
+            return [next(found) if len(pieces) == 1 else b"".join(islice(found, len(pieces))) for pieces in cut]
 
         # words with and without a mark behind them share their pre-token
-        by_piece, memory = WordMemory(encode_pieces, WORD_BYTES), WordMemory(encode_words, WORD_BYTES)
+        by_piece, memory = WordMemory(encode_pieces, PIECE_BYTES), WordMemory(encode_words, WORD_BYTES)
         return lambda text: b"".join(memory(keys_of(text, split)))
 
     def decode(self, ids: bytes) -> bytes:

@@ -74,7 +74,7 @@ def splitter(pattern: str, library: str) -> Callable[[bytes], list[str]]:
 
     def split(data: bytes) -> list[str]:
         text = data.decode()
-        if len(text) == len(data) or np.frombuffer(data, np.uint8).max() < LATE_BYTE:
+        if len(text) == len(data) or is_early(data):
             return early(text)
         if not late:
             late.append(pattern_for(pattern, library, sys.maxunicode + 1).findall)
@@ -93,7 +93,7 @@ def byte_of() -> dict[str, int]:
 
 def is_early(data: bytes) -> bool:
     """Whether UTF-8 bytes hold only characters before EARLY."""
-    return data.isascii() or np.frombuffer(data, np.uint8).max() < LATE_BYTE
+    return data.isascii() or (max(data) if len(data) < 100 else np.frombuffer(data, np.uint8).max()) < LATE_BYTE
 
 
 @functools.lru_cache(maxsize=2)
