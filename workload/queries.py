@@ -784,7 +784,7 @@ def _lsn(column: str = "raw_json"):
 @query
 def log_landing(spark, sf_dir):
     """Records from a folder log in two halves, each landed with a checkpoint of its own: the second starts where the ledger
-    says the first ended. A restart after each finds nothing more."""
+    says the first ended. A restart after that finds nothing more."""
     base = work_folder(spark, "log")
     ledger = Ledger(spark, f"{base}/ledger")
     records = feeds.kafka_records(spark, sf_dir)
@@ -793,7 +793,7 @@ def log_landing(spark, sf_dir):
     for i, part in enumerate((records.where(F.col("offset") <= half), records.where(F.col("offset") > half))):
         change_log.append(part, f"{base}/log")
         position = {"startingOffsets": selection.starting_offsets(ledger.view("cdc_checkpoints")).first()[0]} if i else {}
-        for _ in range(2):
+        for _ in range(1 + i):
             stream = change_log.stream(spark, f"{base}/log", **position)
             run = ingest(stream, f"{base}/bronze", ledger, checkpoint=f"{base}/checkpoint-{i}", available_now=True)
             if run.finish() != "SUCCESS":
