@@ -89,3 +89,17 @@ def test_nothing(spark, nothing):
     held = spark.createDataFrame([(k, "a b") for k in range(200) if zlib.crc32(str(k).encode()) % 10 == 0], "doc_id long, text string")
     got = lm_scoring.score(held).collect()
     assert {(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == {(True, 3, 0, 0, 0.0)}
+
+
+def test_scores_do_not_depend_on_partitions_and_new_words_are_expected(spark):
+    """A corpus with fewer words than ranks, where every text has words of its own."""
+    rng = np.random.default_rng(9)
+    words = np.array(["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(300)])
+    texts = [" ".join([*words[rng.zipf(1.4, 50) % 300], *("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(4))]) for _ in range(500)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    one, many = ({r.doc_id: r for r in lm_scoring.score(docs.repartition(n)).collect()} for n in (1, 7))
+    assert all(many[k].score == pytest.approx(r.score, rel=1e-5) for k, r in one.items())
+    held = [r for r in one.values() if r.held_out]
+    assert len(held) > 30
+    # 4 of 54 words are new each time: spelling them costs more than a count of 0 does, but in proportion
+    assert sum(r.score for r in held) > 1.2 * sum(r.base_score for r in held)
