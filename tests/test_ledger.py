@@ -147,3 +147,22 @@ def test_stamps_are_utc(spark, base):
 def test_unknown_column(spark, base):
     with pytest.raises(ValueError):
         Ledger(spark, base).append("pipeline_runs", run="x")
+
+
+def test_appended_rows(spark, base):
+    """Columns that a frame lacks are null, the last of a key's rows counts, an empty frame leaves nothing behind, and
+    no row passes through the driver."""
+    ledger = Ledger(spark, base)
+    details = F.when(F.col("id") % 2 == 1, F.create_map(F.lit("error"), F.lit("é")))
+    rows = spark.range(0, 5000, 1, 4).select(
+        F.concat(F.lit('run "'), F.expr("id div 2")).alias("run_id"), F.lit("a").alias("start_time"), details.alias("details"), "id"
+    )
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ledger, "_put", lambda *a: (_ for _ in ()).throw(AssertionError("rows on the driver")))
+        ledger.append_rows("pipeline_runs", rows)
+        ledger.append_rows("pipeline_runs", rows.where("id < 0"))
+    assert len(fs.names(spark, f"{base}/pipeline_runs")) == 1
+    seen = ledger.view("pipeline_runs").where("status is null and checkpoint is null and details['error'] = 'é' and start_time = 'a'")
+    assert (seen.count(), seen.select("run_id").distinct().count()) == (2500, 2500)
+    ledger.append("pipeline_runs", run_id='run "7', status="SUCCESS", checkpoint="c")
+    assert (ledger.get_run('run "7').status, ledger.get_run('run "8').status) == ("SUCCESS", None)

@@ -1,7 +1,7 @@
 """What ran, how far, and what is live: append-only tables with a latest-row-per-key view.
 
-Every change is one JSON-lines file that appears as a whole; nothing is updated in place, and any number of drivers
-can write. A reader sees the newest row per key. Once a table has collected many small files, one driver, holding
+Every change is one JSON-lines file, or a folder of them, that appears as a whole; nothing is updated in place, and any
+number of drivers can write. A reader sees the newest row per key. Once a table has collected many small files, one driver, holding
 a claim, repeats its view in one file; the old ones are removed by a later tidying, when no reader can still be
 using them.
 
@@ -107,9 +107,17 @@ class Ledger:
         self._write(table, [values])
 
     def append_rows(self, table: str, rows: DataFrame) -> None:
-        """Append a frame that has the table's columns: a row per run or stream partition, all in one file."""
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self._schema(table).fields]
-        self._write(table, [r.asDict() for r in rows.select(*columns).toLocalIterator()])
+        """Append a frame that has the table's key: a row per run or stream partition, all seen at once. A column that it
+        lacks is null, as with ``append``; of a key's rows the last one counts."""
+        have, keys = {c.lower() for c in rows.columns}, TABLES[table][1]
+        columns = [
+            (F.col(f.name) if f.name in have or f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in self._schema(table).fields
+        ]
+        placed = rows.select(*columns).withColumn("_at", F.monotonically_increasing_id())
+        last = latest(placed, keys, [F.col("_at").desc()]).drop("_at")
+        if self._put_rows(table, last.withColumn("seq", F.lit(time.time_ns()))):
+            self._tidy(table)
 
     def _schema(self, table: str) -> T.StructType:
         return T.StructType.fromDDL(TABLES[table][0])
@@ -123,6 +131,20 @@ class Ledger:
         lines = (json.dumps({k: v for k, v in row.items() if v is not None}, ensure_ascii=False) for row in rows)
         fs.write_text(self.spark, self._path(table), f"part-{uuid.uuid4().hex}.json", "\n".join(lines) + "\n")
 
+    def _put_rows(self, table: str, rows: DataFrame) -> bool:
+        """Write a frame that has a seq as a folder of files, by its tasks, and give it its name once it is whole. False
+        if there are no rows."""
+        name = f"part-{uuid.uuid4().hex}"
+        hidden = f"{self._path(table)}/_{name}"
+        try:
+            rows.write.option("ignoreNullFields", "true").json(hidden)
+            if not fs.size(self.spark, hidden):
+                return False
+            fs.rename(self.spark, hidden, f"{self._path(table)}/{name}")
+            return True
+        finally:
+            fs.remove(self.spark, hidden)
+
     def _tidy(self, table: str) -> None:
         """Repeat the view of a table of many files in one, and remove what an earlier tidying repeated.
 
@@ -151,7 +173,7 @@ class Ledger:
             covered = sorted(set(files) - old)
             log = self.spark.read.schema(f"{TABLES[table][0]}, seq bigint").json([f"{folder}/{f}" for f in covered])
             rows = latest(log, TABLES[table][1], [F.col("seq").desc()])
-            self._put(table, [r.asDict() for r in rows.toLocalIterator()])
+            self._put_rows(table, rows)
             fs.write_text(self.spark, folder, f"_retired-{uuid.uuid4().hex}", "\n".join(covered))
         finally:
             fs.remove(self.spark, claim)
