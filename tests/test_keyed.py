@@ -10,7 +10,7 @@ from tidemark.operators import merge
 from tidemark.operators.envelope import wrap_kafka
 from tidemark.operators.structure import judge, stage_rows
 from tidemark.sources import bronze
-from tidemark.streaming.keyed import keep_current, kept_current
+from tidemark.streaming.keyed import keep_current, kept_current, newest_of_parts
 
 
 def run(spark, base, **options):
@@ -76,3 +76,14 @@ def test_no_position_is_newest(spark, base, op, want):
     ).write.mode("append").parquet(f"{base}/records")
     run(spark, base)
     assert [r["user_id"] for r in kept_current(spark, f"{base}/cp").collect()] == want
+
+
+def test_newest_of_parts(spark):
+    """One row per key and partition reaches the state, the newest by the order of ``ordered`` merges."""
+    rng = random.Random(7)
+    maybe = lambda top: rng.choice([None, *range(top)])
+    rows = [(rng.choice([f"k{i}" for i in range(30)]), maybe(4), maybe(3), rng.choice([None, "a", "b"]), maybe(5), i) for i in range(2000)]
+    stage = spark.createDataFrame(rows, "pk string, lsn long, ts_ms long, ingest_ts string, src_offset long, src_row long")
+    got = newest_of_parts(stage, "pk").collect()
+    assert len(got) == 30
+    assert sorted(map(tuple, got)) == sorted(map(tuple, merge.latest_events(stage, "pk", "ordered").select(*stage.columns).collect()))

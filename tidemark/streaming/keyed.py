@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -23,6 +24,8 @@ from tidemark.specs import EntitySpec, stage_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = "last"
+# Rows that a task holds at once to find the newest among them.
+HELD_ROWS = 200_000
 
 
 class LastEvent(StatefulProcessor):
@@ -47,13 +50,8 @@ class LastEvent(StatefulProcessor):
         # a missing log position or time is the newest, a missing mark of arrival the oldest
         return (lsn is None, lsn or 0, ts_ms is None, ts_ms or 0, *((m is not None, m) if m is not None else (False, 0) for m in marks))
 
-    def _rows(self, frame: pd.DataFrame) -> Iterator[tuple]:
-        for values in frame[self._names].astype(object).itertuples(index=False, name=None):
-            row = [None if v is None or v is pd.NA or v != v else v for v in values]
-            yield tuple(int(v) if isinstance(f.dataType, T.LongType) and v is not None else v for v, f in zip(row, self._schema, strict=True))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = max((r for frame in rows for r in self._rows(frame)), key=self._order, default=None)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest = max((tuple(row[name] for name in self._names) for row in rows), key=self._order, default=None)
         before = tuple(self._last.get()) if self._last.exists() else None
         if newest is None or (before is not None and self._order(before) > self._order(newest)):
             return
@@ -63,9 +61,9 @@ class LastEvent(StatefulProcessor):
                 self._handle.deleteTimer(timer)
             if newest[self._at["is_delete"]]:
                 self._handle.registerTimer(newest[self._at["ts_ms"]])
-        yield pd.DataFrame([newest], columns=self._names, dtype=object)
+        yield Row(**dict(zip(self._names, newest, strict=True)))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self._last.exists() and self._last.get()[self._at["is_delete"]]:
             self._last.clear()
         yield from ()
@@ -73,6 +71,42 @@ class LastEvent(StatefulProcessor):
     def close(self) -> None: ...
 
 
+def _newest(rows: pa.Table, pk: str, arrival: list[str]) -> pa.Table:
+    """The newest row of each key, in the order of ``LastEvent``."""
+    marks = {}
+    # a missing log position or time is the newest, a missing mark of arrival the oldest
+    for name in ("lsn", "ts_ms", *arrival):
+        column = rows[name]
+        if column.null_count:
+            missing = pc.is_null(column) if name in ("lsn", "ts_ms") else pc.is_valid(column)
+            marks[f"{name} rank"] = pc.cast(missing, pa.int8())
+        marks[name] = column
+    keyed = pa.table({"": rows[pk], **marks})
+    index = pc.sort_indices(keyed, sort_keys=[(c, "ascending") for c in keyed.column_names])
+    keys = pc.take(rows[pk], index).combine_chunks()
+    last = pa.concat_arrays([pc.not_equal(keys[:-1], keys[1:]), pa.array([True])])
+    return rows.take(index.filter(last))
+
+
+def newest_of_parts(stage: DataFrame, pk: str) -> DataFrame:
+    """Of rows that have keys, at least the newest of each, and of a partition few more. It keeps no state, so a stream can do
+    it before the rows meet theirs: the state is then asked once per key and batch, not given every event."""
+    arrival = arrival_columns(stage)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= HELD_ROWS:
+                yield from _newest(pa.Table.from_batches(held), pk, arrival).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from _newest(pa.Table.from_batches(held), pk, arrival).combine_chunks().to_batches()
+
+    return stage.repartition(F.col(pk)).mapInArrow(reduce, stage.schema)
+
+
 def keep_current(
     stream: DataFrame,
     changes: str,
@@ -98,9 +132,12 @@ def keep_current(
     events = wrap_kafka(stream).where(F.col("table") == spec.table).select("raw_json")
     stage = stage_rows(judge(events, [spec], expected_table=spec.table), spec).where(F.col(spec.pk).isNotNull())
     stage = stage.withColumn("is_delete", is_removal(stage))
-    if expire is not None:
+    if expire is None:
+        stage = newest_of_parts(stage, spec.pk)
+    else:
+        # events too late are left out by the state itself, so none may be taken for the newest before
         stage = stage.withColumn("_event_time", F.timestamp_millis("ts_ms")).withWatermark("_event_time", expire)
-    last = stage.groupBy(spec.pk).transformWithStateInPandas(
+    last = stage.groupBy(spec.pk).transformWithState(
         LastEvent(schema, arrival_columns(stage), expire is not None),
         outputStructType=schema,
         outputMode="Update",

@@ -16,7 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_changes(spark: SparkSession, sf_dir: str, *, permuted: bool = False) -> DataFrame:
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows over all cores, however few parts their files have: making and parsing JSON costs far more than reading a table.
+    By their values, since a spread without keys sorts the rows of a task first."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *df.columns)
+
+
+def events_changes(spark: SparkSession, sf_dir: str, *, permuted: bool = False, spread: bool = False) -> DataFrame:
     """``events`` as change events keyed by user: op, ts_ms, lsn and the row image.
 
     ``permuted`` gives log positions that do not follow time, one in eleven missing, so that the two merge
@@ -31,7 +37,8 @@ def events_changes(spark: SparkSession, sf_dir: str, *, permuted: bool = False)
     lsn = F.col("event_id")
     if permuted:
         lsn = F.when(lsn % 11 != 0, (lsn * 7919) % 1000003)
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    return (spread_rows(events) if spread else events).select(
         "event_id",
         "user_id",
         "ts",
@@ -46,13 +53,13 @@ def _sides(op: Column, image: Column) -> dict[str, Column]:
     return {"before": F.when(op == "d", image), "after": F.when(op != "d", image)}
 
 
-def events_feed(spark: SparkSession, sf_dir: str, *, permuted: bool = False) -> DataFrame:
+def events_feed(spark: SparkSession, sf_dir: str, *, permuted: bool = False, spread: bool = False) -> DataFrame:
     """(event_id, raw_json) of every event."""
     op = F.col("op")
     raw = envelope(
         table=EVENTS.table, op=op, ts_ms=F.col("ts_ms"), lsn=F.col("lsn"), **_sides(op, F.col("image"))
     )
-    return events_changes(spark, sf_dir, permuted=permuted).select("event_id", raw.alias("raw_json"))
+    return events_changes(spark, sf_dir, permuted=permuted, spread=spread).select("event_id", raw.alias("raw_json"))
 
 
 def dirty_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,13 +94,13 @@ def dirty_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select("event_id", raw.alias("raw_json"), F.explode(copies).alias("copy")).drop("copy")
 
 
-def kafka_records(spark: SparkSession, sf_dir: str, *, permuted: bool = False) -> DataFrame:
+def kafka_records(spark: SparkSession, sf_dir: str, *, permuted: bool = False, spread: bool = False) -> DataFrame:
     """The event feed as Kafka-shaped records: four partitions by user, the event number as offset."""
     op = F.col("op")
     raw = envelope(
         table=EVENTS.table, op=op, ts_ms=F.col("ts_ms"), lsn=F.col("lsn"), bare=True, **_sides(op, F.col("image"))
     )
-    return events_changes(spark, sf_dir, permuted=permuted).select(
+    return events_changes(spark, sf_dir, permuted=permuted, spread=spread).select(
         F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
         F.encode(raw, "UTF-8").alias("value"),
         F.lit(EVENTS_TOPIC).alias("topic"),

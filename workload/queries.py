@@ -928,7 +928,9 @@ def closed_dates(spark, sf_dir):
 def stream_keyed(spark, sf_dir):
     """The last event per user kept in the state of a stream, in the order of log positions that contradict the dates."""
     base = work_folder(spark, "keyed")
-    feeds.kafka_records(spark, sf_dir, permuted=True).repartition(4).write.parquet(f"{base}/records")
+    records = feeds.kafka_records(spark, sf_dir, permuted=True, spread=True).repartition(4)
+    # row groups by which a few files can be parsed on all cores
+    records.write.option("parquet.block.size", 4 << 20).parquet(f"{base}/records")
     stream = bronze.file_stream(spark, f"{base}/records", maxFilesPerTrigger="2")
     keep_current(stream, f"{base}/changes", EVENTS, checkpoint=f"{base}/checkpoint").awaitTermination()
     return kept_current(spark, f"{base}/checkpoint").select(*STATE)
