@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import ORDERS, USERS
+from tidemark.plans import compact as compact_plan
 from tidemark.plans import merge as merge_plan
 from tidemark.plans.compact import compact
 from tidemark.plans.merge import current_table, run_merge
@@ -545,3 +546,28 @@ def test_marks_of_an_earlier_release_count(spark, base):
     old = dict(event_date="2024-01-01", stage_run="a", rows_in=1, rows_out=1, bad_rows=0)
     ledger.commit_merge(1, job_name=merge_plan.JOB_NAME, table_name="users", run_id="m", mode="ordered", dates=[old])
     assert run_merge(spark, silver_base, ledger, USERS, mode="ordered").status == "nothing_to_process"
+
+
+def test_a_large_run_is_cut(spark, base, monkeypatch):
+    """A run that one task reads is brought together by several, in arrival order within each; a small one by one."""
+    monkeypatch.setattr(compact_plan, "PIECE_BYTES", 3000)
+    monkeypatch.setattr(compact_plan, "PIECE_ROWS", 10)
+    ledger = Ledger(spark, f"{base}/ledger")
+    for run, n in (("large", 400), ("small", 5)):
+        write_events(spark, run_folder(base, run), [user("c", i, i, note=f"{i * 7919 % 10007}" * 9) for i in range(n)])
+        ledger.start_run(run, "2024-02-01")
+        ledger.end_run(run, "SUCCESS")
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        done = compact(spark, f"{base}/bronze", ledger).orderBy("run_id").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert [(r["run_id"], r["parts"], r["rows"]) for r in done] == [("large", 1, 400), ("small", 1, 5)]
+    files = {run: fs.glob(spark, f"{base}/bronze/compacted/*/*/*/run_id={run}/part-*") for run in ("large", "small")}
+    assert len(files["large"]) > 1 and len(files["small"]) == 1
+    texts = [[json.loads(r["raw_json"])["payload"]["source"]["lsn"] for r in spark.read.parquet(f).collect()] for f in files["large"]]
+    assert all(t == sorted(t) for t in texts) and sorted(sum(texts, [])) == list(range(400))

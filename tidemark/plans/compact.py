@@ -17,13 +17,31 @@ from tidemark.sources.ledger import Ledger
 log = logging.getLogger(__name__)
 
 
-def compact_rows(rows: DataFrame) -> DataFrame:
+# File bytes of a run that are brought together for a task, and rows of a file that stay side by side in a larger run.
+PIECE_BYTES, PIECE_ROWS = 16 << 20, 4096
+
+
+def compact_rows(rows: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
     """Bring the rows of a run together, in arrival order within a file.
 
-    The rebalance sizes its output by bytes: small runs share a task, a run of any size is split over many.
+    The rebalance sizes its output by bytes: small runs share a task, a run of any size is split over many. It can't split what
+    one task has read of a run, which the files' compression lets be many times a file's size: ``pieces`` (run keys, pieces)
+    names the runs that are cut into so many parts before.
     """
     order = [c for c in ("batch", "src_file", "src_row") if c in rows.columns]
-    return rows.hint("rebalance", *[F.col(c) for c in RUN_KEYS]).sortWithinPartitions(*RUN_KEYS, *order)
+    if pieces is None:
+        return rows.hint("rebalance", *[F.col(c) for c in RUN_KEYS]).sortWithinPartitions(*RUN_KEYS, *order)
+    chunk = F.xxhash64("src_path", F.floor(F.col("src_row") / PIECE_ROWS))
+    cut = rows.join(F.broadcast(pieces), RUN_KEYS, "left").withColumn("_piece", F.pmod(chunk, F.coalesce("pieces", F.lit(1))))
+    spread = cut.drop("pieces").hint("rebalance", *[F.col(c) for c in (*RUN_KEYS, "_piece")])
+    return spread.sortWithinPartitions(*RUN_KEYS, *order).drop("_piece")
+
+
+def _pieces(spark: SparkSession, parts: dict[tuple, list[str]]) -> DataFrame | None:
+    """(run keys, pieces) of the runs whose files are too large for one task; None if there are none."""
+    sizes = {run: sum(fs.size(spark, p) for p in found) for run, found in parts.items()}
+    large = [(*run, -(-size // PIECE_BYTES)) for run, size in sizes.items() if size > PIECE_BYTES]
+    return spark.createDataFrame(large, ", ".join(f"`{k}` string" for k in RUN_KEYS) + ", pieces long") if large else None
 
 
 def compact(
@@ -62,7 +80,7 @@ def compact(
         columns = [c for c in rows.columns if c not in ("batch", "src_path", "src_file", "src_row")]
         target = f"{base.rstrip('/')}/{bronze.COMPACTED}"
         (
-            compact_rows(rows)
+            compact_rows(rows, _pieces(spark, parts))
             .select(*[F.col(f"`{c}`") for c in columns])
             .write.partitionBy(*RUN_KEYS)
             .mode("overwrite")

@@ -644,7 +644,8 @@ def compact_job(spark, sf_dir):
     or doubled, and all columns stay."""
     base = work_folder(spark, "c/cdc/compact")
     ledger = Ledger(spark, f"{base}/ledger")
-    feed = feeds.events_feed(spark, sf_dir).select(F.lit("2024-01-31T00:00:00Z").alias("ingest_ts"), "raw_json", "event_id")
+    feed = feeds.events_feed(spark, sf_dir, spread=True)
+    feed = feed.select(F.lit("2024-01-31T00:00:00Z").alias("ingest_ts"), "raw_json", "event_id")
     runs = ["run:0", "run 1", "run=2"]
     for i, run in enumerate(runs):
         part = feed.where(F.col("event_id") % 3 == i)
@@ -656,10 +657,10 @@ def compact_job(spark, sf_dir):
             ledger.end_run(run, "SUCCESS")
             continue
         # another writer: parts, what it made of them, and its two marks
-        for name in ("events_00001", "events_compacted"):
-            part.coalesce(1).write.parquet(f"{folder}/_{name}")
-            [written] = fs.glob(spark, f"{folder}/_{name}/part-*")
-            fs.rename(spark, written, f"{folder}/{name}.parquet")
+        for name in ("events", "events_compacted"):
+            part.write.parquet(f"{folder}/_{name}")
+            for k, written in enumerate(fs.glob(spark, f"{folder}/_{name}/part-*")):
+                fs.rename(spark, written, f"{folder}/{name}_{k:05d}.parquet")
             fs.remove(spark, f"{folder}/_{name}")
         for mark in ("_SUCCESS", "_COMPACTED"):
             fs.write_text(spark, folder, mark, "")
