@@ -3,8 +3,10 @@
 from tests.test_jobs import stage, state, user
 from tidemark import USERS
 from tidemark.plans.merge import current_table, run_merge
+from tidemark.sources import silver
 from tidemark.sources.ledger import Ledger
 from tidemark.streaming.completeness import date_states, track_dates
+from workload import queries
 
 
 def states(spark, base, ledger):
@@ -46,3 +48,16 @@ def test_ordered_merges_apply_late_rows(spark, base):
     result = run_merge(spark, silver_base, ledger, USERS, mode="ordered", closed_only=True)
     assert result.late == ["2024-01-01"] and state(current_table(spark, silver_base, ledger, USERS)) == [(1, "NO", 3)]
     assert states(spark, base, ledger)["01"][0] == "closed"
+
+
+def test_closed_dates_parses_once(spark, base, monkeypatch):
+    """The waves of the query are cut from stage rows written once, not each parsed from the table again."""
+    spark.sql(
+        "select id event_id, timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id as int)) ts, id % 3 user_id, 'view' event_type, 1D value, '{}' props from range(30)"
+    ).write.parquet(f"{base}/events.parquet")
+    inputs, write = [], silver.write_stage
+    monkeypatch.setattr(silver, "write_stage", lambda rows, to: (inputs.extend(rows.inputFiles()), write(rows, to)))
+    monkeypatch.setattr(queries, "work_folder", lambda *_: f"{base}/work")
+    got = {r["event_date"]: tuple(r)[1:] for r in queries.registry()["closed_dates"](spark, base).collect()}
+    assert inputs and all("/work/events/" in f for f in inputs)
+    assert len(got) == 30 and got["2024-01-02"] == ("closed", 1, 1) and got["2024-01-30"] == ("open", None, None)

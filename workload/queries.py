@@ -43,9 +43,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_REGISTRY)
 
 
-def events_stage(spark: SparkSession, sf_dir: str, *, permuted: bool = False) -> DataFrame:
+def events_stage(spark: SparkSession, sf_dir: str, *, permuted: bool = False, spread: bool = False) -> DataFrame:
     """Stage rows of the event feed, through JSON and back."""
-    judged = structure.judge(feeds.events_feed(spark, sf_dir, permuted=permuted), [EVENTS], expected_table="events")
+    feed = feeds.events_feed(spark, sf_dir, permuted=permuted, spread=spread)
+    judged = structure.judge(feed, [EVENTS], expected_table="events")
     return structure.stage_rows(judged, EVENTS)
 
 
@@ -909,7 +910,9 @@ def closed_dates(spark, sf_dir):
     and how many events of each the merges have applied."""
     base = work_folder(spark, "dates")
     ledger, silver_base = Ledger(spark, f"{base}/ledger"), f"{base}/silver"
-    stage = events_stage(spark, sf_dir)
+    # made and parsed once, not once per wave
+    events_stage(spark, sf_dir, spread=True).write.parquet(f"{base}/events")
+    stage = spark.read.parquet(f"{base}/events")
     late = (F.col("event_date") == "2024-01-05") & (F.col("event_id") % 2 == 0)
     waves = {
         "run-1": (F.col("event_date") <= "2024-01-15") & ~late,
