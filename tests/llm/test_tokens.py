@@ -101,3 +101,51 @@ def test_word_memory_is_bounded():
         assert memory([f"w{i}", "first", "\nx", pieces.AS_IS + "abc"]) == [len(f"w{i}") + 1, 6, 2, 3]
         assert memory._used <= 5000 + 3 * (memory.ENTRY + 20) and len(memory._known) < 40
     assert " first" not in made and " w7" in made and "\nx" in made
+
+
+def test_words_of_a_batch_are_those_of_its_texts():
+    split = pieces.splitter(public_tokenizers.PATTERN, "tokenizers")
+    rng = np.random.default_rng(12)
+    texts = ["", "«a» b", "x", "日本 a", " a", "a\n", "\n"]
+    texts += ["".join(rng.choice(ALPHABET[:11] if rng.random() < 0.6 else ALPHABET, rng.integers(0, 14))) for _ in range(4000)]
+    for some in (texts, texts[:1], [], texts[7:8] * 3):
+        keys, counts, out = pieces.keys_together([t.encode() for t in some])
+        keys, at = keys.to_pylist(), 0
+        for text, n, left in zip(some, counts.tolist(), out.tolist(), strict=True):
+            assert keys[at : at + n] == ([] if left else pieces.keys_of(text, split)), repr(text)
+            # what has no plain white space, or no word, is left out, and little else
+            assert left or (text and pieces.units(text) is not None), repr(text)
+            at += n
+        assert at == len(keys)
+    assert pieces.keys_together([t.encode() for t in texts[:7]])[2].tolist() == [True, False, False, False, True, True, True]
+    assert 500 < int((~pieces.keys_together([t.encode() for t in texts])[2]).sum()) < 3500
+
+
+def test_a_batch_looks_each_different_word_up_once(spark, monkeypatch):
+    """Early and late characters, first words and line breaks beside each other; the cache is asked for few words."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"Tokenisation{i % 7} of the\nwords über {'日本語' if i % 5 == 0 else 'ÿ'} <|endoftext|>{' ' * (i % 3)}" for i in range(300)]
+    texts += [f"First{i % 9} und\nso weiter" for i in range(300)]
+    made = []
+
+    def keep(docs, make, *_):
+        made.append(make())
+        return docs
+
+    monkeypatch.setattr(token_counts, "per_text", keep)
+    asked = []
+
+    class Memory(pieces.WordMemory):
+        def __call__(self, keys):
+            asked.extend(keys)
+            return super().__call__(keys)
+
+    monkeypatch.setattr(token_counts, "WordMemory", Memory)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    token_counts.count_tokens(docs.withColumn("n_tokens", docs.doc_id), table_size=3)
+    n_bytes, n_tokens = made[0](docs.toArrow()["text"].combine_chunks())
+    assert list(n_tokens) == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert n_bytes == [len(t.encode()) for t in texts]
+    asked.clear()
+    made[0](docs.limit(900).toArrow()["text"].combine_chunks().slice(300))
+    assert len(asked) == len(set(asked)) == 9 + 3

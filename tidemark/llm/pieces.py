@@ -13,6 +13,7 @@ import sys
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
 EARLY = 0x540
 # UTF-8 bytes below this one can only belong to characters before EARLY.
@@ -181,3 +182,38 @@ def keys_of(text: str, split: Callable[[bytes], list[str]]) -> list[str]:
         return [AS_IS + piece for piece in split(text.encode())] if text else []
     words[0] = AS_IS + words[0]
     return words
+
+
+# Bytes that may belong to white space other than a space or a line break: ASCII ones, and the first of longer characters.
+_ODD = np.zeros(256, bool)
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xE1, 0xE2, 0xE3]] = True
+_GAP = np.zeros(256, bool)
+_GAP[[0x09, 0x0A, 0x20]] = True
+
+
+def keys_together(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The keys of texts behind each other, as :func:`keys_of` gives them, how many each text has, and whether it was left out.
+
+    Texts are left out, with no keys, if they are empty or their white space is, or may be, not plain.
+    """
+    # AS_IS before each text marks its first word; where a text holds it itself, it is left out
+    data = np.frombuffer(b"".join(AS_IS.encode() + t for t in texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    starts = np.cumsum(sizes) - sizes
+    gaps = np.flatnonzero(_GAP[data])
+    lengths = np.diff(gaps, append=len(data))
+    odd = np.flatnonzero(_ODD[data])
+    odd = odd[~np.isin(odd, starts)]
+    latin = np.flatnonzero(data[:-1] == 0xC2)
+    latin = latin[np.isin(data[latin + 1], (0x85, 0xA0))]
+    out = np.zeros(len(texts), bool)
+    for places in (odd, latin, gaps[lengths == 1]):
+        out[np.searchsorted(starts, places, "right") - 1] = True
+    counts = np.diff(np.searchsorted(gaps, starts), append=len(gaps))
+    spaces = data == 0x20
+    ends = np.append(0, np.cumsum(lengths - spaces[gaps])).astype(np.int64)
+    keys = pa.LargeStringArray.from_buffers(len(gaps), pa.py_buffer(ends), pa.py_buffer(data[~spaces])) if len(gaps) else pa.array([], pa.large_string())
+    if out.any():
+        keys = keys.filter(pa.array(np.repeat(~out, counts)))
+        counts[out] = 0
+    return keys, counts, out

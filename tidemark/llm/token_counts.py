@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import public_tokenizers
@@ -18,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes, as_texts, bound_batches, per_text
-from tidemark.llm.pieces import AS_IS, WordMemory, is_early, keys_of, rank_encoder, spelled, splitter
+from tidemark.llm.pieces import AS_IS, WordMemory, is_early, keys_of, keys_together, rank_encoder, spelled, splitter
 
 VOCABULARY = "byte_bpe_50k.json"
 # Entries of the broadcast table, and of a task's summary while it runs and at its end.
 TABLE_SIZE, SUMMARY_SIZE, SUMMARY_ROWS = 32_768, 100_000, 4_096
 # Bytes of a worker's cache.
 CACHE_BYTES = 64 << 20
+# Different words of a batch that are looked up together, between which the cache keeps its bound.
+LOOKED_UP = 8_192
 # Longer pre-tokens stay out of the broadcast table, which bounds its bytes.
 TABLE_PIECE = 64
 
@@ -36,11 +39,14 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _special_splitter(tokenizer) -> Callable[[bytes], tuple[list[bytes], int]]:
+def _special_strings(tokenizer) -> list[bytes]:
+    return [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+
+
+def _special_splitter(strings: list[bytes]) -> Callable[[bytes], tuple[list[bytes], int]]:
     """Cut a text at the special strings, which the library counts as one token each."""
     import re
 
-    strings = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
     if not strings:
         return lambda data: ([data], 0)
     cut = re.compile(b"|".join(re.escape(s) for s in sorted(strings, key=len, reverse=True)))
@@ -121,35 +127,57 @@ def count_tokens(
         from public_tokenizers import PATTERN
 
         tokenizer, split = load_tokenizer(path), splitter(PATTERN, "tokenizers")
-        specials = _special_splitter(tokenizer)
+        strings = _special_strings(tokenizer)
+        specials = _special_splitter(strings)
         table = dict(zip(shared.value["piece"].to_pylist(), shared.value["n"].to_pylist(), strict=True))
 
         early = rank_encoder(path, PATTERN)
         sizes = np.zeros(0, np.int64) if early is None else entry_sizes(tokenizer)
 
-        def lengths(words: list[str]) -> list[int]:
-            """Numbers of tokens of words; those of early characters are encoded in one go, and cut by their bytes."""
-            data = [word.encode() for word in words]
-            if early is not None and is_early(b"".join(data)) and all(word[0] in " \n" for word in words):
-                ends = np.cumsum([len(x) for x in data])
-                found = np.cumsum(sizes[early("".join(words))])
-                return np.diff(np.searchsorted(found, ends, "right"), prepend=0).tolist()
+        def early_lengths(words: list[str], data: list[bytes]) -> list[int]:
+            """Numbers of tokens of words of early characters with a gap before each: encoded in one go, and cut by their bytes."""
+            ends = np.cumsum([len(x) for x in data])
+            found = np.cumsum(sizes[early("".join(words))])
+            return np.diff(np.searchsorted(found, ends, "right"), prepend=0).tolist()
+
+        def other_lengths(words: list[str]) -> list[int]:
             cut = [[word] if word in table else split(word.encode()) for word in words]
             new = list({p for found in cut for p in found if p not in table})
             known = dict(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
             return [sum(table[p] if p in table else known[p] for p in found) for found in cut]
 
+        def lengths(words: list[str]) -> list[int]:
+            """Numbers of tokens of words."""
+            data = [word.encode() for word in words]
+            whole = early is not None and is_early(b"".join(data))
+            fast = [early is not None and word[0] in " \n" and (whole or is_early(x)) for word, x in zip(words, data, strict=True)]
+            if all(fast):
+                return early_lengths(words, data)
+            found = iter(early_lengths([*compress(words, fast)], [*compress(data, fast)]) if any(fast) else ())
+            others = iter(other_lengths([word for word, x in zip(words, fast, strict=True) if not x]))
+            return [next(found if x else others) for x in fast]
+
         memory = WordMemory(lengths, CACHE_BYTES, {p[1:]: n for p, n in table.items() if p[0] == " " and len(p.split()) == 1 and p[1:].strip() == p[1:] != ""})
 
+        def alone(data: bytes) -> int:
+            parts, n = specials(data)
+            return n + sum(sum(memory(keys_of(part.decode(), split))) for part in parts)
+
         def work(column: pa.Array) -> list:
-            n_bytes, n_tokens = [], []
-            for data in as_bytes(column):
-                parts, n = specials(data)
-                for part in parts:
-                    n += sum(memory(keys_of(part.decode(), split)))
-                n_bytes.append(len(data))
-                n_tokens.append(n)
-            return [n_bytes, n_tokens]
+            texts = as_bytes(column)
+            # each different word of a batch is looked up once
+            keys, counts, out = keys_together(texts)
+            found = keys.dictionary_encode()
+            different, numbers = found.dictionary, np.zeros(len(found.dictionary), np.int64)
+            for low in range(0, len(different), LOOKED_UP):
+                numbers[low : low + LOOKED_UP] = memory(different[low : low + LOOKED_UP].to_pylist())
+            ends = np.append(0, np.cumsum(numbers[found.indices.to_numpy()]))
+            after = np.cumsum(counts)
+            n_tokens = ends[after] - ends[after - counts]
+            for i, data in enumerate(texts):
+                if out[i] or any(x in data for x in strings):
+                    n_tokens[i] = alone(data)
+            return [list(map(len, texts)), n_tokens]
 
         return work
 
