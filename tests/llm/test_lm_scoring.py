@@ -103,3 +103,44 @@ def test_scores_do_not_depend_on_partitions_and_new_words_are_expected(spark):
     assert len(held) > 30
     # 4 of 54 words are new each time: spelling them costs more than a count of 0 does, but in proportion
     assert sum(r.score for r in held) > 1.2 * sum(r.base_score for r in held)
+
+
+def test_ranks_are_those_of_the_words(texts):
+    data = [(t or "").encode() for t in texts] + [b"\x0bA\x0c\x1ca\x00 ", b"\xc2\x85x\xc2\xa0", b" "]
+    ranks = lm_scoring.Ranks({b"the": 0, b"a": 1, b"again": 2, "ÿés".encode(): 3})
+    rank, rare = lm_scoring.ranks_of(ranks, data)
+    assert rank.tolist() == [r for t in data for r in [*(ranks[w] for w in lm_scoring.words_of(t)), -2]]
+    assert rare == [w for t in data for w in lm_scoring.words_of(t) if w not in ranks]
+    assert lm_scoring.ranks_of(ranks, [b"", b""])[0].tolist() == [-2, -2]
+
+
+@pytest.mark.parametrize("held", [lm_scoring.SYMBOLS_HELD, 50])
+def test_each_different_context_is_spelled_out_once(texts, monkeypatch, held):
+    """Counts are those of all bits one by one, and copies of a text cost no more bits."""
+    monkeypatch.setattr(lm_scoring, "SYMBOLS_HELD", held)
+    codes = lm_scoring.Codes([b"a", b"the", b"again", b"and"], [5, 9, 4, 4], 3, 2)
+    ranks = lm_scoring.Ranks(zip(codes.words, range(4), strict=True))
+    data = [(t or "").encode()[:3000] for t in texts]
+    spelled, paths_of = [], lm_scoring.paths_of
+    monkeypatch.setattr(lm_scoring, "paths_of", lambda tree, symbol: spelled.append(len(symbol)) or paths_of(tree, symbol))
+    cost = []
+    for copies in (1, 5):
+        want = np.zeros(2 * lm_scoring.SLOTS, np.int32)
+        for bits in lm_scoring.bits_of(codes, *lm_scoring.ranks_of(ranks, data)):
+            for slot in bits.slots:
+                np.add.at(want, slot * 2 + bits.bit, copies)
+        spelled.clear()
+        tally = lm_scoring.Tally(codes)
+        for _ in range(copies):
+            tally.add(*lm_scoring.ranks_of(ranks, data))
+        assert (tally.counts() == want).all()
+        cost.append(sum(spelled))
+    assert held == 50 or cost[0] == cost[1]
+
+
+def test_texts_are_read_in_runs_of_like_length():
+    sizes = np.array([3] * 1000 + [lm_scoring.TOGETHER * 4] * 5 + [lm_scoring.TOGETHER * 11, 1])
+    runs = list(lm_scoring._runs(sizes))
+    assert [a for a, _ in runs] == [0, *(b for _, b in runs[:-1])] and runs[-1][1] == len(sizes)
+    assert runs[0] == (0, lm_scoring.READ_TOGETHER) and all(sizes[a : b - 1].sum() < 10 * lm_scoring.TOGETHER for a, b in runs)
+    assert list(lm_scoring._runs(np.zeros(0, int))) == []

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -40,11 +41,15 @@ BYTE_SLOTS = (((1 << 19) + (2 << 21), 17), ((1 << 19) + (2 << 21) + (1 << 17), 2
 SLOTS = BYTE_SLOTS[2][0] + (1 << 20)
 # Slots handed on together.
 SLOT_BLOCK = 1 << 14
+# Symbols that are held until contexts that are alike are counted together, and how many are spelled out in bits at a time.
+SYMBOLS_HELD, SYMBOLS_TOGETHER = 1 << 20, 1 << 12
 # Different words that a task counts before it hands them on.
 WORDS_HELD = 400_000
 # Tokens read together; symbols of a document between two refinements of its weights; sizes of a step, while
 # learning and while refining.
 TOGETHER, STEP, LEARN_RATE, RATE = 40_000, 40, 0.03, 0.003
+# Texts of like length that are scored together.
+READ_TOGETHER = 256
 # Times seen: 0, 1, 2 to 3, 4 to 7, 8 to 31, 32 or more.
 SEEN = 6
 GATES = 2 * SEEN * SEEN
@@ -147,74 +152,198 @@ def _ranks(shared: Broadcast) -> tuple[Codes, Ranks]:
 
 
 class Bits:
-    """The bits of some symbols: their owners, slots and outcomes, in steps that follow each other."""
+    """Some symbols of owners, in steps that follow each other, whose bits are made a part at a time."""
 
     def __init__(self, owner: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray | None], tree: Tree, slots, kind: int):
         count = np.bincount(owner)
         step = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) // STEP
         if step.any():
-            order = np.argsort(step, kind="stable")
+            # short integers are sorted by radix
+            order = np.argsort(step.astype(np.uint16) if step.max() < 1 << 16 else step, kind="stable")
             owner, symbol, step = owner[order], symbol[order], step[order]
             contexts = [c if c is None else c[order] for c in contexts]
-        length = tree.length[symbol]
-        start = np.cumsum(length) - length
-        path = tree.path[np.arange(int(length.sum())) + np.repeat(tree.first[symbol] - start, length)]
-        self.kind, self.owner = kind, np.repeat(owner, length)
-        self.bit = path & np.uint32(1)
-        node = path >> np.uint32(1)
-        spread = node * np.uint32(0x9E3779B1)
-        self.slots = []
-        for context, (first, bits) in zip(contexts, slots, strict=True):
-            if context is None:
-                self.slots.append(node.astype(np.int64) + first)
-            else:
-                mixed = (mix64(context) >> np.uint64(32)).astype(np.uint32)
-                place = ((np.repeat(mixed, length) ^ spread) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)
-                self.slots.append(place.astype(np.int64) + first)
-        ends = np.append(start, len(path))
-        self.bounds = ends[np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(step)]])]
+        self.kind, self.owner, self.symbol, self.contexts, self.tree, self.regions = kind, owner, symbol, contexts, tree, slots
+        self.bounds = np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(step)]])
 
+    def part(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of the symbols from low to high: how many bits each has, the bits, and their slots by context."""
+        length, path = paths_of(self.tree, self.symbol[low:high])
+        contexts = [c if c is None else c[low:high] for c in self.contexts]
+        slots = [slots_of(c, length, path, region) for c, region in zip(contexts, self.regions, strict=True)]
+        return length, path & np.uint32(1), slots
 
-def bits_of(codes: Codes, ranks: Ranks, texts: list[list[bytes]]) -> list[Bits]:
-    """The bits of some texts: of their words and ends, and of the bytes of words without a rank."""
-    sizes = np.array([len(words) + 1 for words in texts], np.int64)
-    ends = np.cumsum(sizes)
-    n, known = int(sizes.sum()), len(codes.words)
-    rank = np.fromiter((r for words in texts for r in (*map(ranks.__getitem__, words), -2)), np.int64, n)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    @property
+    def bit(self) -> np.ndarray:
+        return self.part(0, len(self.symbol))[1]
+
+    @property
+    def slots(self) -> list[np.ndarray]:
+        return self.part(0, len(self.symbol))[2]
+
+
+def paths_of(tree: Tree, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the symbols' codes, and the codes behind each other."""
+    length = tree.length[symbol]
+    ends = np.cumsum(length)
+    at = np.repeat(tree.first[symbol] + length - ends, length)
+    at += np.arange(len(at))
+    return length, tree.path.take(at, mode="clip")
+
+
+def slots_of(context: np.ndarray | None, length: np.ndarray, path: np.ndarray, region: tuple[int, int]) -> np.ndarray:
+    """Slots of the codes of symbols after a context each."""
+    first, bits = region
+    place = path >> np.uint32(1)
+    if context is not None:
+        place *= np.uint32(0x9E3779B1)
+        place ^= np.repeat((mix64(context) >> np.uint64(32)).astype(np.uint32), length)
+        place *= np.uint32(0x85EBCA6B)
+        place >>= np.uint32(32 - bits)
+    place = place.astype(np.int64)
+    place += first
+    return place
+
+
+# Bytes between words.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+
+
+def ranks_of(ranks: Ranks, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Ranks of the words of some texts, where each text ends with -2, and the words without a rank.
+
+    Words are those of :func:`words_of`; each different one is looked up once.
+    """
+    data = np.frombuffer(b"".join(t + b" " for t in texts).lower(), np.uint8)
+    space = _SPACE[data]
+    after = np.flatnonzero(space)
+    lengths = np.diff(after, prepend=-1) - 1
+    after, lengths = after[lengths > 0], lengths[lengths > 0]
+    offsets = np.append(0, np.cumsum(lengths))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])])
+    found = words.dictionary_encode()
+    different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+    rank = np.fromiter(map(ranks.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
+    rare = words.filter(pa.array(rank == -1)).to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return np.insert(rank, np.searchsorted(after, ends - 1, "right"), -2), rare
+
+
+def word_symbols(codes: Codes, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbol of each word and end, and the one and the two before it in the text, as symbols."""
+    known = len(codes.words)
     symbol = np.where(rank >= 0, rank, np.where(rank == -1, known, known + 1))
-    first = np.zeros(n, bool)
-    first[ends - sizes] = True
+    first = np.ones(len(rank), bool)
+    first[1:] = rank[:-1] == -2
     before = np.where(first, known + 2, np.roll(symbol, 1))
-    earlier = np.where(first, known + 2, np.roll(before, 1))
+    return symbol, before, np.where(first, known + 2, np.roll(before, 1))
+
+
+def byte_symbols(rare: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of spelled words with the space behind, their bytes, and the bytes one to three places before, 0 outside."""
+    data = np.frombuffer(b" ".join(rare) + b" ", np.uint8)
+    lengths = np.array([len(w) + 1 for w in rare], np.int64)
+    place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return lengths, data, *(np.where(place >= k, np.roll(data, k), 0).astype(np.uint64) for k in (1, 2, 3))
+
+
+def word_contexts(before: np.ndarray, earlier: np.ndarray) -> list[np.ndarray | None]:
     near = before.astype(np.uint64)
-    far = (near << np.uint64(24)) + earlier.astype(np.uint64) + np.uint64(1 << 60)
-    parts = [Bits(owner, symbol, [None, near, far], codes.by_word, WORD_SLOTS, 0)]
-    strange = np.flatnonzero(rank == -1)
-    if len(strange):
-        begin = ends - sizes
-        rare = [texts[d][i - begin[d]] for d, i in zip(owner[strange].tolist(), strange.tolist(), strict=True)]
-        data = np.frombuffer(b" ".join(rare) + b" ", np.uint8)
-        lengths = np.array([len(w) + 1 for w in rare], np.int64)
-        place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        one, two, three = (np.where(place >= k, np.roll(data, k), 0).astype(np.uint64) for k in (1, 2, 3))
-        two = (two << np.uint64(8)) + one + np.uint64(1 << 61)
-        three = (three << np.uint64(24)) + two + np.uint64(1 << 62)
-        parts.append(Bits(np.repeat(owner[strange], lengths), data, [one, two, three], codes.by_byte, BYTE_SLOTS, 1))
+    return [None, near, (near << np.uint64(24)) + earlier.astype(np.uint64) + np.uint64(1 << 60)]
+
+
+def byte_contexts(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> list[np.ndarray]:
+    two = (two << np.uint64(8)) + one + np.uint64(1 << 61)
+    return [one, two, (three << np.uint64(24)) + two + np.uint64(1 << 62)]
+
+
+def owners_of(rank: np.ndarray) -> np.ndarray:
+    """The number of the text that each word and end is from."""
+    end = rank == -2
+    return np.cumsum(end) - end
+
+
+def bits_of(codes: Codes, rank: np.ndarray, rare: list[bytes]) -> list[Bits]:
+    """The bits of some texts: of their words and ends, and of the bytes of words without a rank."""
+    owner = owners_of(rank)
+    symbol, before, earlier = word_symbols(codes, rank)
+    parts = [Bits(owner, symbol, word_contexts(before, earlier), codes.by_word, WORD_SLOTS, 0)]
+    if rare:
+        lengths, data, *others = byte_symbols(rare)
+        parts.append(Bits(np.repeat(owner[rank == -1], lengths), data, byte_contexts(*others), codes.by_byte, BYTE_SLOTS, 1))
     return parts
 
 
-def _batches_of(batch_texts: list[bytes]) -> Iterator[tuple[range, list[list[bytes]]]]:
-    """Texts, as words, in runs of bounded size."""
-    begin, held, n = 0, [], 0
-    for i, data in enumerate(batch_texts):
-        held.append(words_of(data))
-        n += len(held[-1]) + 1
-        if n >= TOGETHER:
-            yield range(begin, i + 1), held
-            begin, held, n = i + 1, [], 0
-    if held:
-        yield range(begin, len(batch_texts)), held
+class Tally:
+    """Counts the outcomes at slots. Symbols are held with their contexts until there are many; those that are alike are
+    counted together, so that the bits of each different context are made once."""
+
+    def __init__(self, codes: Codes):
+        self.codes, self.table = codes, np.zeros(2 * SLOTS, np.int32)
+        self.held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+
+    def add(self, rank: np.ndarray, rare: list[bytes]) -> None:
+        symbol, before, earlier = (x.astype(np.uint64) for x in word_symbols(self.codes, rank))
+        # symbols have less than 20 bits
+        self.held[0].append(((symbol << np.uint64(20)) + before << np.uint64(20)) + earlier)
+        if rare:
+            _, data, one, two, three = byte_symbols(rare)
+            keys = (((data.astype(np.uint64) << np.uint64(8)) + one << np.uint64(8)) + two << np.uint64(8)) + three
+            self.held[1].append(keys.astype(np.uint32))
+        for kind in (0, 1):
+            if sum(map(len, self.held[kind])) >= SYMBOLS_HELD:
+                self._count(kind)
+
+    def _count(self, kind: int) -> None:
+        if not self.held[kind]:
+            return
+        key = np.sort(np.concatenate(self.held[kind]))
+        self.held[kind].clear()
+        width, tree, regions = (20, self.codes.by_word, WORD_SLOTS) if kind == 0 else (8, self.codes.by_byte, BYTE_SLOTS)
+        n = np.ones(len(key), np.int32)
+        # the sorted keys begin with the symbol, so shorter contexts lie together as well; the words' first has none
+        fields = 2 if kind == 0 else 3
+        for k, region in zip((2, 1, 0), regions[::-1], strict=True):
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            key, n = key[first], np.add.reduceat(n, first, dtype=np.int32)
+            self._add(kind, key.astype(np.uint64), n, fields, width, tree, region)
+            key = key >> key.dtype.type(width)
+            fields -= 1
+
+    def _add(self, kind: int, key: np.ndarray, n: np.ndarray, fields: int, width: int, tree: Tree, region: tuple[int, int]) -> None:
+        mask = np.uint64((1 << width) - 1)
+        for low in range(0, len(key), SYMBOLS_TOGETHER):
+            some = key[low : low + SYMBOLS_TOGETHER]
+            near, *others = [(some >> np.uint64(width * (fields - 1 - i))) & mask for i in range(fields)] or [None]
+            symbol = (some >> np.uint64(width * fields)).astype(np.int64)
+            zero = np.zeros(len(some), np.uint64)
+            if kind == 0:
+                context = word_contexts(near, others[0] if others else zero)[fields] if fields else None
+            else:
+                context = byte_contexts(near, *others, *[zero] * (3 - fields))[fields - 1]
+            length, path = paths_of(tree, symbol)
+            at = slots_of(context, length, path, region)
+            at *= 2
+            at += path & np.uint32(1)
+            np.add.at(self.table, at, np.repeat(n[low : low + SYMBOLS_TOGETHER], length))
+
+    def counts(self) -> np.ndarray:
+        """Times that the decision of each slot was 0 and 1."""
+        for kind in (0, 1):
+            self._count(kind)
+        return self.table
+
+
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts that are scored together, from their numbers of tokens."""
+    begin, n = 0, 0
+    for i, size in enumerate(sizes.tolist(), 1):
+        n += size
+        if i - begin >= READ_TOGETHER or n >= 10 * TOGETHER:
+            yield begin, i
+            begin, n = i, 0
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def _planes(counts: np.ndarray) -> bytes:
@@ -231,13 +360,11 @@ def count_contexts(docs: DataFrame, shared: Broadcast, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ranks = _ranks(shared)
-        table, one = np.zeros(2 * SLOTS, np.int32), np.int32(1)
+        tally = Tally(codes)
         for batch in batches:
-            for _, texts in _batches_of(as_bytes(batch.column(0))):
-                for bits in bits_of(codes, ranks, texts):
-                    for slot in bits.slots:
-                        np.add.at(table, slot * 2 + bits.bit, one)
-        blocks = table.reshape(-1, 2 * SLOT_BLOCK)
+            if batch.num_rows:
+                tally.add(*ranks_of(ranks, as_bytes(batch.column(0))))
+        blocks = tally.counts().reshape(-1, 2 * SLOT_BLOCK)
         for i in np.flatnonzero(blocks.any(axis=1)):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_planes(blocks[i])], pa.binary())], ["block", "counts"])
 
@@ -284,50 +411,76 @@ class Mixer:
     """Reads texts with a table and gate weights."""
 
     def __init__(self, codes: Codes, ranks: Ranks, table: np.ndarray, weights: np.ndarray):
-        self.codes, self.ranks, self.table = codes, ranks, table
+        # a copy of its own lies in large pages, which random places are read from faster
+        self.codes, self.ranks, self.table = codes, ranks, table.copy()
         self.weights = weights.astype(np.float32)
         self.slope = np.full(weights.shape, 1e-3)
-        self.odds = ((np.arange(256) - 128) / 16).astype(np.float32)
 
     def read(self, texts: list[list[bytes]], learn: bool = False) -> np.ndarray:
-        """Natural logarithm of the probability of each text.
+        """Natural logarithm of the probability of each text, given as words."""
+        return self.read_ranked(*ranks_of(self.ranks, [b" ".join(words) for words in texts]), learn)
+
+    def read_ranked(self, rank: np.ndarray, rare: list[bytes], learn: bool = False) -> np.ndarray:
+        """The same of texts given by :func:`ranks_of`.
 
         Every text starts from the given weights and refines them; with ``learn`` all start from, and change, the
         mixer's own.
         """
-        total = np.zeros(len(texts))
-        for bits in bits_of(self.codes, self.ranks, texts):
-            own = 1 if learn else len(texts)
+        n = int((rank == -2).sum())
+        total = np.zeros(n)
+        for bits in bits_of(self.codes, rank, rare):
+            own = 1 if learn else n
             weights = np.repeat(self.weights.T[:, None], own, axis=1).reshape(CONTEXTS, -1)
-            packed = [self.table[s] for s in bits.slots]
-            odds = [self.odds[p & 255] for p in packed]
-            cell = (packed[2] >> 8).astype(np.int64)
-            cell *= SEEN
-            cell += packed[1] >> 8
-            cell += bits.kind * SEEN * SEEN
-            if not learn:
-                cell += bits.owner * GATES
-            sign = bits.bit.astype(np.float32) * 2 - 1
+            # the bits of a step at a time, which stay in the processor's cache
             for low, high in zip(bits.bounds[:-1], bits.bounds[1:], strict=True):
-                at, x, outcome, owner = cell[low:high], [o[low:high] for o in odds], sign[low:high], bits.owner[low:high]
-                right = weights[0][at] * x[0]
+                length, bit, slots = bits.part(low, high)
+                owner = bits.owner[low:high]
+                first = np.append(0, np.flatnonzero(owner[1:] != owner[:-1]) + 1)
+                size = np.add.reduceat(length, first)
+                packed = [self.table.take(s, mode="clip") for s in slots]
+                x = [(p & np.uint16(255)).astype(np.float32) for p in packed]
+                for odds in x:
+                    odds -= np.float32(128)
+                    odds *= np.float32(1 / 16)
+                cell = (packed[2] >> np.uint16(8)) * np.uint16(SEEN) + (packed[1] >> np.uint16(8))
+                # weights of the owners from the first to the last that are still read
+                base, cells = (0, GATES) if learn else (int(owner[0]) * GATES, int(owner[-1] - owner[0] + 1) * GATES)
+                mine = [w[base : base + cells] for w in weights]
+                at = np.repeat(owner[first] * (0 if learn else GATES) + (bits.kind * SEEN * SEEN - base), size)
+                at += cell
+                outcome = bit.astype(np.float32)
+                outcome *= 2
+                outcome -= 1
+                right = mine[0].take(at, mode="clip")
+                right *= x[0]
                 for k in range(1, CONTEXTS):
-                    right += weights[k][at] * x[k]
+                    added = mine[k].take(at, mode="clip")
+                    added *= x[k]
+                    right += added
                 right *= outcome
                 # right: log-odds of the outcome; its cost is log(1 + exp(-right)), and miss the other's probability
-                small = np.exp(-np.abs(right))
-                cost = np.log(1 + small) - np.minimum(right, 0)
-                total -= np.bincount(owner, cost, len(texts))
-                small /= 1 + small
-                miss = np.where(right < 0, 1 - small, small)
+                small = np.abs(right)
+                np.negative(small, out=small)
+                np.exp(small, out=small)
+                more = small + np.float32(1)
+                cost = np.log(more)
+                cost -= np.minimum(right, 0)
+                total[owner[first]] -= np.add.reduceat(cost.astype(np.float64), np.cumsum(size) - size)
+                if high == len(bits.symbol) and not learn:
+                    break
+                small /= more
+                # 1 - small where the other outcome was likelier
+                miss = (right < 0).astype(np.float32)
+                miss -= small
+                np.abs(miss, out=miss)
                 miss *= outcome
                 for k in range(CONTEXTS):
-                    slope = np.bincount(at, miss * x[k], own * GATES)
+                    slope = np.bincount(at, miss * x[k], cells)
                     if learn:
                         self.slope[:, k] += slope * slope
-                        weights[k] += LEARN_RATE * slope / np.sqrt(self.slope[:, k])
+                        mine[k] += LEARN_RATE * slope / np.sqrt(self.slope[:, k])
                     else:
-                        weights[k] += RATE * slope
+                        mine[k] += RATE * slope
             if learn:
                 self.weights = weights.T.copy()
         return total
@@ -409,25 +562,33 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ranks = _ranks(shared)
         mixer = Mixer(codes, ranks, table.value, weights.value)
-        # the last entries are for words without a rank, whose part is added later
-        logs = np.append(np.log10((codes.counts + BASE) / divisor), 0.0)
-        end = np.log10((n_end + BASE) / divisor)
+        # the last entries are for an end and for words without a rank, whose part is added later
+        logs = np.append(np.log10((codes.counts + BASE) / divisor), [np.log10((n_end + BASE) / divisor), 0.0])
         done = TaskContext.get().partitionId() << 33
         for batch in batches:
+            # texts of like length are read together, so that few steps are left to a long one alone
+            batch = batch.take(pc.sort_indices(pc.fill_null(pc.binary_length(batch.column(2)), 0)))
             texts = as_bytes(batch.column(2))
-            for part, lists in _batches_of(texts):
-                place = [np.fromiter(map(ranks.__getitem__, x), np.int64, len(x)) for x in lists]
-                n = len(lists)
+            if not texts:
+                continue
+            all_ranks, all_rare = ranks_of(ranks, texts)
+            after = np.flatnonzero(all_ranks == -2) + 1
+            rare_after = np.append(0, np.cumsum(all_ranks == -1))
+            for low, high in _runs(np.diff(after, prepend=0)):
+                n, start = high - low, int(after[low - 1]) if low else 0
+                rank, rare = all_ranks[start : after[high - 1]], all_rare[rare_after[start] : rare_after[after[high - 1]]]
+                begin = np.append(0, after[low : high - 1] - start)
+                offsets = np.append(0, np.cumsum(np.add.reduceat(rank == -1, begin, dtype=np.int32))).astype(np.int32)
                 columns = [
-                    batch.column(0).slice(part.start, n),
+                    batch.column(0).slice(low, n),
                     range(done, done + n),
-                    batch.column(1).slice(part.start, n),
-                    [len(x) + 1 for x in lists],
-                    [int((p >= 0).sum()) + (n_end > 0) for p in place],
-                    [float(logs[p].sum() + end) for p in place],
-                    mixer.read(lists),
-                    [len(texts[i]) for i in part],
-                    [[w for w, r in zip(x, p.tolist(), strict=True) if r < 0] for x, p in zip(lists, place, strict=True)],
+                    batch.column(1).slice(low, n),
+                    np.diff(begin, append=len(rank)),
+                    np.add.reduceat(rank >= 0, begin, dtype=np.int64) + (n_end > 0),
+                    np.add.reduceat(logs[rank], begin),
+                    mixer.read_ranked(rank, rare),
+                    [len(x) for x in texts[low:high]],
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare, pa.binary())),
                 ]
                 done += n
                 yield pa.RecordBatch.from_arrays(
