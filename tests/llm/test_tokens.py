@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -149,3 +150,30 @@ def test_a_batch_looks_each_different_word_up_once(spark, monkeypatch):
     asked.clear()
     made[0](docs.limit(900).toArrow()["text"].combine_chunks().slice(300))
     assert len(asked) == len(set(asked)) == 9 + 3
+
+
+def test_an_encoder_looks_each_different_word_up_once(reference, monkeypatch):
+    """Texts of plain and other white space, empty ones between; each pre-token is encoded once in a batch."""
+    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["", *[f"Tokenisation{i % 7} of the\nwords über {'日本語' if i % 5 == 0 else 'ÿ'} <|endoftext|>{' ' * (i % 3)}" for i in range(60)], "", "\n"]
+    texts += [f"a\tb  c{i % 4}\r\n" for i in range(20)]
+    asked = []
+    encode_piece = bpe.encode_piece
+    monkeypatch.setattr(bpe, "encode_piece", lambda p: asked.append(p) or encode_piece(p), raising=False)
+    encode = bpe.encoder(pieces.splitter(public_tokenizers.PATTERN, "tiktoken"))
+    for some in (texts, texts[:1], [], texts[::-1], ["", ""]):
+        ids, counts = encode([t.encode() for t in some])
+        want = [reference.encode_ordinary(t) for t in some]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert len(asked) == len(set(asked)) > 20
+
+
+def test_array_memory_is_bounded():
+    made = []
+    memory = byte_bpe.ArrayMemory(lambda words: made.extend(words) or [w.encode() * 2 for w in words], 3000)
+    for i in range(300):
+        keys = [f"w{i}", "first", "é", f"w{i // 2}x"]
+        assert memory(pa.array(keys, pa.large_string())).to_pylist() == [k.encode() * 2 for k in keys]
+        assert memory._keys.nbytes + memory._values.nbytes <= 3000
+    assert made.count("first") < 20 and made.count("w7") == 1
+    assert memory(pa.array(["y" * 4000], pa.large_string())).to_pylist() == [b"y" * 8000] and len(memory._keys) == 0

@@ -15,24 +15,27 @@ import hashlib
 import sys
 from array import array
 from collections.abc import Callable
-from itertools import islice
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import as_texts, bound_batches, fields, per_text
-from tidemark.llm.pieces import AS_IS, WordMemory, keys_of, splitter
+from tidemark.llm.common import as_bytes, bound_batches, fields, per_text
+from tidemark.llm.pieces import keys_of, keys_together, spelled, splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 # Entries of a worker's memory of neighbours, and bytes of its memories of encoded words and pre-tokens.
-PAIR_MEMORY, WORD_BYTES, PIECE_BYTES = 200_000, 32 << 20, 64 << 20
+PAIR_MEMORY, WORD_BYTES, PIECE_BYTES = 200_000, 24 << 20, 24 << 20
+# Different strings that are made at a time.
+LOOKED_UP = 1 << 15
 
 
 class ByteBpe:
@@ -122,8 +125,8 @@ class ByteBpe:
                 at -= sizes[token]
         return out
 
-    def encoder(self, split: Callable[[bytes], list[str]]) -> Callable[[str], bytes]:
-        """A function from a text to its ids as little-endian unsigned 32-bit integers; ``split`` cuts pre-tokens."""
+    def encoder(self, split: Callable[[bytes], list[str]]) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+        """A function from texts to their ids behind each other and how many each has; ``split`` cuts pre-tokens."""
 
         def encode_pieces(pieces: list[str]) -> list[bytes]:
             ids = [array("I", self.encode_piece(p.encode())) for p in pieces]
@@ -133,19 +136,86 @@ class ByteBpe:
             return [x.tobytes() for x in ids]
 
         def encode_words(words: list[str]) -> list[bytes]:
-            cut = [split(w.encode()) for w in words]
-            found = iter(by_piece([AS_IS + p for pieces in cut for p in pieces]))
-            return [next(found) if len(pieces) == 1 else b"".join(islice(found, len(pieces))) for pieces in cut]
+            cut = [split(spelled(w).encode()) for w in words]
+            pieces = {p: i for i, p in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+            found = by_piece(pa.array(list(pieces), pa.large_string())).to_pylist()
+            return [found[pieces[x[0]]] if len(x) == 1 else b"".join([found[pieces[p]] for p in x]) for x in cut]
 
         # words with and without a mark behind them share their pre-token
-        by_piece, memory = WordMemory(encode_pieces, PIECE_BYTES), WordMemory(encode_words, WORD_BYTES)
-        return lambda text: b"".join(memory(keys_of(text, split)))
+        by_piece, by_word = ArrayMemory(encode_pieces, PIECE_BYTES), ArrayMemory(encode_words, WORD_BYTES)
+
+        def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            keys, counts, out = keys_together(texts)
+            other = [keys_of(texts[i].decode(), split) for i in np.flatnonzero(out)]
+            counts[out] = list(map(len, other))
+            keys = pa.concat_arrays([keys, pa.array(list(chain.from_iterable(other)), pa.large_string())]).dictionary_encode()
+            # keys lie in the order of the texts, those that were left out last
+            order = np.concatenate([np.flatnonzero(~out), np.flatnonzero(out)])
+            first = np.empty(len(texts), np.int64)
+            first[order] = np.cumsum(counts[order]) - counts[order]
+            place = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            # each different word of a batch is looked up once
+            ids = by_word(keys.dictionary).take(keys.indices.take(pa.array(place)))
+            ends, data = flat(ids)
+            after = np.cumsum(counts)
+            return np.frombuffer(data, "<u4"), (ends[after] - ends[after - counts]) // 4
+
+        return encode
+
+    @functools.cached_property
+    def entries(self) -> pa.Array:
+        """The bytes of each id; null where there is none."""
+        return pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.large_binary())
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+class ArrayMemory:
+    """Remembers what ``make`` gives for strings, in Arrow arrays, of ``size`` bytes at most.
+
+    When they outgrow it, all is forgotten but what was asked for last. ``make`` turns a list of strings into a list of bytes.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list[bytes]], size: int) -> None:
+        self._make, self._size = make, size
+        self._forget()
+
+    def _forget(self) -> None:
+        self._keys, self._values = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def _remember(self, keys: pa.Array, values: pa.Array) -> None:
+        self._keys, self._values = keys, values
+        if keys.nbytes + values.nbytes > self._size:
+            self._forget()
+
+    def __call__(self, keys: pa.Array) -> pa.Array:
+        """The bytes of each of some different strings."""
+        at = pc.index_in(keys, value_set=self._keys)
+        missing = at.is_null()
+        new = keys.filter(missing)
+        if not len(new):
+            return self._values.take(at)
+        parts = [self._make(new[low : low + LOOKED_UP].to_pylist()) for low in range(0, len(new), LOOKED_UP)]
+        known = len(self._keys)
+        values = pa.concat_arrays([self._values, *(pa.array(x, pa.large_binary()) for x in parts)])
+        place = at.fill_null(0).to_numpy().astype(np.int64)
+        place[missing.to_numpy(zero_copy_only=False)] = np.arange(known, len(values))
+        found = values.take(pa.array(place))
+        self._remember(pa.concat_arrays([self._keys, new]), values)
+        if not len(self._keys):
+            self._remember(keys, found)
+        return found
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Where each value of a large binary column begins, with the end of the last, and the bytes of all behind each other."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return ends - ends[0], memoryview(data or b"")[ends[0] : ends[-1]]
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
     with open(path, "rb") as file:
@@ -163,11 +233,11 @@ def encode(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        encode_text = load(path).encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
+        encode_texts = load(path).encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            ids = [encode_text(text) for text in as_texts(column)]
-            return [[len(x) // 4 for x in ids], ids]
+            ids, n_tokens = encode_texts(as_bytes(column))
+            return [n_tokens, [x.tobytes() for x in np.split(ids, np.cumsum(n_tokens)[:-1])]]
 
         return work
 
@@ -184,10 +254,15 @@ def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", te
 
     def make():
         bpe = load(path)
-        encode_text = bpe.encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
+        encode_texts = bpe.encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            return list(zip(*[_digest(bpe, encode_text(text)) for text in as_texts(column)], strict=True))
+            ids, n_tokens = encode_texts(as_bytes(column))
+            ends, data = flat(bpe.entries.take(pa.array(ids)))
+            after = np.cumsum(n_tokens)
+            low, high = (after - n_tokens).tolist(), after.tolist()
+            digests = [hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(low, high, strict=True)]
+            return [n_tokens, digests, [hashlib.sha256(data[ends[a] : ends[b]]).hexdigest() for a, b in zip(low, high, strict=True)]]
 
         return work
 
