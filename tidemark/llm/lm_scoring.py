@@ -13,7 +13,6 @@ score.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +42,8 @@ SLOTS = BYTE_SLOTS[2][0] + (1 << 20)
 SLOT_BLOCK = 1 << 14
 # Symbols that are held until contexts that are alike are counted together, and how many are spelled out in bits at a time.
 SYMBOLS_HELD, SYMBOLS_TOGETHER = 1 << 20, 1 << 12
-# Different words that a task counts before it hands them on.
-WORDS_HELD = 400_000
+# Words and counts of batches that a task holds before it adds them up, and hands them on if more than half are different.
+WORDS_HELD = 800_000
 # Tokens read together; symbols of a document between two refinements of its weights; sizes of a step, while
 # learning and while refining.
 TOGETHER, STEP, LEARN_RATE, RATE = 40_000, 40, 0.03, 0.003
@@ -57,6 +56,8 @@ GATES = 2 * SEEN * SEEN
 FIRST = np.repeat(np.array([[1.0, 0.2, 0.2], [0.3, 0.4, 0.4]]), SEEN * SEEN, axis=0)
 # Smoothing of the base score and of a slot's odds.
 BASE, ODDS = 0.1, 0.4
+# Unit of the log-odds in the table; the bit of a 32-bit float that holds its sign.
+SCALE, _SIGN = 1 / 16, np.uint32(1 << 31)
 
 
 def crc_mod(key: str) -> F.Column:
@@ -72,19 +73,28 @@ def words_of(data: bytes) -> list[bytes]:
 def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """word, c: how often each word occurs in the training documents. Tasks add up their own words first."""
     bound_batches(docs.sparkSession)
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+    def added(held: list[pa.Table]) -> pa.Table:
+        total = pa.concat_tables(held).group_by("word").aggregate([("c", "sum")])
+        return total.select(["word", "c_sum"]).rename_columns(["word", "c"]).combine_chunks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held, n = [], 0
         for batch in batches:
-            for data in as_bytes(batch.column(0)):
-                counts.update(words_of(data))
-            if len(counts) > WORDS_HELD:
-                yield rows(counts)
-                counts = Counter()
-        yield rows(counts)
+            if not batch.num_rows:
+                continue
+            counts = cut(as_bytes(batch.column(0)))[0].value_counts()
+            held.append(pa.table([counts.field("values"), counts.field("counts")], ["word", "c"]))
+            n += len(counts)
+            if n > WORDS_HELD:
+                held = [added(held)]
+                n = len(held[0])
+                if n > WORDS_HELD // 2:
+                    yield from held[0].cast(schema).to_batches()
+                    held, n = [], 0
+        if held:
+            yield from added(held).cast(schema).to_batches()
 
     train = docs.where(crc_mod(key) != HELD_OUT).select(F.col(text).cast("string"))
     return written(train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
@@ -165,42 +175,51 @@ class Bits:
         self.kind, self.owner, self.symbol, self.contexts, self.tree, self.regions = kind, owner, symbol, contexts, tree, slots
         self.bounds = np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(step)]])
 
-    def part(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Of the symbols from low to high: how many bits each has, the bits, and their slots by context."""
-        length, path = paths_of(self.tree, self.symbol[low:high])
-        contexts = [c if c is None else c[low:high] for c in self.contexts]
-        slots = [slots_of(c, length, path, region) for c, region in zip(contexts, self.regions, strict=True)]
-        return length, path & np.uint32(1), slots
-
     @property
     def bit(self) -> np.ndarray:
-        return self.part(0, len(self.symbol))[1]
+        return paths_of(self.tree, self.symbol)[1] & np.uint32(1)
 
     @property
     def slots(self) -> list[np.ndarray]:
-        return self.part(0, len(self.symbol))[2]
+        length, path = paths_of(self.tree, self.symbol)
+        return [slots_of(c, length, path, region) for c, region in zip(self.contexts, self.regions, strict=True)]
 
 
 def paths_of(tree: Tree, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lengths of the symbols' codes, and the codes behind each other."""
+    length, at = places_of(tree, symbol)
+    return length, tree.path.take(at, mode="clip")
+
+
+def places_of(tree: Tree, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the symbols' codes, and the places of their bits in the tree's paths."""
     length = tree.length[symbol]
     ends = np.cumsum(length)
     at = np.repeat(tree.first[symbol] + length - ends, length)
     at += np.arange(len(at))
-    return length, tree.path.take(at, mode="clip")
+    return length, at
 
 
 def slots_of(context: np.ndarray | None, length: np.ndarray, path: np.ndarray, region: tuple[int, int]) -> np.ndarray:
     """Slots of the codes of symbols after a context each."""
-    first, bits = region
     place = path >> np.uint32(1)
     if context is not None:
-        place *= np.uint32(0x9E3779B1)
-        place ^= np.repeat((mix64(context) >> np.uint64(32)).astype(np.uint32), length)
-        place *= np.uint32(0x85EBCA6B)
-        place >>= np.uint32(32 - bits)
+        place = hashed(context, length, place * MIXED, region[1])
     place = place.astype(np.int64)
-    place += first
+    place += region[0]
+    return place
+
+
+# Factor of the inner nodes before they are hashed.
+MIXED = np.uint32(0x9E3779B1)
+
+
+def hashed(context: np.ndarray, length: np.ndarray, mixed: np.ndarray, bits: int) -> np.ndarray:
+    """Slots within a region of so many bits, of inner nodes times MIXED."""
+    place = np.repeat((mix64(context) >> np.uint64(32)).astype(np.uint32), length)
+    place ^= mixed
+    place *= np.uint32(0x85EBCA6B)
+    place >>= np.uint32(32 - bits)
     return place
 
 
@@ -209,18 +228,23 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def ranks_of(ranks: Ranks, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Ranks of the words of some texts, where each text ends with -2, and the words without a rank.
-
-    Words are those of :func:`words_of`; each different one is looked up once.
-    """
+def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts as :func:`words_of` gives them, and where each ends if a space is put behind each text."""
     data = np.frombuffer(b"".join(t + b" " for t in texts).lower(), np.uint8)
     space = _SPACE[data]
     after = np.flatnonzero(space)
     lengths = np.diff(after, prepend=-1) - 1
     after, lengths = after[lengths > 0], lengths[lengths > 0]
     offsets = np.append(0, np.cumsum(lengths))
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]), after
+
+
+def ranks_of(ranks: Ranks, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Ranks of the words of some texts, where each text ends with -2, and the words without a rank.
+
+    Words are those of :func:`words_of`; each different one is looked up once.
+    """
+    words, after = cut(texts)
     found = words.dictionary_encode()
     different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
     rank = np.fromiter(map(ranks.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
@@ -346,13 +370,31 @@ def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def _by_text(counts: np.ndarray, rare: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
+    """Of each text, from the number of its words without a rank and these of all: the different ones, and how often each occurs."""
+    owner = pa.array(np.repeat(np.arange(len(counts)), counts))
+    found = pa.table([owner, pa.array(rare, pa.binary())], ["owner", "word"])
+    found = found.group_by(["owner", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("owner").combine_chunks()
+    offsets = pa.array(np.searchsorted(found["owner"].to_numpy(), np.arange(len(counts) + 1)), pa.int32())
+    word, times = (pa.concat_arrays(found[c].chunks) if found.num_rows else pa.array([], kind) for c, kind in (("word", pa.binary()), ("count_all", pa.int64())))
+    return pa.ListArray.from_arrays(offsets, word), pa.ListArray.from_arrays(offsets, times)
+
+
 def _planes(counts: np.ndarray) -> bytes:
-    """64-bit counts byte by byte, first all lowest bytes, which compresses well."""
-    return counts.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """The counts of a block byte by byte, first all lowest bytes, as many as the largest count has."""
+    width = max(1, (int(counts.max()).bit_length() + 7) // 8)
+    return b"".join([(counts >> 8 * k).astype(np.uint8).tobytes() for k in range(width)])
+
+
+def _add_planes(total: np.ndarray, planes: bytes) -> np.ndarray:
+    """Add what :func:`_planes` gave to 64-bit counts."""
+    for k, plane in enumerate(np.frombuffer(planes, np.uint8).reshape(-1, len(total))):
+        total += plane if k == 0 else plane.astype(np.int64) << 8 * k
+    return total
 
 
 def _from_planes(planes: bytes) -> np.ndarray:
-    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+    return _add_planes(np.zeros(2 * SLOT_BLOCK, np.int64), planes)
 
 
 def count_contexts(docs: DataFrame, shared: Broadcast, text: str) -> DataFrame:
@@ -378,7 +420,9 @@ def add_up(parts: DataFrame) -> DataFrame:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, planes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[block] = total.get(block, 0) + _from_planes(planes)
+                if block not in total:
+                    total[block] = np.zeros(2 * SLOT_BLOCK, np.int64)
+                _add_planes(total[block], planes)
         for block, counts in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_planes(counts)], pa.binary())], ["block", "counts"])
 
@@ -411,8 +455,14 @@ class Mixer:
     """Reads texts with a table and gate weights."""
 
     def __init__(self, codes: Codes, ranks: Ranks, table: np.ndarray, weights: np.ndarray):
-        # a copy of its own lies in large pages, which random places are read from faster
-        self.codes, self.ranks, self.table = codes, ranks, table.copy()
+        # a copy of its own lies in large pages, which random places are read from faster; its log-odds are signed bytes, and
+        # the last region's times seen are steps of SEEN gates
+        self.codes, self.ranks, self.table = codes, ranks, table ^ np.uint16(128)
+        self.regions = [[self.table[first : first + (1 << bits)] for first, bits in slots] for slots in (WORD_SLOTS, BYTE_SLOTS)]
+        for regions in self.regions:
+            regions[2] += (regions[2] >> np.uint16(8)) * np.uint16((SEEN - 1) << 8)
+        # the slots of the words' first region, which has no context, in the order of the paths
+        self.plain = self.table.take(codes.by_word.path >> np.uint32(1), mode="clip")
         self.weights = weights.astype(np.float32)
         self.slope = np.full(weights.shape, 1e-3)
 
@@ -430,37 +480,41 @@ class Mixer:
         total = np.zeros(n)
         for bits in bits_of(self.codes, rank, rare):
             own = 1 if learn else n
-            weights = np.repeat(self.weights.T[:, None], own, axis=1).reshape(CONTEXTS, -1)
+            # log-odds are read in sixteenths, so weights are taken by SCALE; powers of two change no digit
+            weights = np.repeat(self.weights.T[:, None] * SCALE, own, axis=1).reshape(CONTEXTS, -1)
             # the bits of a step at a time, which stay in the processor's cache
             for low, high in zip(bits.bounds[:-1], bits.bounds[1:], strict=True):
-                length, bit, slots = bits.part(low, high)
+                length, place = places_of(bits.tree, bits.symbol[low:high])
+                path = bits.tree.path.take(place, mode="clip")
                 owner = bits.owner[low:high]
                 first = np.append(0, np.flatnonzero(owner[1:] != owner[:-1]) + 1)
                 size = np.add.reduceat(length, first)
-                packed = [self.table.take(s, mode="clip") for s in slots]
-                x = [(p & np.uint16(255)).astype(np.float32) for p in packed]
-                for odds in x:
-                    odds -= np.float32(128)
-                    odds *= np.float32(1 / 16)
-                cell = (packed[2] >> np.uint16(8)) * np.uint16(SEEN) + (packed[1] >> np.uint16(8))
+                mixed = path >> np.uint32(1)
+                mixed *= MIXED
+                packed = [
+                    self.plain.take(place, mode="clip") if c is None else region.take(hashed(c[low:high], length, mixed, width), mode="clip")
+                    for c, region, (_, width) in zip(bits.contexts, self.regions[bits.kind], bits.regions, strict=True)
+                ]
+                x = [p.astype(np.int8).astype(np.float32) for p in packed]
+                cell = packed[2] >> np.uint16(8)
+                cell += packed[1] >> np.uint16(8)
                 # weights of the owners from the first to the last that are still read
                 base, cells = (0, GATES) if learn else (int(owner[0]) * GATES, int(owner[-1] - owner[0] + 1) * GATES)
                 mine = [w[base : base + cells] for w in weights]
                 at = np.repeat(owner[first] * (0 if learn else GATES) + (bits.kind * SEEN * SEEN - base), size)
                 at += cell
-                outcome = bit.astype(np.float32)
-                outcome *= 2
-                outcome -= 1
+                # the sign of a float where the bit is 0
+                sign = path << np.uint32(31)
+                sign ^= _SIGN
                 right = mine[0].take(at, mode="clip")
                 right *= x[0]
                 for k in range(1, CONTEXTS):
                     added = mine[k].take(at, mode="clip")
                     added *= x[k]
                     right += added
-                right *= outcome
+                right.view(np.uint32)[:] ^= sign
                 # right: log-odds of the outcome; its cost is log(1 + exp(-right)), and miss the other's probability
-                small = np.abs(right)
-                np.negative(small, out=small)
+                small = (right.view(np.uint32) | _SIGN).view(np.float32)
                 np.exp(small, out=small)
                 more = small + np.float32(1)
                 cost = np.log(more)
@@ -473,16 +527,18 @@ class Mixer:
                 miss = (right < 0).astype(np.float32)
                 miss -= small
                 np.abs(miss, out=miss)
-                miss *= outcome
+                miss.view(np.uint32)[:] ^= sign
                 for k in range(CONTEXTS):
                     slope = np.bincount(at, miss * x[k], cells)
+                    slope *= SCALE
                     if learn:
                         self.slope[:, k] += slope * slope
-                        mine[k] += LEARN_RATE * slope / np.sqrt(self.slope[:, k])
+                        mine[k] += LEARN_RATE * slope / np.sqrt(self.slope[:, k]) * SCALE
                     else:
-                        mine[k] += RATE * slope
+                        slope *= RATE * SCALE
+                        mine[k] += slope
             if learn:
-                self.weights = weights.T.copy()
+                self.weights = weights.T / SCALE
         return total
 
 
@@ -555,7 +611,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     partial.unpersist()
     table = spark.sparkContext.broadcast(table_of(add_up(counted.unionByName(count_contexts(weighing, shared, text)))))
     kind = docs.schema[key].dataType
-    outputs = "row long, held_out boolean, n_tokens long, n_known long, base double, ln double, n_bytes long, rare array<binary>"
+    outputs = "row long, held_out boolean, n_tokens long, n_known long, base double, ln double, n_bytes long, rare array<binary>, times array<long>"
     schema = T.StructType([T.StructField("key", kind), *T.StructType.fromDDL(outputs).fields])
     arrow = [to_arrow_type(f.dataType) for f in schema]
 
@@ -578,7 +634,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 n, start = high - low, int(after[low - 1]) if low else 0
                 rank, rare = all_ranks[start : after[high - 1]], all_rare[rare_after[start] : rare_after[after[high - 1]]]
                 begin = np.append(0, after[low : high - 1] - start)
-                offsets = np.append(0, np.cumsum(np.add.reduceat(rank == -1, begin, dtype=np.int32))).astype(np.int32)
+                words_left, times = _by_text(np.add.reduceat(rank == -1, begin, dtype=np.int64), rare)
                 columns = [
                     batch.column(0).slice(low, n),
                     range(done, done + n),
@@ -588,7 +644,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                     np.add.reduceat(logs[rank], begin),
                     mixer.read_ranked(rank, rare),
                     [len(x) for x in texts[low:high]],
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare, pa.binary())),
+                    words_left,
+                    times,
                 ]
                 done += n
                 yield pa.RecordBatch.from_arrays(
@@ -598,13 +655,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     source = docs.select(F.col(key).alias("key"), (crc_mod(key) == HELD_OUT).alias("held_out"), F.col(text).cast("string"))
     # written, since the numbers of rows are made in the tasks
     rows = written(source.mapInArrow(run, schema), "scores")
-    rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), "x.times")
     c = F.coalesce("c", F.lit(0))
-    looked_up = rare.join(words, "word", "left").groupBy("row").agg(
+    # words that are more frequent than the last rank have one, unless they are too long
+    others = words.where((F.octet_length("word") > RANK_BYTES) | (F.col("c") <= max(min(ranked, default=0), RANK_LEAST)))
+    looked_up = rare.join(others, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((c + BASE) / F.lit(divisor))).alias("rare_base"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
-    joined = rows.drop("rare").join(looked_up, "row", "left")
+    joined = rows.drop("rare", "times").join(looked_up, "row", "left")
     return joined.select(
         F.col("key").alias(key),
         "held_out",
