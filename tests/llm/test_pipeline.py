@@ -1,4 +1,7 @@
+import pyarrow as pa
+
 import corpus_pipeline
+from tidemark.llm import common
 from tidemark.llm.common import written
 
 
@@ -27,3 +30,19 @@ def test_empty_tables(spark, nothing, base):
     for name, stage in corpus_pipeline.STAGES:
         left = written(stage(spark, left, base), name)
         assert left.collect() == []
+
+
+def test_memory_is_given_back_and_large_batches_are_cut(monkeypatch):
+    texts = ["a" * 30, None, "", "b" * 80, "é" * 250, "c", None]
+    batch = pa.record_batch([pa.array(range(7)), pa.array(texts)], ["k", "text"])
+    monkeypatch.setattr(common, "RUN_BYTES", 100)
+    given_back = []
+    monkeypatch.setattr(common, "let_go", lambda: given_back.append(1))
+    same = lambda batches: iter(batches)
+    for offset in (0, 2):
+        parts = list(common.thrifty(same, 1)([batch.slice(offset), batch.slice(0, 0), batch]))
+        assert [k for p in parts for k in p.column(0).to_pylist()] == [*range(offset, 7), *range(7)]
+        assert all(p.num_rows == 1 or p.column(1).nbytes < 200 for p in parts)
+    assert [p.num_rows for p in common.thrifty(same, 1)([batch])] == [3, 1, 1, 2]
+    assert [p.num_rows for p in common.thrifty(same)([batch])] == [7]
+    assert len(given_back) == 4

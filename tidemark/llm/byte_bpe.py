@@ -14,7 +14,7 @@ import functools
 import hashlib
 import sys
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import ahocorasick
@@ -33,9 +33,9 @@ from tidemark.llm.pieces import keys_of, keys_together, spelled, splitter
 VOCABULARY = "byte_bpe_50k.tiktoken"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 # Entries of a worker's memory of neighbours, and bytes of its memories of encoded words and pre-tokens.
-PAIR_MEMORY, WORD_BYTES, PIECE_BYTES = 200_000, 24 << 20, 24 << 20
-# Different strings that are made at a time.
-LOOKED_UP = 1 << 15
+PAIR_MEMORY, WORD_BYTES, PIECE_BYTES = 200_000, 16 << 20, 4 << 20
+# Bytes of texts that are encoded together, and different strings that are made at a time.
+TOGETHER, LOOKED_UP = 1 << 21, 1 << 14
 
 
 class ByteBpe:
@@ -222,6 +222,20 @@ def load(path: str) -> ByteBpe:
         return ByteBpe({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)})
 
 
+def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts that are encoded together: some bytes, or one text."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= TOGETHER or i == len(texts):
+            yield texts[begin:i]
+            begin, size = i, 0
+
+
+def _by_text(ids: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    return np.split(ids, np.cumsum(counts)[:-1])
+
+
 def encode(
     docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -236,8 +250,8 @@ def encode(
         encode_texts = load(path).encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            ids, n_tokens = encode_texts(as_bytes(column))
-            return [n_tokens, [x.tobytes() for x in np.split(ids, np.cumsum(n_tokens)[:-1])]]
+            ids = [x.tobytes() for texts in _runs(as_bytes(column)) for x in _by_text(*encode_texts(texts))]
+            return [[len(x) // 4 for x in ids], ids]
 
         return work
 
@@ -257,12 +271,16 @@ def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", te
         encode_texts = bpe.encoder(splitter(public_tokenizers.PATTERN, "tiktoken"))
 
         def work(column: pa.Array) -> list:
-            ids, n_tokens = encode_texts(as_bytes(column))
-            ends, data = flat(bpe.entries.take(pa.array(ids)))
-            after = np.cumsum(n_tokens)
-            low, high = (after - n_tokens).tolist(), after.tolist()
-            digests = [hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(low, high, strict=True)]
-            return [n_tokens, digests, [hashlib.sha256(data[ends[a] : ends[b]]).hexdigest() for a, b in zip(low, high, strict=True)]]
+            rows = []
+            for texts in _runs(as_bytes(column)):
+                ids, counts = encode_texts(texts)
+                ends, data = flat(bpe.entries.take(pa.array(ids)))
+                after = ends[np.cumsum(counts)].tolist()
+                for x, low, high in zip(_by_text(ids, counts), [0, *after], after, strict=False):
+                    rows.append((len(x), hashlib.sha256(x).hexdigest(), hashlib.sha256(data[low:high]).hexdigest()))
+            # arrays come and go; without this the pool would keep the most that they ever took
+            pa.default_memory_pool().release_unused()
+            return list(zip(*rows, strict=True))
 
         return work
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import bound_batches, reference, word_table, written
+from tidemark.llm.common import bound_batches, reference, thrifty, word_table, written
 
 WINDOW = 10
 # Words of an index segment, UTF-8 bytes of a block of the benchmark, candidate positions looked at together.
@@ -104,7 +104,7 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         if keys:
             yield segment()
 
-    return written(docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema), "postings")
+    return written(docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(thrifty(run, 1), schema), "postings")
 
 
 class Windows:
@@ -148,7 +148,7 @@ def term_frequency(segments: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
                     [pa.array([w for w, _ in have], pa.binary()), pa.array([n for _, n in have], pa.int64())], ["term", "n"]
                 )
 
-    parts = segments.select("terms", "counts").mapInArrow(run, "term binary, n long")
+    parts = segments.select("terms", "counts").mapInArrow(thrifty(run), "term binary, n long")
     return {bytes(r.term): r.n for r in parts.groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
 
 
@@ -244,7 +244,7 @@ def _search_block(segments: DataFrame, windows: Windows, key: str, slop: int | N
                 columns = [row["keys"], [row["segment"]] * n, range(n), sizes, n_hit, items, spans]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, arrow, strict=True)], schema.names)
 
-    return segments.mapInArrow(run, schema)
+    return segments.mapInArrow(thrifty(run), schema)
 
 
 def find(

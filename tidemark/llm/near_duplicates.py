@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bound_batches, may_be_in, mix64, reference, written
+from tidemark.llm.common import bound_batches, may_be_in, mix64, reference, thrifty, written
 
 WORDS, SIMILARITY = 5, (4, 5)
 TREES, LONGEST, SHORTEST = 16, 5, 3
@@ -101,7 +101,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema.names)
 
     source = docs.select(F.col(key).alias("key"), reference(key, text).alias("reference"), F.col(text).cast("string"))
-    return written(source.mapInArrow(run, schema), "features")
+    return written(source.mapInArrow(thrifty(run, 2), schema), "features")
 
 
 def _units(reps: DataFrame, depth: int) -> DataFrame:
@@ -187,7 +187,7 @@ def _with_candidates(members: DataFrame, depth: int, before: int | None) -> Data
                 use[a] = use[b] = True
             yield from rows.filter(pa.array(use)).to_batches()
 
-    return members.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, schema)
+    return members.repartition("unit").sortWithinPartitions("unit").mapInArrow(thrifty(run), schema)
 
 
 def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -261,7 +261,7 @@ def _verify(members: DataFrame, depth: int, before: int | None) -> DataFrame:
                 ["what", "a", "b", "n"],
             )
 
-    return members.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, FOUND)
+    return members.repartition("unit").sortWithinPartitions("unit").mapInArrow(thrifty(run), FOUND)
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -292,7 +292,7 @@ def _shingles(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     texts = docs.select(reference(key, text).alias("reference"), F.col(text).cast("string").alias("text"))
     # an inner join: a semi-join would be pushed below the filter; a set has one reference, and a reference one set
     few = may_be_in(texts, "reference", wanted).join(wanted.select("reference"), "reference")
-    made = few.select("text").mapInArrow(run, "set binary, shingles binary")
+    made = few.select("text").mapInArrow(thrifty(run, 0), "set binary, shingles binary")
     # repeated rows have the same reference
     return written(made.groupBy("set").agg(F.first("shingles").alias("shingles")), "shingles")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import as_bytes, bound_batches, written
+from tidemark.llm.common import as_bytes, bound_batches, thrifty, written
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -79,7 +79,7 @@ def measures(docs: DataFrame, carry: dict[str, str | F.Column], text: str = "tex
                 counts = [pa.array(c, pa.int64()) for c in measure(batch.column(n))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], *counts], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(thrifty(run, n), schema)
 
 
 def with_shares(counts: DataFrame) -> DataFrame:
