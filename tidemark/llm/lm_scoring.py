@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import as_bytes, bound_batches, mix64, written
+from tidemark.llm.common import as_bytes, bound_batches, mix64, thrifty, written
 
 HELD_OUT, WEIGHING = 0, 1
 # Words that have a rank, and the most bytes of such a word: bounds of what is broadcast. A word needs to occur so often.
@@ -97,7 +97,7 @@ def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield from added(held).cast(schema).to_batches()
 
     train = docs.where(crc_mod(key) != HELD_OUT).select(F.col(text).cast("string"))
-    return written(train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
+    return written(train.mapInArrow(thrifty(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
 
 
 class Ranks(dict):
@@ -410,7 +410,7 @@ def count_contexts(docs: DataFrame, shared: Broadcast, text: str) -> DataFrame:
         for i in np.flatnonzero(blocks.any(axis=1)):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_planes(blocks[i])], pa.binary())], ["block", "counts"])
 
-    return docs.select(F.col(text).cast("string")).mapInArrow(run, "block int, counts binary")
+    return docs.select(F.col(text).cast("string")).mapInArrow(thrifty(run), "block int, counts binary")
 
 
 def add_up(parts: DataFrame) -> DataFrame:
@@ -426,7 +426,7 @@ def add_up(parts: DataFrame) -> DataFrame:
         for block, counts in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_planes(counts)], pa.binary())], ["block", "counts"])
 
-    return written(parts.repartition("block").mapInArrow(add, "block int, counts binary"), "contexts")
+    return written(parts.repartition("block").mapInArrow(thrifty(add), "block int, counts binary"), "contexts")
 
 
 def table_of(counts: DataFrame) -> np.ndarray:
@@ -438,7 +438,7 @@ def table_of(counts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["block", "packed"])
 
     table = np.zeros(SLOTS, np.uint16)
-    for r in counts.mapInArrow(pack, "block int, packed binary").toLocalIterator():
+    for r in counts.mapInArrow(thrifty(pack), "block int, packed binary").toLocalIterator():
         table[r.block * SLOT_BLOCK : (r.block + 1) * SLOT_BLOCK] = np.frombuffer(r.packed, np.uint16)
     return table
 
@@ -462,7 +462,10 @@ class Mixer:
         for regions in self.regions:
             regions[2] += (regions[2] >> np.uint16(8)) * np.uint16((SEEN - 1) << 8)
         # the slots of the words' first region, which has no context, in the order of the paths
-        self.plain = self.table.take(codes.by_word.path >> np.uint32(1), mode="clip")
+        path = codes.by_word.path
+        self.plain = np.empty(len(path), np.uint16)
+        for low in range(0, len(path), SLOT_BLOCK):
+            self.table.take(path[low : low + SLOT_BLOCK] >> np.uint32(1), mode="clip", out=self.plain[low : low + SLOT_BLOCK])
         self.weights = weights.astype(np.float32)
         self.slope = np.full(weights.shape, 1e-3)
 
@@ -578,7 +581,7 @@ def learn_weights(docs: DataFrame, shared: Broadcast, table: Broadcast, key: str
     # an order without regard to the alphabet, in which equal texts lie together
     ordered = grouped.sortWithinPartitions("group", F.xxhash64(F.lit(1), "text"), "text")
     # a row of bounded size for each group
-    rows = ordered.mapInArrow(run, "group long, n long, cells array<double>").collect()
+    rows = ordered.mapInArrow(thrifty(run), "group long, n long, cells array<double>").collect()
     found = [(r.n, np.array(r.cells)) for r in sorted(rows, key=lambda r: r.group)]
     total = sum(n for n, _ in found)
     mean = sum(n * np.where(np.isfinite(c), c, FIRST.ravel()) for n, c in found) / total if total else FIRST.ravel()
@@ -654,7 +657,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     source = docs.select(F.col(key).alias("key"), (crc_mod(key) == HELD_OUT).alias("held_out"), F.col(text).cast("string"))
     # written, since the numbers of rows are made in the tasks
-    rows = written(source.mapInArrow(run, schema), "scores")
+    rows = written(source.mapInArrow(thrifty(run), schema), "scores")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), "x.times")
     c = F.coalesce("c", F.lit(0))
     # words that are more frequent than the last rank have one, unless they are too long
