@@ -144,3 +144,16 @@ def test_texts_are_read_in_runs_of_like_length():
     assert [a for a, _ in runs] == [0, *(b for _, b in runs[:-1])] and runs[-1][1] == len(sizes)
     assert runs[0] == (0, lm_scoring.READ_TOGETHER) and all(sizes[a : b - 1].sum() < 10 * lm_scoring.TOGETHER for a, b in runs)
     assert list(lm_scoring._runs(np.zeros(0, int))) == []
+
+
+def test_counts_travel_without_zero_bytes_and_rare_words_once_a_text():
+    for most, width in ((0, 1), (255, 1), (256, 2), (1 << 40, 6)):
+        counts = np.zeros(2 * lm_scoring.SLOT_BLOCK, np.int64)
+        counts[5], counts[-1] = most, most // 2
+        planes = lm_scoring._planes(counts)
+        assert len(planes) == width * len(counts)
+        assert (lm_scoring._from_planes(planes) == counts).all()
+        assert (lm_scoring._add_planes(counts.copy(), planes) == 2 * counts).all()
+    word, times = lm_scoring._by_text(np.array([3, 0, 2]), [b"a", b"b", b"a", b"b", b"c"])
+    assert [dict(zip(*x, strict=True)) for x in zip(word.to_pylist(), times.to_pylist(), strict=True)] == [{b"a": 2, b"b": 1}, {}, {b"b": 1, b"c": 1}]
+    assert [x.to_pylist() for x in lm_scoring._by_text(np.zeros(2, int), [])] == [[[], []], [[], []]]
