@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import lm_scoring
@@ -157,3 +158,46 @@ def test_counts_travel_without_zero_bytes_and_rare_words_once_a_text():
     word, times = lm_scoring._by_text(np.array([3, 0, 2]), [b"a", b"b", b"a", b"b", b"c"])
     assert [dict(zip(*x, strict=True)) for x in zip(word.to_pylist(), times.to_pylist(), strict=True)] == [{b"a": 2, b"b": 1}, {}, {b"b": 1, b"c": 1}]
     assert [x.to_pylist() for x in lm_scoring._by_text(np.zeros(2, int), [])] == [[[], []], [[], []]]
+
+
+def test_ranks_of_many_words_are_looked_up_together(monkeypatch):
+    """Also of words with zeros, of the same beginning and end, and of 8, 16 and more bytes."""
+    rng = np.random.default_rng(1)
+    words = list({bytes(rng.choice([0, 97, 98, 255], rng.integers(0, 20)).tolist()) for _ in range(5000)} | {b"a" * n for n in range(40)})
+    ranks = lm_scoring.Ranks(zip(words[::2], range(len(words)), strict=False))
+    want, looked_up = [ranks[w] for w in words], []
+    monkeypatch.setattr(lm_scoring.Ranks, "__missing__", lambda self, word: looked_up.append(word) or -1)
+    many = pa.array([*words, *words], pa.large_binary())
+    assert ranks.of(many).tolist() == 2 * want
+    assert ranks.of(many[70:]).tolist() == (2 * want)[70:]
+    assert looked_up and all(not w or len(w) > 16 or w.endswith(b"\0") for w in looked_up)
+    assert lm_scoring.Ranks().of(many[:9]).tolist() == [-1] * 9 and ranks.of(many[:0]).tolist() == []
+
+
+def test_weights_that_no_step_reads_are_not_refined(monkeypatch):
+    codes, ranks = lm_scoring.Codes([b"a", b"the"], [5, 9], 3, 2), lm_scoring.Ranks({b"a": 0, b"the": 1})
+    table = np.random.default_rng(2).integers(0, 1 << 8, lm_scoring.SLOTS).astype(np.uint16)
+    mixer = lm_scoring.Mixer(codes, ranks, table, lm_scoring.FIRST)
+    short, long = [[b"the", b"a", b"the"]] * 50, [b"a", b"the"] * lm_scoring.STEP
+    alone = mixer.read([long])[0]
+    refined, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: refined.append(0 if weights is None else len(x)) or bincount(x, weights, minlength))
+    mixer.read([long])
+    want, some = sum(refined), len(refined)
+    scores = mixer.read([*short, long])
+    assert scores[-1] == pytest.approx(alone, rel=1e-6)
+    assert 0 < want == sum(refined[some:])
+
+
+@pytest.mark.parametrize("held", [(1, 1), (1, 1 << 20), (1 << 20, 1)])
+def test_words_are_counted_in_runs_of_batches(spark, monkeypatch, held):
+    monkeypatch.setattr(lm_scoring, "WORD_BYTES", held[0])
+    monkeypatch.setattr(lm_scoring, "WORDS_HELD", held[1])
+    texts = [None, "", " "] + [f"w{i % 7} W{i % 3} x{i}" for i in range(60)]
+    monkeypatch.setattr(lm_scoring, "bound_batches", lambda spark: None)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        got = lm_scoring.word_counts(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), "doc_id", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {bytes(r.word): r.c for r in got} == Counter(w for t in texts for w in (t or "").lower().encode().split())

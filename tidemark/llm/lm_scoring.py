@@ -42,8 +42,8 @@ SLOTS = BYTE_SLOTS[2][0] + (1 << 20)
 SLOT_BLOCK = 1 << 14
 # Symbols that are held until contexts that are alike are counted together, and how many are spelled out in bits at a time.
 SYMBOLS_HELD, SYMBOLS_TOGETHER = 1 << 20, 1 << 12
-# Words and counts of batches that a task holds before it adds them up, and hands them on if more than half are different.
-WORDS_HELD = 800_000
+# Bytes of texts whose words are counted together, and different words that a task holds before it hands them on.
+WORD_BYTES, WORDS_HELD = 16 << 20, 800_000
 # Tokens read together; symbols of a document between two refinements of its weights; sizes of a step, while
 # learning and while refining.
 TOGETHER, STEP, LEARN_RATE, RATE = 40_000, 40, 0.03, 0.003
@@ -51,9 +51,11 @@ TOGETHER, STEP, LEARN_RATE, RATE = 40_000, 40, 0.03, 0.003
 READ_TOGETHER = 256
 # Times seen: 0, 1, 2 to 3, 4 to 7, 8 to 31, 32 or more.
 SEEN = 6
-GATES = 2 * SEEN * SEEN
+# Gates of words or of bytes, and of both.
+KIND_GATES = SEEN * SEEN
+GATES = 2 * KIND_GATES
 # Weights before learning, of words and of bytes.
-FIRST = np.repeat(np.array([[1.0, 0.2, 0.2], [0.3, 0.4, 0.4]]), SEEN * SEEN, axis=0)
+FIRST = np.repeat(np.array([[1.0, 0.2, 0.2], [0.3, 0.4, 0.4]]), KIND_GATES, axis=0)
 # Smoothing of the base score and of a slot's odds.
 BASE, ODDS = 0.1, 0.4
 # Unit of the log-odds in the table; the bit of a 32-bit float that holds its sign.
@@ -75,37 +77,121 @@ def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     bound_batches(docs.sparkSession)
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
-    def added(held: list[pa.Table]) -> pa.Table:
-        total = pa.concat_tables(held).group_by("word").aggregate([("c", "sum")])
-        return total.select(["word", "c_sum"]).rename_columns(["word", "c"]).combine_chunks()
+    def counted(held: list[pa.Array]) -> pa.Table:
+        counts = pa.chunked_array(held).value_counts()
+        return pa.table([counts.field("values"), counts.field("counts")], ["word", "c"])
+
+    def added(parts: list[pa.Table]) -> pa.Table:
+        if len(parts) == 1:
+            return parts[0]
+        return pa.concat_tables(parts).group_by("word").aggregate([("c", "sum")]).select(["word", "c_sum"]).rename_columns(["word", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, n, parts = [], 0, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            counts = cut(as_bytes(batch.column(0)))[0].value_counts()
-            held.append(pa.table([counts.field("values"), counts.field("counts")], ["word", "c"]))
-            n += len(counts)
-            if n > WORDS_HELD:
-                held = [added(held)]
-                n = len(held[0])
-                if n > WORDS_HELD // 2:
-                    yield from held[0].cast(schema).to_batches()
-                    held, n = [], 0
+            texts = as_bytes(batch.column(0))
+            held.append(cut(texts)[0])
+            n += sum(map(len, texts))
+            if n >= WORD_BYTES:
+                parts = [added([*parts, counted(held)])]
+                held, n = [], 0
+                if len(parts[0]) > WORDS_HELD // 2:
+                    yield from parts.pop().cast(schema).to_batches()
         if held:
-            yield from added(held).cast(schema).to_batches()
+            parts.append(counted(held))
+        if parts:
+            yield from added(parts).cast(schema).to_batches()
 
     train = docs.where(crc_mod(key) != HELD_OUT).select(F.col(text).cast("string"))
     return written(train.mapInArrow(thrifty(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
 
 
 class Ranks(dict):
-    """Rank of a frequent word; -1 for others."""
+    """Ranks of frequent words, from 0 on; -1 for others."""
 
     def __missing__(self, word: bytes) -> int:
         return -1
 
+    def of(self, words: pa.LargeBinaryArray) -> np.ndarray:
+        """Ranks of many words. Those of at most 16 bytes are compared as two numbers, others one by one."""
+        if not hasattr(self, "short"):
+            self.short = ShortWords(self)
+        head, tail, plain = halves_of(words)
+        rank = self.short.find(head, tail)
+        other = np.flatnonzero(~plain)
+        if len(other):
+            found = words.take(pa.array(other)).dictionary_encode()
+            different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+            rank[other] = np.fromiter(map(self.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
+        return rank
+
+
+# Of so many bytes from the first on, all that a number of eight bytes has.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def halves_of(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first and the second eight bytes of words as numbers, with zeros behind the end, and whether these tell a word from
+    all others: it has 1 to 16 bytes and doesn't end in a zero."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    begin, lengths = offsets[:-1], np.diff(offsets)
+    padding = np.zeros(8, np.uint8)
+    padded = np.concatenate([padding, np.frombuffer(data or b"", np.uint8)[: offsets[-1]], padding])
+    # the eight bytes from each place on
+    eight = np.ndarray(len(padded) - 7, np.dtype("<u8"), padded, 0, (1,))
+    head = eight[begin + 8]
+    head &= _FIRST_BYTES.take(lengths, mode="clip")
+    tail = np.zeros(len(words), np.uint64)
+    two = np.flatnonzero(lengths > 8)
+    tail[two] = eight[offsets[1:].take(two)] >> (8 * np.maximum(16 - lengths.take(two), 0)).astype(np.uint64)
+    plain = padded[offsets[1:] + 7] != 0
+    plain &= (lengths > 0) & (lengths <= 16)
+    return head, tail, plain
+
+
+class ShortWords:
+    """Ranks of the words that :func:`halves_of` tells from all others: places are searched from a hash of the word on."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        # by rank; one place at least can be read
+        self.head, self.tail, plain = halves_of(pa.array(sorted(ranks, key=ranks.__getitem__) or [b"\0"], pa.large_binary()))
+        self.bits = max(4, (4 * len(plain)).bit_length())
+        # the word at each place, -1 where there is none
+        self.words = np.full(1 << self.bits, -1, np.int32)
+        left = np.flatnonzero(plain)
+        place = self.begin(self.head[left], self.tail[left])
+        while len(left):
+            free = self.words[place] < 0
+            self.words[place[free]] = left[free]
+            out = self.words[place] != left
+            left, place = left[out], self.after(place[out])
+
+    def begin(self, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        return (mix64(head ^ tail * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def after(self, place: np.ndarray) -> np.ndarray:
+        return place + 1 & (1 << self.bits) - 1
+
+    def find(self, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """Ranks of words as :func:`halves_of` gives them; -1 for those without."""
+        rank = np.full(len(head), -1, np.int64)
+        left, place = np.arange(len(head)), self.begin(head, tail)
+        while len(left):
+            word = self.words.take(place)
+            taken = word >= 0
+            same = self.head.take(word, mode="clip") == head
+            same &= self.tail.take(word, mode="clip") == tail
+            same &= taken
+            rank[left] = np.where(same, word, -1)
+            # a place that another word holds is passed
+            taken ^= same
+            on = np.flatnonzero(taken)
+            left, place, head, tail = left.take(on), self.after(place.take(on)), head.take(on), tail.take(on)
+        return rank
+
 
 class Tree:
     """A Huffman code: of each symbol the path from the root, as inner node * 2 + bit, one behind the other."""
@@ -167,6 +253,7 @@ class Bits:
     def __init__(self, owner: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray | None], tree: Tree, slots, kind: int):
         count = np.bincount(owner)
         step = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) // STEP
+        contexts = [c if c is None else scrambled(c) for c in contexts]
         if step.any():
             # short integers are sorted by radix
             order = np.argsort(step.astype(np.uint16) if step.max() < 1 << 16 else step, kind="stable")
@@ -174,6 +261,10 @@ class Bits:
             contexts = [c if c is None else c[order] for c in contexts]
         self.kind, self.owner, self.symbol, self.contexts, self.tree, self.regions = kind, owner, symbol, contexts, tree, slots
         self.bounds = np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(step)]])
+        # where an owner's symbols of a step begin, which of these each step begins with, and whether the owner has further steps
+        self.firsts = np.append(0, np.flatnonzero((owner[1:] != owner[:-1]) | (step[1:] != step[:-1])) + 1)
+        self.at_first = np.searchsorted(self.firsts, self.bounds)
+        self.goes_on = count[owner[self.firsts]] > (step[self.firsts] + 1) * STEP
 
     @property
     def bit(self) -> np.ndarray:
@@ -200,8 +291,13 @@ def places_of(tree: Tree, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return length, at
 
 
+def scrambled(context: np.ndarray) -> np.ndarray:
+    """Contexts in 32 bits, as slots are made from."""
+    return (mix64(context) >> np.uint64(32)).astype(np.uint32)
+
+
 def slots_of(context: np.ndarray | None, length: np.ndarray, path: np.ndarray, region: tuple[int, int]) -> np.ndarray:
-    """Slots of the codes of symbols after a context each."""
+    """Slots of the codes of symbols after a scrambled context each."""
     place = path >> np.uint32(1)
     if context is not None:
         place = hashed(context, length, place * MIXED, region[1])
@@ -215,8 +311,8 @@ MIXED = np.uint32(0x9E3779B1)
 
 
 def hashed(context: np.ndarray, length: np.ndarray, mixed: np.ndarray, bits: int) -> np.ndarray:
-    """Slots within a region of so many bits, of inner nodes times MIXED."""
-    place = np.repeat((mix64(context) >> np.uint64(32)).astype(np.uint32), length)
+    """Slots within a region of so many bits, of scrambled contexts and inner nodes times MIXED."""
+    place = np.repeat(context, length)
     place ^= mixed
     place *= np.uint32(0x85EBCA6B)
     place >>= np.uint32(32 - bits)
@@ -242,12 +338,10 @@ def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
 def ranks_of(ranks: Ranks, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Ranks of the words of some texts, where each text ends with -2, and the words without a rank.
 
-    Words are those of :func:`words_of`; each different one is looked up once.
+    Words are those of :func:`words_of`.
     """
     words, after = cut(texts)
-    found = words.dictionary_encode()
-    different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
-    rank = np.fromiter(map(ranks.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
+    rank = ranks.of(words)
     rare = words.filter(pa.array(rank == -1)).to_numpy(zero_copy_only=False).tolist()
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     return np.insert(rank, np.searchsorted(after, ends - 1, "right"), -2), rare
@@ -266,7 +360,7 @@ def word_symbols(codes: Codes, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def byte_symbols(rare: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lengths of spelled words with the space behind, their bytes, and the bytes one to three places before, 0 outside."""
     data = np.frombuffer(b" ".join(rare) + b" ", np.uint8)
-    lengths = np.array([len(w) + 1 for w in rare], np.int64)
+    lengths = np.fromiter(map(len, rare), np.int64, len(rare)) + 1
     place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     return lengths, data, *(np.where(place >= k, np.roll(data, k), 0).astype(np.uint64) for k in (1, 2, 3))
 
@@ -346,7 +440,7 @@ class Tally:
             else:
                 context = byte_contexts(near, *others, *[zero] * (3 - fields))[fields - 1]
             length, path = paths_of(tree, symbol)
-            at = slots_of(context, length, path, region)
+            at = slots_of(context if context is None else scrambled(context), length, path, region)
             at *= 2
             at += path & np.uint32(1)
             np.add.at(self.table, at, np.repeat(n[low : low + SYMBOLS_TOGETHER], length))
@@ -461,11 +555,11 @@ class Mixer:
         self.regions = [[self.table[first : first + (1 << bits)] for first, bits in slots] for slots in (WORD_SLOTS, BYTE_SLOTS)]
         for regions in self.regions:
             regions[2] += (regions[2] >> np.uint16(8)) * np.uint16((SEEN - 1) << 8)
-        # the slots of the words' first region, which has no context, in the order of the paths
-        path = codes.by_word.path
-        self.plain = np.empty(len(path), np.uint16)
-        for low in range(0, len(path), SLOT_BLOCK):
-            self.table.take(path[low : low + SLOT_BLOCK] >> np.uint32(1), mode="clip", out=self.plain[low : low + SLOT_BLOCK])
+        # words' first region has no context: its log-odds lie above the paths' 20 bits, in the highest byte
+        self.paths = [codes.by_word.path.copy(), codes.by_byte.path]
+        for low in range(0, len(self.paths[0]), SLOT_BLOCK):
+            some = self.paths[0][low : low + SLOT_BLOCK]
+            some |= (self.table.take(some >> np.uint32(1), mode="clip") & np.uint16(255)).astype(np.uint32) << np.uint32(24)
         self.weights = weights.astype(np.float32)
         self.slope = np.full(weights.shape, 1e-3)
 
@@ -484,27 +578,30 @@ class Mixer:
         for bits in bits_of(self.codes, rank, rare):
             own = 1 if learn else n
             # log-odds are read in sixteenths, so weights are taken by SCALE; powers of two change no digit
-            weights = np.repeat(self.weights.T[:, None] * SCALE, own, axis=1).reshape(CONTEXTS, -1)
+            gates = slice(bits.kind * KIND_GATES, (bits.kind + 1) * KIND_GATES)
+            weights = np.repeat(self.weights.T[:, None, gates] * SCALE, own, axis=1).reshape(CONTEXTS, -1)
             # the bits of a step at a time, which stay in the processor's cache
-            for low, high in zip(bits.bounds[:-1], bits.bounds[1:], strict=True):
+            for i, (low, high) in enumerate(zip(bits.bounds[:-1], bits.bounds[1:], strict=True)):
                 length, place = places_of(bits.tree, bits.symbol[low:high])
-                path = bits.tree.path.take(place, mode="clip")
-                owner = bits.owner[low:high]
-                first = np.append(0, np.flatnonzero(owner[1:] != owner[:-1]) + 1)
+                path = self.paths[bits.kind].take(place, mode="clip")
+                owners = slice(bits.at_first[i], bits.at_first[i + 1])
+                first = bits.firsts[owners] - low
+                owner = bits.owner[bits.firsts[owners]]
                 size = np.add.reduceat(length, first)
-                mixed = path >> np.uint32(1)
+                mixed = path & np.uint32((1 << 24) - 1)
+                mixed >>= np.uint32(1)
                 mixed *= MIXED
                 packed = [
-                    self.plain.take(place, mode="clip") if c is None else region.take(hashed(c[low:high], length, mixed, width), mode="clip")
+                    None if c is None else region.take(hashed(c[low:high], length, mixed, width), mode="clip")
                     for c, region, (_, width) in zip(bits.contexts, self.regions[bits.kind], bits.regions, strict=True)
                 ]
-                x = [p.astype(np.int8).astype(np.float32) for p in packed]
+                x = [((path >> np.uint32(24)) if p is None else p).astype(np.int8).astype(np.float32) for p in packed]
                 cell = packed[2] >> np.uint16(8)
                 cell += packed[1] >> np.uint16(8)
                 # weights of the owners from the first to the last that are still read
-                base, cells = (0, GATES) if learn else (int(owner[0]) * GATES, int(owner[-1] - owner[0] + 1) * GATES)
+                base, cells = (0, KIND_GATES) if learn else (int(owner[0]) * KIND_GATES, int(owner[-1] - owner[0] + 1) * KIND_GATES)
                 mine = [w[base : base + cells] for w in weights]
-                at = np.repeat(owner[first] * (0 if learn else GATES) + (bits.kind * SEEN * SEEN - base), size)
+                at = np.repeat(owner * (0 if learn else KIND_GATES) - base, size)
                 at += cell
                 # the sign of a float where the bit is 0
                 sign = path << np.uint32(31)
@@ -522,26 +619,31 @@ class Mixer:
                 more = small + np.float32(1)
                 cost = np.log(more)
                 cost -= np.minimum(right, 0)
-                total[owner[first]] -= np.add.reduceat(cost.astype(np.float64), np.cumsum(size) - size)
-                if high == len(bits.symbol) and not learn:
-                    break
-                small /= more
+                begin = np.cumsum(size) - size
+                total[owner] -= np.add.reduceat(cost.astype(np.float64), begin)
+                # weights that no further step of their text reads need no refining
+                goes_on = bits.goes_on[owners]
+                if not learn and not goes_on.any():
+                    continue
+                rest = slice(0 if learn else int(begin[goes_on.argmax()]), None)
+                at, small = at[rest], small[rest]
+                small /= more[rest]
                 # 1 - small where the other outcome was likelier
-                miss = (right < 0).astype(np.float32)
+                miss = (right[rest] < 0).astype(np.float32)
                 miss -= small
                 np.abs(miss, out=miss)
-                miss.view(np.uint32)[:] ^= sign
+                miss.view(np.uint32)[:] ^= sign[rest]
                 for k in range(CONTEXTS):
-                    slope = np.bincount(at, miss * x[k], cells)
+                    slope = np.bincount(at, miss * x[k][rest], cells)
                     slope *= SCALE
                     if learn:
-                        self.slope[:, k] += slope * slope
-                        mine[k] += LEARN_RATE * slope / np.sqrt(self.slope[:, k]) * SCALE
+                        self.slope[gates, k] += slope * slope
+                        mine[k] += LEARN_RATE * slope / np.sqrt(self.slope[gates, k]) * SCALE
                     else:
                         slope *= RATE * SCALE
                         mine[k] += slope
             if learn:
-                self.weights = weights.T / SCALE
+                self.weights[gates] = weights.T / SCALE
         return total
 
 
